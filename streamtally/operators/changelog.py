@@ -25,7 +25,7 @@ def effective_updates(
 ) -> DataFrame:
     """The messages that change anything: null values ignored, repeats of the held value skipped."""
     held = previous_value(
-        log.where(F.col(value).isNotNull()), [key], order, [order], value, slice_width, "_held"
+        log.where(F.col(value).isNotNull()), key, order, [order], value, slice_width, "_held"
     )
     return held.where(F.col("_held").isNull() | (F.col("_held") != F.col(value))).drop("_held")
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .slices import SLICE, slice_number
+from .slices import SLICE, hot_keys, is_hot, slice_of
 
 WAIT_SECONDS = 30
 MICROS = 1_000_000
+# At equal times a version sorts before an order.
+VERSION, ORDER = 0, 1
 USER_FIELDS = ("first_name", "last_name", "email", "postal_code")
 ORDER_FIELDS = (
     "order_id",
@@ -45,6 +49,7 @@ def match_as_of(
     versions: DataFrame,
     wait_seconds: int = WAIT_SECONDS,
     slice_seconds: int = 600,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """Each order with the user version it meets.
 
@@ -53,43 +58,41 @@ def match_as_of(
     ``enriched``). ``versions`` carries ``version_at`` and the user fields.
 
     Orders and versions are merged and scanned in time order, so the work is linear and no pairs
-    are formed. Each user's time is cut into slices to spread a hot user; a slice gets the last
-    version before it, and the versions of the ``wait_seconds`` after it, as extra rows.
+    are formed. The time of a hot user is cut into slices; a slice gets the last version before it,
+    and the versions of the ``wait_seconds`` after it, as extra rows. ``hot`` are the users to cut,
+    found by a scan of the orders if not given.
     """
     if not 0 <= wait_seconds <= slice_seconds:
         raise ValueError("need 0 <= wait_seconds <= slice_seconds")
+    if hot is None:
+        hot = hot_keys(orders, "user_id")
     width = slice_seconds * MICROS
-    image = F.struct(*USER_FIELDS)
+    at = F.col("_at")
+    own_slice = slice_of("user_id", hot, at, width)
     order_rows = orders.select(
         "user_id",
         F.unix_micros("created_at").alias("_at"),
-        F.lit(1).alias("_kind"),
+        F.lit(ORDER).alias("_kind"),
         F.struct(*ORDER_FIELDS).alias("_order"),
-    ).withColumn(SLICE, slice_number(F.col("_at"), width))
+    ).withColumn(SLICE, own_slice)
     version_rows = versions.select(
         "user_id",
         F.unix_micros("version_at").alias("_at"),
-        F.lit(0).alias("_kind"),
-        image.alias("_user"),
-    )
-    placed = version_rows.withColumn(
-        SLICE,
-        F.explode(
-            F.array_distinct(
-                F.array(
-                    slice_number(F.col("_at"), width),
-                    slice_number(F.col("_at") - wait_seconds * MICROS, width),
-                )
-            )
-        ),
-    )
-    carried = _version_before_slices(order_rows, version_rows, width)
-    merged = (
-        order_rows.unionByName(placed, allowMissingColumns=True)
-        .unionByName(carried, allowMissingColumns=True)
-    )
-    version = F.when(F.col("_kind") == 0, F.struct("_at", "_user"))
-    keys = ["user_id", SLICE]
+        F.lit(VERSION).alias("_kind"),
+        F.struct(*USER_FIELDS).alias("_user"),
+    ).withColumn(SLICE, own_slice)
+    merged = order_rows.unionByName(version_rows, allowMissingColumns=True)
+    if hot:
+        waited_for = slice_of("user_id", hot, at - wait_seconds * MICROS, width)
+        ahead = version_rows.where(
+            is_hot("user_id", hot) & (waited_for != F.col(SLICE))
+        ).withColumn(SLICE, waited_for)
+        before = _versions_before_slices(order_rows, version_rows, hot)
+        merged = merged.unionByName(ahead, allowMissingColumns=True).unionByName(
+            before, allowMissingColumns=True
+        )
+    version = F.when(F.col("_kind") == VERSION, F.struct("_at", "_user"))
+    keys = ["user_id", SLICE] if hot else ["user_id"]
     upward = Window.partitionBy(*keys).orderBy("_at", "_kind")
     downward = Window.partitionBy(*keys).orderBy(F.desc("_at"), F.desc("_kind"))
     seen = merged.select(
@@ -113,21 +116,19 @@ def match_as_of(
     )
 
 
-def _version_before_slices(orders: DataFrame, versions: DataFrame, width: int) -> DataFrame:
-    """Per (user, slice with orders): the newest version of all earlier slices, as a version row."""
+def _versions_before_slices(orders: DataFrame, versions: DataFrame, hot: Sequence) -> DataFrame:
+    """Per hot user and slice with orders: the newest version of all earlier slices."""
     tails = (
-        versions.withColumn(SLICE, slice_number(F.col("_at"), width))
+        versions.where(is_hot("user_id", hot))
         .groupBy("user_id", SLICE)
         .agg(F.max_by(F.struct("_at", "_user"), F.col("_at")).alias("_tail"))
+        .withColumn("_wanted", F.lit(False))
     )
-    wanted = orders.select("user_id", SLICE).distinct()
-    both = tails.select("user_id", SLICE, "_tail", F.lit(False).alias("_wanted")).unionByName(
-        wanted.select(
-            "user_id",
-            SLICE,
-            F.lit(None).cast(tails.schema["_tail"].dataType).alias("_tail"),
-            F.lit(True).alias("_wanted"),
-        )
+    wanted = (
+        orders.where(is_hot("user_id", hot))
+        .select("user_id", SLICE)
+        .distinct()
+        .withColumn("_wanted", F.lit(True))
     )
     # The wanted marker of a slice sorts before that slice's own tail.
     earlier = (
@@ -136,15 +137,10 @@ def _version_before_slices(orders: DataFrame, versions: DataFrame, width: int) -
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        both.withColumn("_last", F.last("_tail", ignorenulls=True).over(earlier))
+        tails.unionByName(wanted, allowMissingColumns=True)
+        .withColumn("_last", F.last("_tail", ignorenulls=True).over(earlier))
         .where(F.col("_wanted") & F.col("_last").isNotNull())
-        .select(
-            "user_id",
-            SLICE,
-            F.col("_last._at").alias("_at"),
-            F.lit(0).alias("_kind"),
-            F.col("_last._user").alias("_user"),
-        )
+        .select("user_id", SLICE, F.lit(VERSION).alias("_kind"), "_last._at", "_last._user")
     )
 
 

@@ -15,16 +15,14 @@ ALLOWED = {
 }
 
 
-def illegal_transitions(
-    changes: DataFrame, slice_seconds: int = 86_400 * 30
-) -> DataFrame:
+def illegal_transitions(changes: DataFrame, slice_seconds: int = 86_400) -> DataFrame:
     """Status changes from one state to another outside ``ALLOWED``; repeats are no change.
 
     ``changes`` has ``order_id``, ``status``, ``changed_at`` and a tie-breaking ``seq``.
     """
     timed = changes.withColumn("_at", F.unix_seconds("changed_at"))
     moved = previous_value(
-        timed, ["order_id"], "_at", ["changed_at", "seq"], "status", slice_seconds, "from_status"
+        timed, "order_id", "_at", ["changed_at", "seq"], "status", slice_seconds, "from_status"
     ).where(F.col("from_status").isNotNull() & (F.col("from_status") != F.col("status")))
     allowed = F.lit(False)
     for state, following in ALLOWED.items():

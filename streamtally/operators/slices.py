@@ -1,10 +1,12 @@
-"""Keyed windows that do not put a whole key into one task.
+"""Keyed windows that do not put a hot key into one task.
 
 A plain ``PARTITION BY key ORDER BY position`` sorts every row of a key in one task, which a key
-holding a large share of the table turns into the whole job. The helpers here cut each key's
-ordered axis (time, offset) into slices of fixed width and partition by ``(key, slice)``. What a
+holding a large share of the table turns into the whole job. The helpers here cut the ordered axis
+(time, offset) of such keys into slices of fixed width and partition by ``(key, slice)``. What a
 slice needs to know about earlier ones is one row per ``(key, slice)``, aggregated map-side, so the
 only window over a whole key runs over its slices, not its rows.
+
+Which keys are cut changes the plan, never the result.
 """
 
 from __future__ import annotations
@@ -15,62 +17,91 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
+WHOLE = 0
+HOT_SHARE = 0.005
+HOT_ROWS = 1_000_000
+TRACKED = 10_000
+
+
+def slice_start(position: Column, width: int) -> Column:
+    """Start of the slice that holds ``position``; exact for any long."""
+    return position - F.pmod(position, F.lit(width))
 
 
-def slice_number(position: Column, width: int) -> Column:
-    return F.floor(position / F.lit(width)).cast("bigint")
+def hot_keys(
+    rows: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+) -> list:
+    """Keys with at least ``share`` of the rows and ``min_rows`` rows: at most ``1 / share`` values.
 
+    One pass over the key column with a frequent-items sketch, which has no false negatives at this
+    size; each task sends one sketch. Rows without a key are a key of their own (None).
+    """
+    sketch = F.expr(f"approx_top_k(_key, {int(1 / share)}, {TRACKED})")
+    found = (
+        rows.select(F.col(key).alias("_key"))
+        .agg(
+            sketch.alias("top"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("_key").isNull()).alias("missing"),
+        )
+        .first()
+    )
+    least = max(min_rows, share * found["rows"])
+    hot = [item["item"] for item in found["top"] or [] if item["count"] >= least]
+    return [*hot, None] if found["missing"] >= least else hot
 
-def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Null-safe equality on all of ``names``; Spark still plans it as an equi-join."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+
+def is_hot(key: str, hot: Sequence) -> Column:
+    present = [value for value in hot if value is not None]
+    condition = F.coalesce(F.col(key).isin(*present), F.lit(False)) if present else F.lit(False)
+    return condition | F.col(key).isNull() if None in hot else condition
+
+
+def slice_of(key: str, hot: Sequence, position: Column, width: int) -> Column:
+    """The slice of a row: by position for hot keys, one for all rows of any other."""
+    return F.when(is_hot(key, hot), slice_start(position, width)).otherwise(F.lit(WHOLE))
 
 
 def last_before_slice(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str
+    sliced: DataFrame, key: str, order: Sequence[str], value: str
 ) -> DataFrame:
-    """Per (key, slice present in ``rows``): the last non-null ``value`` of any earlier slice."""
-    tails = rows.groupBy(*keys, SLICE).agg(
-        F.max_by(
-            F.when(F.col(value).isNotNull(), F.col(value)),
-            F.when(F.col(value).isNotNull(), F.struct(*order)),
-        ).alias("_tail")
-    )
-    over_slices = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return tails.select(
-        *keys, SLICE, F.last("_tail", ignorenulls=True).over(over_slices).alias(out)
+    """Per (key, slice present): the last ``value`` of the slices before, as column ``value``."""
+    tails = sliced.groupBy(key, SLICE).agg(F.max_by(value, F.struct(*order)).alias("_tail"))
+    over_slices = Window.partitionBy(key).orderBy(SLICE)
+    return tails.select(key, SLICE, F.lag("_tail").over(over_slices).alias(value)).where(
+        F.col(value).isNotNull()
     )
 
 
 def previous_value(
     rows: DataFrame,
-    keys: Sequence[str],
+    key: str,
     position: str,
     order: Sequence[str],
     value: str,
     width: int,
     out: str = "previous",
+    hot: Sequence | None = None,
 ) -> DataFrame:
-    """``LAG(value) OVER (PARTITION BY keys ORDER BY order)`` for a ``value`` without nulls.
+    """``LAG(value) OVER (PARTITION BY key ORDER BY order)`` for a ``value`` without nulls.
 
-    ``position`` is the numeric axis that is cut into slices; it must be the leading order column
-    (or grow with it).
+    ``position`` is the numeric axis that is cut into slices of ``width``; it must be the leading
+    order column (or grow with it). ``hot`` are the keys to cut, found by a scan if not given.
     """
-    cut = rows.withColumn(SLICE, slice_number(F.col(position), width))
-    inside = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    local = cut.withColumn("_local", F.lag(value).over(inside))
-    carried = last_before_slice(cut, keys, order, value, "_carried")
-    joined = local.alias("l").join(
-        carried.alias("c"),
-        on=[F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*keys, SLICE)],
-        how="left",
+    if hot is None:
+        hot = hot_keys(rows, key)
+    if not hot:
+        return rows.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
+    cut = rows.withColumn(SLICE, slice_of(key, hot, F.col(position), width))
+    carried = last_before_slice(cut.where(is_hot(key, hot)), key, order, value)
+    merged = cut.withColumn("_carried", F.lit(False)).unionByName(
+        carried.withColumn("_carried", F.lit(True)), allowMissingColumns=True
     )
-    return joined.select(
-        *[F.col(f"l.{c}").alias(c) for c in rows.columns],
-        F.coalesce(F.col("l._local"), F.col("c._carried")).alias(out),
+    inside = Window.partitionBy(key, SLICE).orderBy(F.desc("_carried"), *order)
+    return (
+        merged.withColumn(out, F.lag(value).over(inside))
+        .where(~F.col("_carried"))
+        .select(*rows.columns, out)
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio
 from .leaderboard import TOP, top_k
-from .slices import SLICE, repeat_rows, slice_number
+from .slices import SLICE, repeat_rows, slice_start
 
 SHORT, LONG = 10, 60
 SECOND = 1_000_000
@@ -58,18 +58,18 @@ def trailing_sums(
         score_points(scores)
         .where(F.col("event_time").isNotNull())
         .withColumn("_at", F.unix_micros("event_time"))
-        .withColumn("_own", slice_number(F.col("_at"), width))
+        .withColumn("_own", slice_start(F.col("_at"), width))
     )
     copies = points.withColumn(
         SLICE,
         F.explode(
             F.array_distinct(
-                F.array(F.col("_own"), slice_number(F.col("_at") + long * SECOND, width))
+                F.array(F.col("_own"), slice_start(F.col("_at") + long * SECOND, width))
             )
         ),
     )
     marks = copies.select("*", F.explode(_marks(short, long)).alias("m")).where(
-        F.col("m.at") < (F.col(SLICE) + 1) * width
+        F.col("m.at") < F.col(SLICE) + width
     )
     running = (
         Window.partitionBy("user_id", SLICE)
@@ -122,13 +122,23 @@ def hotness(scores: DataFrame, short: int = SHORT, long: int = LONG) -> DataFram
 def latest_sums(scores: DataFrame, short: int = SHORT, long: int = LONG) -> DataFrame:
     """The trailing sums at each user's latest event only.
 
-    No ordering is needed for that: the latest time per user is a map-side aggregate, and only the
-    rows of the last ``long`` seconds before it are summed.
+    A user's latest ``long`` seconds lie in its last two slices of that width. Spark applies that
+    rank limit in the map tasks, so only those rows are shuffled, once, and the rest of the work
+    stays in place.
     """
-    latest = scores.groupBy("user_id").agg(F.max("event_time").alias("_latest"))
+    width = long * SECOND
+    newest_first = Window.partitionBy("user_id").orderBy(F.desc(SLICE))
     recent = (
-        scores.select("user_id", "event_time", "score")
-        .join(latest, "user_id")
+        scores.where(F.col("event_time").isNotNull())
+        .select(
+            "user_id",
+            "event_time",
+            "score",
+            slice_start(F.unix_micros("event_time"), width).alias(SLICE),
+        )
+        .withColumn("_place", F.dense_rank().over(newest_first))
+        .where("_place <= 2")
+        .withColumn("_latest", F.max("event_time").over(Window.partitionBy("user_id")))
         .where(F.col("event_time") >= F.col("_latest") - F.expr(f"INTERVAL {long} SECONDS"))
     )
     inside_short = F.col("event_time") >= F.col("_latest") - F.expr(f"INTERVAL {short} SECONDS")

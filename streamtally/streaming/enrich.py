@@ -53,15 +53,16 @@ ROUTED = record(
     route="string",
 )
 _OUTPUT_CHUNK = 5_000
+_HELD = 20_000
 
 
 class _WaitForUser(StatefulProcessor):
     """Holds a user's newest version and the orders that wait for one.
 
-    Orders of a batch go to the list state and leave it at the end of the batch if the user is known
-    by then; the list lives in the state store, so a large group is not held in Python memory. While
-    orders wait, one timer stands at the earliest deadline; when it fires, all due orders go out as
-    missing and the timer moves on.
+    The orders of a batch leave at its end if the user is known by then. Up to ``_HELD`` of them
+    are held in memory, the rest goes to the list state, so a large group needs no large memory.
+    While orders wait, a timer stands at the earliest deadline; when it fires, all due orders go
+    out as missing and the timer moves on.
     """
 
     def __init__(self, wait_ms: int, event_time: bool) -> None:
@@ -80,23 +81,31 @@ class _WaitForUser(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         user = newest = self.user.get() if self.user.exists() else None
         now = self._now(timerValues)
-        earliest = None
+        held, earliest, spilled = [], None, False
         for chunk in rows:
             is_user = chunk["version"].notna()
             newest = self._newer(newest, chunk[is_user])
             entries = self._entries(chunk[~is_user], now)
             if entries:
-                self.waiting.appendList(entries)
                 first = min(entry[7] for entry in entries)
                 earliest = first if earliest is None else min(earliest, first)
+                held.extend(entries)
+            if len(held) > _HELD:
+                self.waiting.appendList(held)
+                held, spilled = [], True
         if newest is not user:
             self.user.update(newest)
         if newest is None:
+            if held:
+                self.waiting.appendList(held)
             if earliest is not None:
                 self.handle.registerTimer(earliest)
-        elif self.waiting.exists():
+            return
+        # A known user has waiting orders only if this batch had too many to hold.
+        if (user is None or spilled) and self.waiting.exists():
             yield from self._emit(self.waiting.get(), newest)
             self.waiting.clear()
+        yield from self._emit(held, newest)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.waiting.exists():
