@@ -60,12 +60,12 @@ def match_as_of(
     Orders and versions are merged and scanned in time order, so the work is linear and no pairs
     are formed. The time of a hot user is cut into slices; a slice gets the last version before it,
     and the versions of the ``wait_seconds`` after it, as extra rows. ``hot`` are the users to cut,
-    found by a scan of the orders if not given.
+    found by a scan of both sides' keys if not given.
     """
     if not 0 <= wait_seconds <= slice_seconds:
         raise ValueError("need 0 <= wait_seconds <= slice_seconds")
     if hot is None:
-        hot = hot_keys(orders, "user_id")
+        hot = hot_keys(orders.select("user_id").unionByName(versions.select("user_id")), "user_id")
     width = slice_seconds * MICROS
     at = F.col("_at")
     own_slice = slice_of("user_id", hot, at, width)

@@ -39,16 +39,11 @@ def hot_keys(
     sketch = F.expr(f"approx_top_k(_key, {int(1 / share)}, {TRACKED})")
     found = (
         rows.select(F.col(key).alias("_key"))
-        .agg(
-            sketch.alias("top"),
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("_key").isNull()).alias("missing"),
-        )
+        .agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows"))
         .first()
     )
     least = max(min_rows, share * found["rows"])
-    hot = [item["item"] for item in found["top"] or [] if item["count"] >= least]
-    return [*hot, None] if found["missing"] >= least else hot
+    return [item["item"] for item in found["top"] or [] if item["count"] >= least]
 
 
 def is_hot(key: str, hot: Sequence) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET = "_bucket"
+BUCKET, GONE = "_bucket", "_gone"
 
 
 def merge(
@@ -40,7 +40,11 @@ def merge(
 
 
 class KeyedTable:
-    """A Parquet table in hash buckets of its key; an upsert rewrites the touched buckets only."""
+    """A Parquet table in hash buckets of its key; an upsert rewrites the touched buckets only.
+
+    A rewrite replaces a bucket only if it has rows, so a deleted key stays as a marked row, hidden
+    from readers, until its bucket is next rewritten.
+    """
 
     def __init__(
         self, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 16
@@ -51,14 +55,20 @@ class KeyedTable:
         bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets)).cast("int")
         return rows.withColumn(BUCKET, bucket)
 
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        full = T.StructType(
+            [
+                *self.schema.fields,
+                T.StructField(GONE, T.BooleanType()),
+                T.StructField(BUCKET, T.IntegerType()),
+            ]
+        )
+        return spark.read.schema(full).parquet(self.path).where(~F.col(GONE)).drop(GONE)
+
     def create(self, rows: DataFrame) -> None:
-        bucketed = self._bucketed(rows.select(*self.schema.names))
+        bucketed = self._bucketed(rows.select(*self.schema.names)).withColumn(GONE, F.lit(False))
         bucketed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(self.path)
 
-    def _stored(self, spark: SparkSession) -> DataFrame:
-        full = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        return spark.read.schema(full).parquet(self.path)
-
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark).drop(BUCKET)
 
@@ -77,15 +87,19 @@ class KeyedTable:
         keys = [BUCKET, *self.keys]
         touched = new.select(BUCKET)
         if deletes is not None:
-            gone = self._bucketed(deletes.select(*self.keys))
+            gone = self._bucketed(deletes.select(*self.keys).distinct())
             touched = touched.union(gone.select(BUCKET))
         numbers = [row[0] for row in touched.distinct().collect()]
         if not numbers:
             return
         old = self._stored(spark).where(F.col(BUCKET).isin(numbers))
         merged = merge(old, new, keys, update_fields)
-        if deletes is not None:
-            merged = merged.join(gone, keys, "left_anti")
+        if deletes is None:
+            merged = merged.withColumn(GONE, F.lit(False))
+        else:
+            merged = merged.join(gone.withColumn(GONE, F.lit(True)), keys, "left").withColumn(
+                GONE, F.coalesce(GONE, F.lit(False))
+            )
         (
             merged.hint("rebalance", BUCKET)
             .write.mode("overwrite")
