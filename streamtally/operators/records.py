@@ -72,35 +72,42 @@ def with_verdict(messages: DataFrame, value: str = "value") -> DataFrame:
     """Adds the parsed ``amount`` and, for records that cannot be processed, a ``reason``.
 
     The amount may be a JSON number or numeric text; unreadable JSON, no amount and other text are
-    failures.
+    failures. The message is read as the only element of an array, so that text before or after
+    the object makes it unreadable.
     """
-    text = F.get_json_object(value, "$.amount")
-    readable = F.json_object_keys(value).isNotNull()
-    amount = decimal_or_null(text)
-    return messages.withColumns(
-        {
-            "amount": F.when(readable, amount),
-            "reason": F.when(~readable, F.lit("unreadable json"))
-            .when(text.isNull(), F.lit("no amount"))
-            .when(amount.isNull(), F.lit("amount is not a number")),
-        }
+    elements = F.from_json(
+        F.concat(F.lit("["), F.col(value), F.lit("]")), "array<struct<amount:string>>"
+    )
+    order = F.get("_elements", F.lit(0))
+    amount = decimal_or_null(order["amount"])
+    unreadable = F.coalesce(F.size("_elements") != 1, F.lit(True)) | order.isNull()
+    return (
+        messages.withColumn("_elements", elements)
+        .withColumns(
+            {
+                "amount": F.when(~unreadable, amount),
+                "reason": F.when(unreadable, F.lit("unreadable json"))
+                .when(order["amount"].isNull(), F.lit("no amount"))
+                .when(amount.isNull(), F.lit("amount is not a number")),
+            }
+        )
+        .drop("_elements")
     )
 
 
 def good_records(messages: DataFrame, value: str = "value") -> DataFrame:
-    return with_verdict(messages, value).where(F.col("reason").isNull()).drop("reason")
+    return with_verdict(messages, value).where(F.col("amount").isNotNull()).drop("reason")
 
 
 def quarantined(messages: DataFrame, value: str = "value") -> DataFrame:
-    return with_verdict(messages, value).where(F.col("reason").isNotNull()).drop("amount")
+    return with_verdict(messages, value).where(F.col("amount").isNull()).drop("amount")
 
 
 def stall_report(messages: DataFrame) -> DataFrame:
     """Per partition: the first record a strict consumer would stop at, how many such records
     there are, and how many records wait behind the first."""
-    judged = with_verdict(messages).select("partition", "offset", "reason")
     first = (
-        judged.where(F.col("reason").isNotNull())
+        quarantined(messages)
         .groupBy("partition")
         .agg(F.min("offset").alias("stalled_at"), F.count(F.lit(1)).alias("bad_records"))
     )

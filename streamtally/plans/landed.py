@@ -233,7 +233,8 @@ FROM bids GROUP BY 1""",
 def jsonl_sink_counts(spark, folder):
     path = fresh_folder(spark, "jsonl")
     rows = tables.bids(spark, folder).withColumnRenamed("item", "topic")
-    text.write_json_files(rows, path, ["topic"])
+    writers = spark.sparkContext.defaultParallelism
+    text.write_json_files(rows, path, ["topic"], writers=writers)
     per_file = (
         spark.read.schema(rows.schema)
         .json(path)

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from ..operators.records import project_orders
+from ..operators.slices import hot_keys
 from ..operators.supplier_stats import with_text_bounds
 from ..schemas import EVENTS
 from ..session import fresh_folder
@@ -220,8 +221,9 @@ routed AS (
 )
 
 
-def _enrichment_writer(write):
+def _enrichment_writer(events, write):
     """Builds the query over a landing stream; ``write`` makes a writer of the routed orders."""
+    hot = hot_keys(tables.as_purchases(events), "user_id")
 
     def build(stream):
         routed = enrich.route_orders(
@@ -229,6 +231,7 @@ def _enrichment_writer(write):
             tables.as_user_versions(stream),
             event_time=True,
             delay="0 seconds",
+            hot=hot,
         )
         return write(routed)
 
@@ -255,7 +258,7 @@ def stream_enrich(spark, folder):
             spark,
             _by_time(events, ARRIVALS),
             EVENTS,
-            _enrichment_writer(write),
+            _enrichment_writer(events, write),
             f"{root}/landing",
         )
     return spark.read.schema(enrich.ROUTED).parquet(f"{root}/out")
@@ -279,7 +282,9 @@ def stream_enrich_fanout(spark, folder):
             spark,
             _by_time(events, ARRIVALS),
             EVENTS,
-            _enrichment_writer(lambda routed: sink.writer(routed, f"{root}/checkpoint")),
+            _enrichment_writer(
+                events, lambda routed: sink.writer(routed, f"{root}/checkpoint")
+            ),
             f"{root}/landing",
         )
     found = [

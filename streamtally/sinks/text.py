@@ -41,9 +41,18 @@ def write_lines(lines: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_json_files(
-    rows: DataFrame, path: str, by: Sequence[str] = (), records_per_file: int = 100
+    rows: DataFrame,
+    path: str,
+    by: Sequence[str] = (),
+    records_per_file: int = 100,
+    writers: int | None = None,
 ) -> None:
-    """JSON-lines files of bounded length, one folder per value of ``by``."""
+    """JSON-lines files of bounded length, one folder per value of ``by``.
+
+    Opening files is most of the work; ``writers`` deals the rows evenly to that many tasks.
+    """
+    if writers is not None:
+        rows = rows.repartition(writers)
     rows.write.mode("append").option("maxRecordsPerFile", records_per_file).partitionBy(*by).json(
         path
     )

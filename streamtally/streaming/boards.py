@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -11,6 +11,7 @@ from ..operators.changelog import diff_boards, materialize
 from ..operators.leaderboard import TOP, rank_order_teams, top_k
 from ..operators.sliding import (
     LONG,
+    SECOND,
     SHORT,
     latest_per_key,
     rank_hot_users,
@@ -86,6 +87,13 @@ MARK = record(
 )
 
 
+BEGINNING = -62_135_596_800 * SECOND
+
+
+def _time(micros: int) -> Column:
+    return F.timestamp_micros(F.lit(micros))
+
+
 class HotStreaks:
     """``foreachBatch`` sink: trailing sums at every event, current hotness per user, top-k.
 
@@ -117,28 +125,23 @@ class HotStreaks:
         fresh = scores.select(*POOL.names).where(F.col("event_time").isNotNull()).persist()
         try:
             before = self._watermark(spark, batch_id - 1)
-            self._advance(fresh, before, batch_id)
-            after = self._watermark(spark, batch_id)
-            self._step(spark, fresh, before, after, batch_id)
+            newest = fresh.agg(F.max(F.unix_micros("event_time"))).first()[0]
+            after = before if newest is None else max(before, newest - self.delay * SECOND)
+            mark = F.timestamp_micros(F.lit(after)).alias("watermark")
+            self.mark.write(spark.range(1).select(mark), batch_id)
+            self._step(spark, fresh, _time(before), _time(after), batch_id)
         finally:
             fresh.unpersist()
 
-    def _watermark(self, spark: SparkSession, version: int):
-        """One timestamp, as a literal column."""
-        row = self.mark.read(spark, version).select(F.unix_micros("watermark")).first()
-        micros = row[0] if row is not None and row[0] is not None else -62_135_596_800_000_000
-        return F.timestamp_micros(F.lit(micros))
-
-    def _advance(self, fresh: DataFrame, before, batch_id: int) -> None:
-        newest = F.max("event_time") - F.expr(f"INTERVAL {self.delay} SECONDS")
-        self.mark.write(
-            fresh.agg(newest.alias("_newest")).select(
-                F.greatest("_newest", before).alias("watermark")
-            ),
-            batch_id,
-        )
+    def _watermark(self, spark: SparkSession, version: int) -> int:
+        """Stored watermark in epoch microseconds; before all times for the first batch."""
+        if version < 0:
+            return BEGINNING
+        return self.mark.read(spark, version).select(F.unix_micros("watermark")).first()[0]
 
-    def _step(self, spark: SparkSession, fresh: DataFrame, before, after, batch_id: int) -> None:
+    def _step(
+        self, spark: SparkSession, fresh: DataFrame, before: Column, after: Column, batch_id: int
+    ) -> None:
         carried = self.pool.read(spark, batch_id - 1)
         rows = carried.unionByName(fresh.where(F.col("event_time") > before))
         history = F.expr(f"INTERVAL {self.long} SECONDS")

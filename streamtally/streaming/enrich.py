@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import hash_salt
 from ..operators.enrich import ORDER_FIELDS, SINK_FIELDS, USER_FIELDS, WAIT_SECONDS
+from ..operators.slices import is_hot
 from ..schemas import record
 from ..sinks.routes import fan_out
 from ..sinks.text import json_text, tsv_lines
@@ -21,38 +20,29 @@ from ..sinks.text import json_text, tsv_lines
 # The processor below travels to the executors by value, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-USER_STATE = record(
-    version_at="long",
-    first_name="string",
-    last_name="string",
-    email="string",
-    postal_code="string",
-)
-ORDER_STATE = record(
-    order_id="string",
-    user_id="string",
-    product_name="string",
-    category="string",
-    quantity="integer",
-    unit_price="double",
-    created_at="timestamp",
-    deadline="long",
-)
+_ORDER_TYPES = {
+    "order_id": "string",
+    "user_id": "string",
+    "product_name": "string",
+    "category": "string",
+    "quantity": "integer",
+    "unit_price": "double",
+}
+USER_STATE = record(version="long", **{f: "string" for f in USER_FIELDS})
+ORDER_STATE = record(**_ORDER_TYPES, created_us="long", deadline="long")
 ROUTED = record(
-    order_id="string",
-    user_id="string",
-    product_name="string",
-    category="string",
-    quantity="integer",
-    unit_price="double",
+    **_ORDER_TYPES,
     created_at="timestamp",
-    user_first_name="string",
-    user_last_name="string",
-    user_email="string",
-    user_postal_code="string",
+    **{f"user_{f}": "string" for f in USER_FIELDS},
+    route="string",
+)
+_EMITTED = record(
+    **_ORDER_TYPES,
+    created_us="long",
+    **{f"user_{f}": "string" for f in USER_FIELDS},
     route="string",
 )
-_OUTPUT_CHUNK = 5_000
+_EmittedRow = Row(*_EMITTED.names)
 _HELD = 20_000
 
 
@@ -78,19 +68,20 @@ class _WaitForUser(StatefulProcessor):
             return timer_values.getCurrentWatermarkInMs()
         return timer_values.getCurrentProcessingTimeInMs()
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        user = newest = self.user.get() if self.user.exists() else None
-        now = self._now(timerValues)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        user = newest = self.user.get()
+        now = None if self.event_time else self._now(timerValues)
         held, earliest, spilled = [], None, False
-        for chunk in rows:
-            is_user = chunk["version"].notna()
-            newest = self._newer(newest, chunk[is_user])
-            entries = self._entries(chunk[~is_user], now)
-            if entries:
-                first = min(entry[7] for entry in entries)
-                earliest = first if earliest is None else min(earliest, first)
-                held.extend(entries)
-            if len(held) > _HELD:
+        for row in rows:
+            if row.version is not None:
+                if newest is None or row.version >= newest[0]:
+                    newest = (row.version, *(row[f"new_{f}"] for f in USER_FIELDS))
+                continue
+            arrived = row.created_us // 1000 if self.event_time else now
+            deadline = arrived + self.wait_ms
+            earliest = deadline if earliest is None else min(earliest, deadline)
+            held.append((*(row[f] for f in _ORDER_TYPES), row.created_us, deadline))
+            if len(held) == _HELD:
                 self.waiting.appendList(held)
                 held, spilled = [], True
         if newest is not user:
@@ -103,66 +94,31 @@ class _WaitForUser(StatefulProcessor):
             return
         # A known user has waiting orders only if this batch had too many to hold.
         if (user is None or spilled) and self.waiting.exists():
-            yield from self._emit(self.waiting.get(), newest)
+            yield from _with_user(self.waiting.get(), newest)
             self.waiting.clear()
-        yield from self._emit(held, newest)
+        yield from _with_user(held, newest)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.waiting.exists():
-            return
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         due_at = max(expiredTimerInfo.getExpiryTimeInMs(), self._now(timerValues))
-        yield from self._emit((e for e in self.waiting.get() if e[7] <= due_at), None)
-        rest = [tuple(e) for e in self.waiting.get() if e[7] > due_at]
+        later, next_timer = [], None
+        for order in self.waiting.get():
+            if order[7] <= due_at:
+                yield _EmittedRow(*order[:7], *[None] * len(USER_FIELDS), "missing")
+            else:
+                later.append(tuple(order))
+                next_timer = order[7] if next_timer is None else min(next_timer, order[7])
         self.waiting.clear()
-        if rest:
-            self.waiting.appendList(rest)
-            self.handle.registerTimer(min(e[7] for e in rest))
-
-    def _newer(self, user, versions: pd.DataFrame):
-        if not len(versions):
-            return user
-        row = versions.loc[versions["version"].idxmax()]
-        version = int(row["version"])
-        if user is not None and user[0] > version:
-            return user
-        return (version, *(_text(row[f"new_{f}"]) for f in USER_FIELDS))
-
-    def _entries(self, orders: pd.DataFrame, now: int) -> list[tuple]:
-        entries = []
-        for order in orders[list(ORDER_FIELDS)].itertuples(index=False):
-            start = order[6].value // 1_000_000 if self.event_time else now
-            entries.append(
-                (
-                    *(_text(v) for v in order[:4]),
-                    int(order[4]),
-                    float(order[5]),
-                    order[6].to_pydatetime(),
-                    int(start) + self.wait_ms,
-                )
-            )
-        return entries
-
-    def _emit(self, orders, user) -> Iterator[pd.DataFrame]:
-        tail = (*user[1:], "enriched") if user is not None else (None, None, None, None, "missing")
-        chunk = []
-        for entry in orders:
-            chunk.append((*entry[:7], *tail))
-            if len(chunk) == _OUTPUT_CHUNK:
-                yield _frame(chunk)
-                chunk = []
-        if chunk:
-            yield _frame(chunk)
+        if later:
+            self.waiting.appendList(later)
+            self.handle.registerTimer(next_timer)
 
     def close(self) -> None:
         pass
 
 
-def _text(value) -> str | None:
-    return None if value is None or value != value else str(value)
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=ROUTED.names)
+def _with_user(orders, user) -> Iterator[Row]:
+    for order in orders:
+        yield _EmittedRow(*order[:7], *user[1:], "enriched")
 
 
 def route_orders(
@@ -172,44 +128,53 @@ def route_orders(
     event_time: bool = False,
     delay: str = "5 seconds",
     salts: int = 8,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """Streaming orders with their user's newest known version, or ``missing`` after the wait.
 
     Waiting time is processing time, or with ``event_time`` the orders' own time against the
-    watermark, which trails the newest row by ``delay`` (replays then give the same result). The orders of a user
-    are spread over ``salts`` keys and the user's versions sent to each, so that a user with a large
-    share of all orders does not end in one task.
+    watermark, which trails the newest row by ``delay`` (replays then give the same result).
+
+    The orders of a user are spread over ``salts`` keys and the user's versions sent to each, so
+    that a user with a large share of all orders does not end in one task. With ``hot`` (for
+    example from the table of past orders) only these users are spread. Both are part of the
+    state's key: keep them for the life of a checkpoint.
     """
+    spread = F.lit(True) if hot is None else is_hot("user_id", hot)
     # The Python side drops column names that start with an underscore, so none do.
-    empty_order = [F.lit(None).cast(ORDER_STATE[f].dataType).alias(f) for f in ORDER_FIELDS[2:6]]
     tagged_orders = orders.select(
         *ORDER_FIELDS,
-        hash_salt(F.col("order_id"), salts).alias("salt"),
+        F.unix_micros("created_at").alias("created_us"),
+        F.when(spread, hash_salt(F.col("order_id"), salts)).otherwise(F.lit(0)).alias("salt"),
         F.lit(None).cast("bigint").alias("version"),
         *[F.lit(None).cast("string").alias(f"new_{f}") for f in USER_FIELDS],
     )
+    copies = F.when(spread, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     tagged_users = users.select(
-        F.lit(None).cast("string").alias("order_id"),
-        "user_id",
-        *empty_order,
+        *[
+            F.col("user_id") if name == "user_id" else F.lit(None).cast(kind).alias(name)
+            for name, kind in _ORDER_TYPES.items()
+        ],
         F.col("version_at").alias("created_at"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+        F.lit(None).cast("bigint").alias("created_us"),
+        F.explode(copies).alias("salt"),
         F.unix_micros("version_at").alias("version"),
         *[F.col(f).alias(f"new_{f}") for f in USER_FIELDS],
     )
     merged = tagged_orders.unionByName(tagged_users)
     if event_time:
         merged = merged.withWatermark("created_at", delay)
-    return (
+    routed = (
         merged.withColumn("for_user", F.col("user_id"))
         .groupBy("for_user", "salt")
-        .transformWithStateInPandas(
+        .transformWithState(
             _WaitForUser(wait_seconds * 1000, event_time),
-            ROUTED,
+            _EMITTED,
             "append",
             "EventTime" if event_time else "ProcessingTime",
         )
     )
+    return routed.withColumn("created_at", F.timestamp_micros("created_us")).select(*ROUTED.names)
 
 
 class FanOut:

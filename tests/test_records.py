@@ -65,14 +65,15 @@ def test_tsv_and_json_lines(spark):
 
 def test_validation_reasons(spark):
     values = ['{"amount": 12.5}', '{"amount": "12.5"}', '{"amount": "ONE"}', '{"amount": null}',
-              '{"status": "x"}', '{"amount": 1', None]
+              '{"status": "x"}', '{"amount": 1', None, '{"amount": 1} x', '{"amount": 1} {"amount": 2}',
+              '{"amount": 1},{"amount": 2}', "[1]", "3", "", '{"amount": {"a": 1}}', " {\"amount\": 1} "]
     frame = spark.createDataFrame(list(enumerate(values)), "offset int, value string")
     good = {r.offset for r in records.good_records(frame).collect()}
     bad = {r.offset: r.reason for r in records.quarantined(frame).collect()}
-    assert good == {0, 1}
+    assert good == {0, 1, 14}
     assert bad == {
-        2: "amount is not a number", 3: "no amount", 4: "no amount", 5: "unreadable json",
-        6: "unreadable json",
+        2: "amount is not a number", 3: "no amount", 4: "no amount", 13: "amount is not a number",
+        **{i: "unreadable json" for i in range(5, 13)},
     }
 
 

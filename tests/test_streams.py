@@ -186,7 +186,7 @@ def keyed_state(spark):
     spark.conf.set(name, before)
 
 
-def test_enrichment_waits_then_gives_up(spark, keyed_state, monkeypatch):
+def test_enrichment_waits_then_gives_up(spark, keyed_state):
     root = fresh_folder(spark, "enrich")
     arrivals = [
         [("order", "early", "u", None, at(0)), ("order", "lost", "v", None, at(1)),
@@ -216,7 +216,6 @@ def test_enrichment_waits_then_gives_up(spark, keyed_state, monkeypatch):
 
 def test_groups_too_large_to_hold_go_through_the_state(spark, keyed_state, monkeypatch):
     monkeypatch.setattr(enrich, "_HELD", 3)
-    monkeypatch.setattr(enrich, "_OUTPUT_CHUNK", 4)
     root = fresh_folder(spark, "spill")
     rows = [("order", str(i), "u", None, at(i)) for i in range(40)] + [("user", None, "u", "U", at(3))]
     spark.createDataFrame(rows, ARRIVAL).coalesce(1).write.parquet(f"{root}/landing")
