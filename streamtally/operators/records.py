@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import decimal_or_null, price_strict
+from ..session import stored
 
 
 def select_rows(
@@ -105,11 +106,16 @@ def quarantined(messages: DataFrame, value: str = "value") -> DataFrame:
 
 def stall_report(messages: DataFrame) -> DataFrame:
     """Per partition: the first record a strict consumer would stop at, how many such records
-    there are, and how many records wait behind the first."""
-    first = (
+    there are, and how many records wait behind the first.
+
+    The first part is written out: it has a row per log partition, and joining it as an unknown
+    quantity would shuffle the whole log by a handful of keys.
+    """
+    first = stored(
         quarantined(messages)
         .groupBy("partition")
-        .agg(F.min("offset").alias("stalled_at"), F.count(F.lit(1)).alias("bad_records"))
+        .agg(F.min("offset").alias("stalled_at"), F.count(F.lit(1)).alias("bad_records")),
+        "stalled",
     )
     behind = (
         messages.select("partition", "offset")

@@ -20,6 +20,7 @@ from ..operators import (
     supplier_stats,
 )
 from ..schemas import ORDER_V2, record
+from ..session import stored
 from ..sinks.log import key_value
 from ..sources import log, tables
 from ..sources.files import parse_json
@@ -491,13 +492,14 @@ WHERE c.next_offset IS NULL OR m."offset" >= c.next_offset""",
 def scan_from_offsets(spark, folder):
     """All partitions but one have committed the first half; that one starts at its beginning."""
     messages = tables.messages(spark, folder)
-    committed = (
+    committed = stored(
         messages.where(
             (F.col("timestamp") < F.lit("2024-01-16").cast("timestamp"))
             & (F.col("partition") != 1)
         )
         .groupBy("partition")
-        .agg((F.max("offset") + 1).alias("next_offset"))
+        .agg((F.max("offset") + 1).alias("next_offset")),
+        "committed",
     )
     return log.from_committed(messages, committed)
 

@@ -82,7 +82,7 @@ MESSAGES = """messages_full AS (
               WHEN 'signup' THEN 3 WHEN 'view' THEN 4 END AS "partition",
          event_id AS "offset", 'USR-' || user_id AS key, event_type, value AS v,
          '{"order_id":"' || event_id || '","amount":' ||
-         CASE WHEN event_type = 'error' AND value > 50 THEN '"ONE THOUSAND DOLLARS"'
+         CASE WHEN event_type = 'error' AND value > 50 THEN '"rather a lot"'
               WHEN event_type = 'view' THEN '"' || CAST(value AS VARCHAR) || '"'
               WHEN event_type = 'signup' AND value > 50 THEN 'null'
               ELSE CAST(value AS VARCHAR) END || ',"status":"' || event_type || '"}' AS full_text,

@@ -158,7 +158,7 @@ def stream_top_teams(spark, folder):
 def stream_hot_streaks(spark, folder):
     """Three arrivals; events after the last watermark are not complete yet."""
     root = fresh_folder(spark, "hot")
-    sink = boards.HotStreaks(root)
+    sink = boards.HotStreaks(root, idle_seconds=None)
     events = tables.table(spark, folder, "events")
     run.replay(
         spark,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -46,3 +46,11 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder name below the shared root."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(rows: DataFrame, label: str = "stored") -> DataFrame:
+    """The same rows as a written table: computed once, its lineage cut, and of known size, so that
+    the optimizer itself decides whether a join may broadcast it."""
+    path = fresh_folder(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

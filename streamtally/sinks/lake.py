@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def _spread(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -48,3 +49,37 @@ def overwrite_partitions(rows: DataFrame, path: str, partitions: Sequence[str])
         .partitionBy(*partitions)
         .parquet(path)
     )
+
+
+def create_table(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    partitions: Sequence[str] = (),
+    location: str | None = None,
+    properties: Mapping[str, str] | None = None,
+    provider: str = "parquet",
+) -> None:
+    """Declare a table unless it exists. Required columns are declared NOT NULL; Parquet itself does
+    not enforce that (see ``require_not_null``)."""
+
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
+        for f in schema.fields
+    )
+    statement = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {provider}"
+    if partitions:
+        statement += f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})"
+    if location is not None:
+        statement += f" LOCATION {text(location)}"
+    if properties:
+        pairs = ", ".join(f"{text(k)} = {text(v)}" for k, v in properties.items())
+        statement += f" TBLPROPERTIES ({pairs})"
+    spark.sql(statement)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -68,12 +68,18 @@ def avro_value(value: Column, schema_json: str, framed: bool = True) -> Column:
     """An Avro value as a struct; ``framed`` strips the registry header first."""
     from pyspark.sql.avro.functions import from_avro
 
-    body = F.expr("value") if value is None else value
-    if framed:
-        body = F.substring(body, FRAME_BYTES + 1, 2_147_483_647)
+    body = F.substring(value, FRAME_BYTES + 1, 2_147_483_647) if framed else value
     return from_avro(body, schema_json, {"mode": "FAILFAST"})
 
 
+def decoded(log: DataFrame, schema_json: str, framed: bool = True) -> DataFrame:
+    """The records of an Avro log, with the log's own time for records that carry none."""
+    record = avro_value(F.col("value"), schema_json, framed)
+    return log.select(record.alias("_record"), F.col("timestamp").alias("log_time")).select(
+        "_record.*", "log_time"
+    )
+
+
 def from_partitions(log: DataFrame, partitions: Sequence[int]) -> DataFrame:
     """Explicitly assigned partitions only."""
     return log.where(F.col("partition").isin([int(p) for p in partitions]))

@@ -242,7 +242,7 @@ def as_messages(events: DataFrame) -> DataFrame:
     """JSON order messages as a log holds them. Some amounts are text, words or missing, and some
     messages are cut off."""
     value = F.col("value")
-    words = '"ONE THOUSAND DOLLARS"'
+    words = '"rather a lot"'
     amount = (
         F.when((F.col("event_type") == "error") & (value > 50), F.lit(words))
         .when(F.col("event_type") == "view", F.concat(F.lit('"'), value.cast("string"), F.lit('"')))

@@ -101,7 +101,7 @@ class HotStreaks:
     carried ones. Carried are the rows of the last ``long`` seconds before the watermark (history)
     and those after it (not yet complete): a time slice, not the table. Rows at or before the
     previous watermark are late and dropped. Users idle for ``idle_seconds`` of event time are
-    forgotten, if it is set; that bounds the state by the active users.
+    forgotten, which bounds the state by the active users (None keeps all).
     """
 
     def __init__(
@@ -111,7 +111,7 @@ class HotStreaks:
         delay_seconds: int = 5,
         short: int = SHORT,
         long: int = LONG,
-        idle_seconds: int | None = None,
+        idle_seconds: int | None = 300,
     ) -> None:
         self.k, self.delay, self.short, self.long = k, delay_seconds, short, long
         self.idle = idle_seconds

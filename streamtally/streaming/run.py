@@ -34,6 +34,18 @@ def drain_to_files(rows: DataFrame, path: str, checkpoint: str, partitions: list
     return drain(writer)
 
 
+def drain_to_table(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Append to a declared table; the sink adopts its columns and partitioning."""
+    query = (
+        rows.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .toTable(table)
+    )
+    query.awaitTermination()
+    return query
+
+
 def stream_to_folder(
     spark: SparkSession, rows: DataFrame, label: str, partitions: list[str] | None = None
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from streamtally.operators import sliding, supplier_stats
 from streamtally.schemas import ORDER_STREAM, USER_SCORES, record
 from streamtally.session import fresh_folder
+from streamtally.sinks import lake
 from streamtally.sources.files import stream_parquet
 from streamtally.streaming import boards, enrich, expiring, run, supplier
 
@@ -84,6 +85,22 @@ def test_closed_windows_equal_the_batch_twin(spark):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, twin.collect()))
 
 
+def test_stream_appends_to_a_declared_table(spark):
+    root = fresh_folder(spark, "table")
+    lake.create_table(
+        spark, "streamed_orders", ORDER_STREAM, ["supplier"], f"{root}/table", {"purpose": "a test"}
+    )
+    lake.create_table(spark, "streamed_orders", ORDER_STREAM, ["supplier"], f"{root}/table")
+    try:
+        orders(spark, [("1", "1", "a", at(0)), ("2", "1", "b", at(1))]).write.parquet(f"{root}/in")
+        stream = stream_parquet(spark, f"{root}/in", ORDER_STREAM)
+        run.drain_to_table(stream, "streamed_orders", f"{root}/checkpoint")
+        assert spark.table("streamed_orders").where("supplier = 'b'").count() == 1
+    finally:
+        lake.drop_table(spark, "streamed_orders")
+    assert not spark.catalog.tableExists("streamed_orders")
+
+
 def totals(spark, rows):
     return spark.createDataFrame(rows, "team_id string, team_name string, total_score bigint")
 
@@ -118,7 +135,7 @@ def test_hot_streaks_over_batches_equal_the_batch_operator(spark):
         (score(f"u{rng.randrange(3)}", rng.randrange(20), rng.randrange(900) / 2) for _ in range(300)),
         key=lambda r: r[4] + dt.timedelta(seconds=rng.random() * 4),
     )
-    sink = boards.HotStreaks(fresh_folder(spark, "hot"))
+    sink = boards.HotStreaks(fresh_folder(spark, "hot"), idle_seconds=None)
     for batch_id in range(4):
         batch = spark.createDataFrame(rows[batch_id * 75 : batch_id * 75 + 75], SCORES)
         sink(batch, batch_id)
