@@ -6,7 +6,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from ..operators.records import project_orders
+from ..operators.records import project_orders, time_or_fallback
 from ..operators.slices import hot_keys
 from ..operators.supplier_stats import with_text_bounds
 from ..schemas import EVENTS
@@ -82,25 +82,44 @@ def stream_collect(spark, folder):
     return with_text_bounds(run.collect_for(spark, stats, 600))
 
 
+UPDATED = """SELECT strftime(w, '%Y-%m-%dT%H:%M:%SZ') AS window_start,
+       strftime(w + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS window_end, supplier,
+       round(SUM(coalesce(TRY_CAST(price AS DOUBLE), 0.0)), {digits}) AS total_price,
+       COUNT(*) AS "count"
+FROM (SELECT {supplier} AS supplier, price, time_bucket(INTERVAL 1 HOUR, {time}) AS w
+      FROM dirty_bids WHERE {time} IS NOT NULL)
+GROUP BY w, supplier"""
+
+
+def _last_updates(spark, stats, digits):
+    root = fresh_folder(spark, "updates")
+    sink = supplier.UpdateLog(f"{root}/out")
+    run.drain(sink.writer(stats, f"{root}/checkpoint"))
+    latest = sink.latest(spark, ["window_start", "window_end", "supplier"])
+    return with_text_bounds(latest.withColumn("total_price", F.round("total_price", digits)))
+
+
+@add(query(DIRTY_BIDS, UPDATED.format(supplier="supplier", time="bid_time", digits=2)))
+def stream_supplier_stats_update(spark, folder):
+    """Windows are sent again for late rows; the last update per window is what counts."""
+    rows = tables.as_dirty_bids(_events(spark, folder))
+    return _last_updates(spark, supplier.refired_windows(rows, HOUR), 2)
+
+
 @add(
     query(
         DIRTY_BIDS,
-        """SELECT strftime(w, '%Y-%m-%dT%H:%M:%SZ') AS window_start,
-       strftime(w + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS window_end, supplier,
-       round(SUM(coalesce(TRY_CAST(price AS DOUBLE), 0.0)), 2) AS total_price, COUNT(*) AS "count"
-FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, bid_time) AS w FROM dirty_bids
-      WHERE bid_time IS NOT NULL)
-GROUP BY w, supplier""",
+        UPDATED.format(
+            supplier="coalesce(supplier, 'UNKNOWN')",
+            time="coalesce(bid_time, arrived_at)",
+            digits=6,
+        ),
     )
 )
-def stream_supplier_stats_update(spark, folder):
-    """Every change of a window is sent; the last one per window is what counts."""
-    root = fresh_folder(spark, "updates")
-    sink = supplier.UpdateLog(f"{root}/out")
-    rows = tables.as_dirty_bids(_events(spark, folder))
-    run.drain(sink.writer(supplier.lenient_windows(rows, HOUR), f"{root}/checkpoint"))
-    latest = sink.latest(spark, ["window_start", "window_end", "supplier"])
-    return with_text_bounds(latest.withColumn("total_price", F.round("total_price", 2)))
+def stream_stats_every_update(spark, folder):
+    """Every change is sent; orders without a time take the log's."""
+    rows = time_or_fallback(tables.as_dirty_bids(_events(spark, folder)), "bid_time", "arrived_at")
+    return _last_updates(spark, supplier.updated_windows(rows, HOUR), 6)
 
 
 @add(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -29,18 +30,22 @@ def local_session(name: str = "streamtally", cores: int | str = "*", **conf: str
     return spark
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="streamtally-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: the one the cluster names, else a local one for tests."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(
-                f"set {CHECKPOINT_CONF} to a folder all executors share; "
-                "sinks, streams and checkpoints are written below it"
-            )
-        root = tempfile.mkdtemp(prefix="streamtally-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(
+            f"set {CHECKPOINT_CONF} to a folder all executors share; "
+            "sinks, streams and checkpoints are written below it"
+        )
+    return _local_root()
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

@@ -21,6 +21,16 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def console_writer(rows: DataFrame, output_mode: str = "append", rows_shown: int = 20):
+    """Print the first rows of each batch."""
+    return (
+        rows.writeStream.outputMode(output_mode)
+        .format("console")
+        .option("numRows", rows_shown)
+        .option("truncate", False)
+    )
+
+
 def drain_to_files(rows: DataFrame, path: str, checkpoint: str, partitions: list[str] | None = None):
     """Append-mode results to Parquet files, each exactly once."""
     writer = (

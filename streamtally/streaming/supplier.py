@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import price_lenient, price_strict
-from ..operators.supplier_stats import WINDOW, windowed
+from ..operators.supplier_stats import UNKNOWN, WINDOW, windowed
 
 DELAY = "5 seconds"
 DELAY_WITH_LATENESS = "10 seconds"
@@ -30,14 +30,23 @@ def closed_windows(
     )
 
 
-def lenient_windows(orders: DataFrame, size: str = WINDOW, delay: str = DELAY_WITH_LATENESS):
-    """For update mode: every change of a window is sent, also by rows up to the delay late.
+def refired_windows(
+    orders: DataFrame, size: str = WINDOW, delay: str = DELAY_WITH_LATENESS
+) -> DataFrame:
+    """For update mode: a window is sent again for every row up to the delay late.
 
-    The delay is out-of-orderness plus allowed lateness.
+    The delay is out-of-orderness plus allowed lateness. Bad prices count as 0.0.
     """
     return closed_windows(orders, size, delay, price_lenient(F.col("price")))
 
 
+def updated_windows(orders: DataFrame, size: str = WINDOW, grace: str = DELAY) -> DataFrame:
+    """For update mode: every change within the grace period. Bad prices count as 0.0, orders
+    without a supplier as ``UNKNOWN``."""
+    supplier = F.coalesce(F.col("supplier"), F.lit(UNKNOWN))
+    return closed_windows(orders, size, grace, price_lenient(F.col("price")), supplier)
+
+
 class UpdateLog:
     """``foreachBatch`` sink for update mode: each batch's changed rows, in a folder of its own.
 

@@ -59,7 +59,7 @@ def test_update_mode_refires_for_late_rows_within_the_delay_only(spark):
     ]
     run.replay(
         spark, arrivals, ORDER_STREAM,
-        lambda s: sink.writer(supplier.lenient_windows(s), f"{root}/checkpoint"),
+        lambda s: sink.writer(supplier.refired_windows(s), f"{root}/checkpoint"),
         f"{root}/landing",
     )
     latest = sink.latest(spark, ["window_start", "window_end", "supplier"])
@@ -69,6 +69,23 @@ def test_update_mode_refires_for_late_rows_within_the_delay_only(spark):
     assert sorted(r["count"] for r in updates) == [1, 2]
 
 
+def test_console_writer_runs(spark):
+    root = fresh_folder(spark, "console")
+    orders(spark, [("only-one", "1", "a", at(1))]).write.parquet(root)
+    query = run.drain(run.console_writer(stream_parquet(spark, root, ORDER_STREAM)))
+    assert sum(p.numInputRows for p in query.recentProgress) == 1
+
+
+def test_shared_root_is_the_named_folder_or_local(spark, monkeypatch):
+    from streamtally import session
+
+    named = spark.conf.get(session.CHECKPOINT_CONF, None)
+    if named:
+        assert session.shared_root(spark) == named.rstrip("/")
+    monkeypatch.setattr(session, "CHECKPOINT_CONF", "spark.not.set")
+    assert session.shared_root(spark) == session.shared_root(spark)
+
+
 def test_closed_windows_equal_the_batch_twin(spark):
     rng = random.Random(1)
     rows = [(str(i), str(rng.randrange(100)), f"s{rng.randrange(3)}", at(rng.randrange(120)))
