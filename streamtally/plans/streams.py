@@ -175,13 +175,13 @@ def stream_top_teams(spark, folder):
     )
 )
 def stream_hot_streaks(spark, folder):
-    """Three arrivals; events after the last watermark are not complete yet."""
+    """Two arrivals; events after the last watermark are not complete yet."""
     root = fresh_folder(spark, "hot")
     sink = boards.HotStreaks(root, idle_seconds=None)
     events = tables.table(spark, folder, "events")
     run.replay(
         spark,
-        _by_time(events, ["2024-01-11", "2024-01-21"]),
+        _by_time(events, ["2024-01-16"]),
         EVENTS,
         lambda stream: sink.writer(tables.as_user_scores(stream), f"{root}/checkpoint"),
         f"{root}/landing",
@@ -202,18 +202,16 @@ def _by_time(events, cuts):
         yield rows
 
 
-ARRIVALS = ["2024-01-02", "2024-01-09"]
+ARRIVALS = ["2024-01-02"]
 ROUTED = (
     PURCHASES
     + ", "
     + VERSIONS
     + """, arrivals AS (
-  SELECT *, CASE WHEN created_at < TIMESTAMP '2024-01-02' THEN 1
-                 WHEN created_at < TIMESTAMP '2024-01-09' THEN 2 ELSE 3 END AS phase FROM purchases),
+  SELECT *, CASE WHEN created_at < TIMESTAMP '2024-01-02' THEN 1 ELSE 2 END AS phase FROM purchases),
 user_arrivals AS (
-  SELECT *, CASE WHEN version_at < TIMESTAMP '2024-01-02' THEN 1
-                 WHEN version_at < TIMESTAMP '2024-01-09' THEN 2 ELSE 3 END AS phase FROM versions),
-phases AS (SELECT * FROM (VALUES (1), (2), (3)) p(phase)),
+  SELECT *, CASE WHEN version_at < TIMESTAMP '2024-01-02' THEN 1 ELSE 2 END AS phase FROM versions),
+phases AS (SELECT * FROM (VALUES (1), (2)) p(phase)),
 marks AS (
   SELECT p.phase, MAX(t) AS mark FROM phases p JOIN (
     SELECT phase, created_at AS t FROM arrivals UNION ALL
@@ -230,7 +228,7 @@ routed AS (
          coalesce(k.email, later.email) AS user_email,
          coalesce(k.postal_code, later.postal_code) AS user_postal_code,
          CASE WHEN k.user_id IS NOT NULL OR later.user_id IS NOT NULL THEN 'enriched'
-              WHEN a.created_at + INTERVAL 30 SECOND <= m.mark OR a.phase < 3 THEN 'missing'
+              WHEN a.created_at + INTERVAL 30 SECOND <= m.mark OR a.phase < 2 THEN 'missing'
          END AS route
   FROM arrivals a
   JOIN marks m ON m.phase = a.phase
@@ -259,7 +257,7 @@ def _enrichment_writer(events, write):
 
 @add(query(ROUTED, "SELECT * FROM routed WHERE route IS NOT NULL"))
 def stream_enrich(spark, folder):
-    """Three arrivals: orders meet the newest user version that has arrived, or go out as missing
+    """Two arrivals: orders meet the newest user version that has arrived, or go out as missing
     once the watermark has passed their waiting time."""
     root = fresh_folder(spark, "enrich")
 
