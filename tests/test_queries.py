@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as spark_entry
+from streamtally import plans
 from tests.compare import oracle_connection, oracle_rows, spark_rows, type_differences
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, ORACLES = plans.queries(), plans.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -34,4 +35,4 @@ def test_entry(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
