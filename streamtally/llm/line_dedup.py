@@ -17,6 +17,7 @@ from .common import register, row_key, table
 
 GRAM_WORDS = 40
 WINDOW_WORDS = 10
+WORD = r"[^ \t\r\x0B\f]+"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -24,9 +25,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     did, seen = row_key(docs)
     keyed = docs.select(did.alias("did"), seen.alias("seen"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     lines = keyed.select("did", "seen", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    words = F.size(F.split(F.trim(F.regexp_replace("line", r"[ \t\r\x0B\f]+", " ")), " "))
-    found = lines.filter(F.trim(F.translate("line", "\t\r\x0b\f", "    ")) != "")
-    rows = found.select("did", "seen", "pos", F.xxhash64("line").alias("line"), words.cast("long").alias("words"))
+    found = lines.filter(F.col("line").rlike(WORD))
+    rows = found.select("did", "seen", "pos", F.xxhash64("line").alias("line"), F.regexp_count("line", F.lit(WORD)).cast("long").alias("words"))
     # Repeated rows (same id and text) are one document here.
     return rows.dropDuplicates(["did", "seen", "pos"])
 
@@ -48,6 +48,8 @@ def _fingerprints(lines: DataFrame, gram_words: int, window_words: int) -> DataF
         .withColumn("gram", F.when(F.col("whole"), F.xxhash64(F.concat_ws(",", F.col("gram_lines").cast("array<string>")))))
         .withColumn("after", F.collect_list("line").over(by_words.rangeBetween(0, 2 * reach - 1)))
         .withColumn("before", F.collect_list("line").over(by_words.rangeBetween(-reach, -1)))
+        .withColumn("after_pos", F.collect_list("pos").over(by_words.rangeBetween(0, 2 * reach - 1)))
+        .withColumn("before_pos", F.collect_list("pos").over(by_words.rangeBetween(-reach, -1)))
     )
     least = F.min(F.when(F.col("whole"), F.struct("gram", (-F.col("nth")).alias("back")))).over(
         by_words.rangeBetween(0, max(window_words - 1, 0))
@@ -58,7 +60,7 @@ def _fingerprints(lines: DataFrame, gram_words: int, window_words: int) -> DataF
     return (
         chosen.withColumn("picked", picks)
         .filter(F.array_contains("picked", F.col("nth")))
-        .select("did", "seen", "nth", "gram", F.size("gram_lines").cast("long").alias("n_lines"), "before", "after")
+        .select("did", "seen", "nth", "gram", F.size("gram_lines").cast("long").alias("n_lines"), "before", "after", "before_pos", "after_pos")
     )
 
 
@@ -71,7 +73,7 @@ def _same_start(a: Column, b: Column) -> Column:
 
 
 def repeated_runs(lines: DataFrame, gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS) -> DataFrame:
-    """Runs of lines to delete: did, seen, first and last (numbers among the lines with words)."""
+    """Runs of lines to delete: did, seen, first and last position."""
     from streamtally.session import stored
 
     prints = stored(_fingerprints(lines, gram_words, window_words), "fingerprints")
@@ -89,18 +91,18 @@ def repeated_runs(lines: DataFrame, gram_words: int = GRAM_WORDS, window_words:
     own = (F.col("did") == F.col("first.did")) & (F.col("seen") == F.col("first.seen"))
     gap = F.col("nth") - F.col("first.nth")
     backward = F.when(own, F.least(backward, F.greatest(gap - 1, F.lit(0)))).otherwise(backward)
-    runs = matched.select("did", "seen", (F.col("nth") - backward).alias("first"), (F.col("nth") + forward - 1).alias("last"),
-                          "n_lines", forward.alias("n"))
-    return runs.filter("n >= n_lines").select("did", "seen", "first", "last")
+    first = F.when(F.col("back") > 0, F.element_at("before_pos", (-F.col("back")).cast("int"))).otherwise(F.element_at("after_pos", 1))
+    runs = matched.select("did", "seen", "n_lines", "before_pos", "after_pos", forward.alias("n"), backward.alias("back")).filter("n >= n_lines")
+    return runs.select("did", "seen", first.alias("first"), F.element_at("after_pos", F.col("n").cast("int")).alias("last"))
 
 
 def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS) -> DataFrame:
-    """``docs`` without later repeats of passages, and with columns ``n_deleted`` (lines) and ``had_words``.
+    """``docs`` without later repeats of passages, and with the number of deleted lines as ``n_deleted``.
 
     The first occurrence of every passage stays. Lines are separated by newlines; the other lines keep their order.
     A document without repeats keeps its text to the letter, null included; one whose lines are all deleted keeps an
     empty text here. Null ids sort first. Repeated rows (same id and same text) are one document and treated alike.
-    Columns of any name pass through, except that n_deleted and had_words are replaced."""
+    Columns of any name pass through, except that n_deleted is replaced."""
     from streamtally.session import stored
 
     lines = _lines(docs)
@@ -109,7 +111,7 @@ def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int
         runs.groupBy("did", "seen").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs")), "runs"
     )
     did, seen = row_key(docs)
-    kept = docs.drop("n_deleted", "had_words").withColumns({"_did": did, "_seen": seen})
+    kept = docs.drop("n_deleted").withColumns({"_did": did, "_seen": seen})
     joined = kept.join(
         per_doc.select(F.col("did").alias("_did"), F.col("seen").alias("_seen"), F.col("runs").alias("_runs")), ["_did", "_seen"], "left"
     )
@@ -117,29 +119,22 @@ def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int
 
 
 def _rebuilt(joined: DataFrame, columns: list[str]) -> DataFrame:
-    """The texts without the lines that lie in a run. Line numbers count lines with words only."""
+    """The texts without the lines that lie in a run."""
     parts = F.split(F.coalesce("text", F.lit("")), "\n")
-    has = F.transform(parts, lambda x: F.trim(F.translate(x, "\t\r\x0b\f", "    ")) != "")
-    # Where each line with words stands among all lines: number -> position.
-    positions = F.filter(F.transform(has, lambda h, i: F.when(h, i)), lambda i: i.isNotNull())
-    gone = F.array_distinct(F.flatten(F.transform("_runs", lambda r: F.slice(positions, r["first"].cast("int"), (r["last"] - r["first"] + 1).cast("int")))))
-    flags = F.map_from_arrays(gone, F.transform(gone, lambda i: F.lit(True)))
-    rest = F.filter(parts, lambda x, i: F.element_at(F.col("_flags"), i).isNull())
+    gone = lambda i: F.exists("_runs", lambda r: (i >= r["first"]) & (i <= r["last"]))
     changed = F.col("_runs").isNotNull()
-    out = joined.withColumn("_flags", F.when(changed, flags))
-    passing = [F.col(f"`{c}`") for c in columns if c not in ("text", "n_deleted", "had_words")]
-    return out.select(
+    passing = [F.col(f"`{c}`") for c in columns if c not in ("text", "n_deleted")]
+    return joined.select(
         *passing,
-        F.when(changed, F.array_join(rest, "\n")).otherwise(F.col("text")).alias("text"),
-        F.when(changed, F.size(F.map_keys("_flags"))).otherwise(0).cast("long").alias("n_deleted"),
-        F.when(changed, F.size(F.filter(has, lambda h: h))).otherwise(0).cast("long").alias("had_words"),
+        F.when(changed, F.array_join(F.filter(parts, lambda x, i: ~gone(i)), "\n")).otherwise(F.col("text")).alias("text"),
+        F.when(changed, F.size(F.filter(parts, lambda x, i: gone(i) & x.rlike(WORD)))).otherwise(0).cast("long").alias("n_deleted"),
     )
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """The documents with shortened texts and unchanged columns; documents of which nothing is left go."""
     found = dedup_lines(docs)
-    left = (F.col("n_deleted") == 0) | (F.trim(F.translate("text", "\n\t\r\x0b\f", "     ")) != "")
+    left = (F.col("n_deleted") == 0) | F.col("text").rlike(r"[^ \t\n\r\x0B\f]")
     kept = found.filter(left)
     return kept.select(*[(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`")) for c in docs.columns])
 
