@@ -112,9 +112,9 @@ def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int
     )
     did, seen = row_key(docs)
     kept = docs.drop("n_deleted").withColumns({"_did": did, "_seen": seen})
-    joined = kept.join(
-        per_doc.select(F.col("did").alias("_did"), F.col("seen").alias("_seen"), F.col("runs").alias("_runs")), ["_did", "_seen"], "left"
-    )
+    # One plan at every size: the runs grow with the documents, so they are never broadcast.
+    found = per_doc.select(F.col("did").alias("_did"), F.col("seen").alias("_seen"), F.col("runs").alias("_runs"))
+    joined = kept.join(found.hint("merge"), ["_did", "_seen"], "left")
     return _rebuilt(joined, docs.columns)
 
 
