@@ -65,12 +65,18 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
+def _digest(items: np.ndarray) -> tuple[int, int]:
+    """Two signed 64-bit hashes of a set."""
+    both = np.frombuffer(xxhash.xxh3_128_digest(items.tobytes()), ">i8")
+    return int(both[0]), int(both[1])
+
+
 def _sets_of(docs: DataFrame, shape, schema: str) -> DataFrame:
     """Applies ``shape`` (rows of a slice, their sets) -> rows to all documents."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, size=1 << 20):
                 yield shape(part, shingle_sets(part["text"].tolist()))
 
     return docs.mapInPandas(work, schema)
@@ -104,14 +110,13 @@ def sketches(texts: DataFrame, most: int = FREQUENT, sample: int = SAMPLE_DOCS)
             n = len(s)
             mask = rare[lo:hi]
             firsts.append(np.concatenate([s[mask], s[~mask]])[: n - (4 * n + 4) // 5 + 1] if n else s)
-        digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
-        signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+        digests = [_digest(s) for s in sets]
         return pd.DataFrame(
             {
                 "doc_id": part["doc_id"].array,
                 "n": sizes,
-                "k1": [signed(d >> 64) for d in digests],
-                "k2": [signed(d & ((1 << 64) - 1)) for d in digests],
+                "k1": [d[0] for d in digests],
+                "k2": [d[1] for d in digests],
                 "point": [p.tobytes() for p in points],
                 "firsts": firsts,
             }
@@ -217,29 +222,19 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     wanted = stored(nodes.join(used, "k1").select("k1", F.col("rep").alias("doc_id")), "wanted")
     small = wanted.count() <= BROADCAST_ROWS
     chosen = texts.join(F.broadcast(wanted) if small else wanted, "doc_id")
-    keyed = _sets_of(
-        chosen,
-        lambda part, sets: pd.DataFrame({"k1": part["k1"].array, "doc_id": part["doc_id"].array, "items": [s.tobytes() for s in sets]}),
-        "k1 long, doc_id long, items binary",
-    )
-    # A doc_id may stand on several rows of different texts: the row whose set has the node's hash counts.
-    digest = F.udf(lambda b: (lambda d: d - (1 << 64) if d >= 1 << 63 else d)(xxhash.xxh3_128_intdigest(bytes(b)) >> 64), "long")
-    sets = stored(keyed.filter(digest("items") == F.col("k1")).select("k1", "items").dropDuplicates(["k1"]), "sets")
+
+    def keyed(part: pd.DataFrame, sets: list[np.ndarray]) -> pd.DataFrame:
+        # A doc_id may stand on several rows of different texts: the row whose set has the node's hash counts.
+        right = np.array([_digest(s)[0] for s in sets], np.int64) == part["k1"].to_numpy()
+        return pd.DataFrame({"k1": part["k1"].array[right], "items": [s for s, ok in zip(sets, right, strict=True) if ok]})
+
+    sets = stored(_sets_of(chosen, keyed, "k1 long, items array<long>").dropDuplicates(["k1"]), "sets")
     # The sets of b travel to a, where a hub with many partners is split by adaptive execution.
     rows = pairs.join(sets.select(F.col("k1").alias("b"), F.col("items").alias("right")), "b").join(
         sets.select(F.col("k1").alias("a"), F.col("items").alias("left")), "a"
     )
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            good = np.zeros(len(batch), bool)
-            for i, (x, y) in enumerate(zip(batch["left"], batch["right"], strict=True)):
-                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                good[i] = 9 * int((y[at] == x).sum()) >= 4 * (len(x) + len(y))
-            yield batch.loc[good, ["a", "b"]]
-
-    return rows.select("a", "b", "left", "right").mapInPandas(check, "a long, b long")
+    linked = 9 * F.size(F.array_intersect("left", "right")) >= 4 * (F.size("left") + F.size("right"))
+    return rows.filter(linked).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, sample: int = SAMPLE_DOCS) -> DataFrame:
