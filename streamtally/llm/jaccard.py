@@ -29,7 +29,7 @@ from .common import chunks, expand, mix64, register, table, texts_of
 from .components import components
 
 SHINGLE_WORDS = 5
-GROUPS = 64
+GROUPS = 256
 # Points in one tree.
 BLOCK = 1024
 FANOUT = 16
@@ -104,7 +104,7 @@ def sketches(texts: DataFrame, most: int = FREQUENT, sample: int = SAMPLE_DOCS)
         if len(common) and len(flat):
             rare = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] != flat
         rows = np.repeat(np.arange(len(sets)), sizes)
-        points = np.bincount(rows * GROUPS + (flat & (GROUPS - 1)), minlength=len(sets) * GROUPS).astype("<i4").reshape(-1, GROUPS)
+        points = np.bincount(rows * GROUPS + (flat & (GROUPS - 1)), minlength=len(sets) * GROUPS).reshape(-1, GROUPS)
         firsts = []
         for s, lo, hi in zip(sets, ends - sizes, ends, strict=True):
             n = len(s)
@@ -117,7 +117,8 @@ def sketches(texts: DataFrame, most: int = FREQUENT, sample: int = SAMPLE_DOCS)
                 "n": sizes,
                 "k1": [d[0] for d in digests],
                 "k2": [d[1] for d in digests],
-                "point": [p.tobytes() for p in points],
+                # One byte a count as long as all fit.
+                "point": [p.astype("u1" if p.max() < 256 else "<i4").tobytes() for p in points],
                 "firsts": firsts,
             }
         )
@@ -184,7 +185,8 @@ def _grouped(rows: DataFrame, keys: list[str], columns: list[str], search, schem
 
 
 def _points(rows: pd.DataFrame) -> np.ndarray:
-    return np.frombuffer(b"".join(rows["point"]), "<i4").reshape(-1, GROUPS)
+    wide = [p if len(p) > GROUPS else np.frombuffer(p, "u1").astype("<i4").tobytes() for p in rows["point"]]
+    return np.frombuffer(b"".join(wide), "<i4").reshape(-1, GROUPS)
 
 
 def _hub_search(rows: pd.DataFrame) -> pd.DataFrame:
