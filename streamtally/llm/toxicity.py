@@ -216,7 +216,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_
         .agg(F.max("toxic").alias("toxic"))
         .filter(fold(F.col("doc_id")) != 2)
     )
-    train = texts.filter("fold != 2").join(known, "doc_id")
+    # One plan at every size: the labels grow with the documents, so they are never broadcast.
+    train = texts.filter("fold != 2").join(known.hint("merge"), "doc_id")
     counts = stored(gram_counts(train.filter("fold != 3")), "grams")
     weights, backing = gram_weights(counts)
     # Both are bounded by the number of slots.
@@ -260,7 +261,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     from streamtally.session import stored
 
     bad = stored(score_documents(docs, labels).filter("predicted = 1").select(F.col("doc_id").alias("_bad_id")).distinct(), "toxic")
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("_bad_id")), "left_anti")
+    return docs.join(bad.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(F.col("_bad_id")), "left_anti")
 
 
 @register()
