@@ -45,19 +45,20 @@ class _Range:
         low, width = self.low[lanes], self.range[lanes] >> np.uint64(PROB_BITS)
         if self.decoding:
             value = ((self.code[lanes] - low) & _WINDOW) // width
-            symbols = (cdf <= np.minimum(value, np.uint64(ONE - 1)).astype(np.int64)[:, None]).sum(axis=1)
-        line = np.arange(len(lanes))
+            symbols = np.count_nonzero(cdf <= np.minimum(value, np.uint64(ONE - 1)).astype(cdf.dtype)[:, None], axis=1)
         last = cdf.shape[1]
-        start = np.where(symbols > 0, cdf[line, np.maximum(symbols, 1) - 1], 0).astype(np.uint64)
-        end = np.where(symbols < last, cdf[line, np.minimum(symbols, last - 1)], ONE).astype(np.uint64)
+        flat, base = cdf.reshape(-1), np.arange(len(lanes)) * last + symbols
+        start = np.where(symbols > 0, flat.take(base - 1, mode="wrap").astype(np.int64), 0).astype(np.uint64)
+        end = np.where(symbols < last, flat.take(base, mode="clip").astype(np.int64), ONE).astype(np.uint64)
         low = (low + start * width) & _WINDOW
         width = (end - start) * width
         while True:
+            small = width < _BOTTOM
             settled = (low ^ (low + width)) < _TOP
-            tight = ~settled & (width < _BOTTOM)
-            moving = np.flatnonzero(settled | tight)
+            moving = np.flatnonzero(settled | small)
             if not len(moving):
                 break
+            tight = small & ~settled
             if tight.any():
                 width = np.where(tight, (~low + np.uint64(1)) & (_BOTTOM - np.uint64(1)), width)
             row = lanes[moving]
@@ -85,7 +86,7 @@ def _even(rows: int, contexts: int, symbols: int) -> np.ndarray:
 
 class _Models:
     def __init__(self, lanes: int) -> None:
-        self.digits = _even(lanes, DIGIT_CONTEXTS, 16).astype(np.uint16)
+        self.digits = _even(lanes, DIGIT_CONTEXTS, 16).astype(np.int16).reshape(-1, 15)
         self.which = [_even(lanes, 32, 4), _even(lanes, 16, 4)]
         self.weight = np.full(lanes, 1 << 15, np.int64)
         self.next1, self.next2 = np.zeros((lanes, ORDER1), np.int32), np.zeros((lanes, ORDER2), np.int32)
@@ -93,7 +94,7 @@ class _Models:
         self.favourite, self.votes = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
         self.one, self.two = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
         self.history = np.zeros(lanes, np.int32)
-        self.digit_target = np.where(np.arange(1, 16)[None, :] > np.arange(16)[:, None], ONE - 16, 0) + np.arange(1, 16)
+        self.digit_target = (np.where(np.arange(1, 16)[None, :] > np.arange(16)[:, None], ONE - 16, 0) + np.arange(1, 16)).astype(np.int16)
         self.which_target = np.where(np.arange(1, 4)[None, :] > np.arange(4)[:, None], ONE - 64, 0) + 16 * np.arange(1, 4)
 
 
@@ -128,10 +129,11 @@ def _step(m: _Models, r: _Range, lanes: np.ndarray, ids: np.ndarray | None) -> n
         value = np.zeros(len(rows), np.int64)
         for digit in range(DIGITS):
             context = _BASE[digit] + value if digit < 3 else 273 + ((value * 40503 >> 4) & (_FOLDED - 1))
-            cdf = m.digits[rows, context].astype(np.int64)
+            slot = rows * DIGIT_CONTEXTS + context
+            cdf = m.digits.take(slot, axis=0)
             symbol = None if ids is None else ids[missed].astype(np.int64) >> (4 * (DIGITS - 1 - digit)) & 15
             symbol = r.code_symbols(rows, cdf, symbol)
-            m.digits[rows, context] = cdf + ((m.digit_target[symbol] - cdf) >> 5)
+            m.digits[slot] = cdf + ((m.digit_target.take(symbol, axis=0) - cdf) >> 5)
             value = value * 16 + symbol
         found[missed] = value
     # What came becomes the prediction, unless a surer one stands.
