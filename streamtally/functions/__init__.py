@@ -1,6 +1,6 @@
 """Column functions: each takes and returns Columns and stays inside the JVM."""
 
-from .numbers import decimal_or_null, guarded_ratio, price_lenient, price_strict
+from .numbers import decimal_or_null, guarded_ratio, is_number, price_lenient, price_strict
 from .text import escaped_field, hash_salt, surrogate_key
 from .times import (
     iso_instant,
@@ -17,6 +17,7 @@ __all__ = [
     "escaped_field",
     "guarded_ratio",
     "hash_salt",
+    "is_number",
     "iso_instant",
     "micros_or_epoch",
     "millis_time",

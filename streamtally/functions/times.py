@@ -1,4 +1,4 @@
-"""Time parsing and formatting; texts are UTC when the session time zone is."""
+"""Time parsing and formatting; texts with a ``Z`` are UTC whatever the session time zone."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+WEEKDAY = "^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun) ([^\\n]*)$"
+
+
 def millis_time(millis: Column) -> Column:
     return F.timestamp_millis(millis)
 
@@ -20,9 +23,17 @@ def micros_or_epoch(micros: Column) -> Column:
     return F.timestamp_micros(F.coalesce(micros.cast("bigint"), F.lit(0)))
 
 
+def _utc_wall(time: Column) -> Column:
+    """``2024-01-01T00:00:05`` of the instant in UTC, by arithmetic from the epoch."""
+    seconds = F.floor(F.unix_micros(time) / F.lit(1_000_000)).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    wall = epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.replace(wall.cast("string"), F.lit(" "), F.lit("T"))
+
+
 def utc_text(time: Column) -> Column:
     """Whole-second window text, for example ``2024-01-01T00:00:05Z``."""
-    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.concat(_utc_wall(time.cast("timestamp")), F.lit("Z"))
 
 
 def _micros_of_second(time: Column) -> Column:
@@ -34,8 +45,11 @@ def iso_instant(time: Column) -> Column:
     micros = _micros_of_second(time)
     return (
         F.when(micros == 0, utc_text(time))
-        .when(micros % 1000 == 0, F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .otherwise(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+        .when(
+            micros % 1000 == 0,
+            F.concat(_utc_wall(time), F.format_string(".%03dZ", (micros / 1000).cast("int"))),
+        )
+        .otherwise(F.concat(_utc_wall(time), F.format_string(".%06dZ", micros.cast("int"))))
     )
 
 
@@ -48,6 +62,8 @@ def sql_time_text(time: Column) -> Column:
 def parse_clock_text(text: Column) -> Column:
     """``Mon Jan 01 00:00:07 UTC 2024`` to a timestamp, null where the text does not match.
 
-    Spark formats weekday names but does not parse them, so the redundant weekday is cut off.
+    Spark formats weekday names but does not parse them, so the redundant weekday is cut off; a text
+    that does not begin with one does not match.
     """
-    return F.try_to_timestamp(F.substring(text, 5, 64), F.lit("MMM dd HH:mm:ss zzz yyyy"))
+    rest = F.regexp_extract(text, WEEKDAY, 1)
+    return F.when(text.rlike(WEEKDAY), F.try_to_timestamp(rest, F.lit("MMM dd HH:mm:ss zzz yyyy")))

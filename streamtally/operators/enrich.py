@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .slices import SLICE, hot_keys, is_hot, slice_of
+from .slices import SLICE, slice_start
 
 WAIT_SECONDS = 30
 MICROS = 1_000_000
@@ -49,7 +47,6 @@ def match_as_of(
     versions: DataFrame,
     wait_seconds: int = WAIT_SECONDS,
     slice_seconds: int = 600,
-    hot: Sequence | None = None,
 ) -> DataFrame:
     """Each order with the user version it meets.
 
@@ -58,17 +55,15 @@ def match_as_of(
     ``enriched``). ``versions`` carries ``version_at`` and the user fields.
 
     Orders and versions are merged and scanned in time order, so the work is linear and no pairs
-    are formed. The time of a hot user is cut into slices; a slice gets the last version before it,
-    and the versions of the ``wait_seconds`` after it, as extra rows. ``hot`` are the users to cut,
-    found by a scan of both sides' keys if not given.
+    are formed. The time of every user is cut into slices; a slice gets the last version before it,
+    and the versions of the ``wait_seconds`` after it, as extra rows. Of versions at one instant the
+    one with the greatest fields is the newest (the first after an order: the one with the least).
     """
     if not 0 <= wait_seconds <= slice_seconds:
         raise ValueError("need 0 <= wait_seconds <= slice_seconds")
-    if hot is None:
-        hot = hot_keys(orders.select("user_id").unionByName(versions.select("user_id")), "user_id")
     width = slice_seconds * MICROS
     at = F.col("_at")
-    own_slice = slice_of("user_id", hot, at, width)
+    own_slice = slice_start(at, width)
     order_rows = orders.select(
         "user_id",
         F.unix_micros("created_at").alias("_at"),
@@ -82,19 +77,17 @@ def match_as_of(
         F.struct(*USER_FIELDS).alias("_user"),
     ).withColumn(SLICE, own_slice)
     merged = order_rows.unionByName(version_rows, allowMissingColumns=True)
-    if hot:
-        waited_for = slice_of("user_id", hot, at - wait_seconds * MICROS, width)
-        ahead = version_rows.where(
-            is_hot("user_id", hot) & (waited_for != F.col(SLICE))
-        ).withColumn(SLICE, waited_for)
-        before = _versions_before_slices(order_rows, version_rows, hot)
-        merged = merged.unionByName(ahead, allowMissingColumns=True).unionByName(
-            before, allowMissingColumns=True
-        )
+    # Rows without a time have no slice and are of no other slice.
+    waited_for = slice_start(at - wait_seconds * MICROS, width)
+    ahead = version_rows.where(waited_for != F.col(SLICE)).withColumn(SLICE, waited_for)
+    before = _versions_before_slices(order_rows, version_rows)
+    merged = merged.unionByName(ahead, allowMissingColumns=True).unionByName(
+        before, allowMissingColumns=True
+    )
     version = F.when(F.col("_kind") == VERSION, F.struct("_at", "_user"))
-    keys = ["user_id", SLICE] if hot else ["user_id"]
-    upward = Window.partitionBy(*keys).orderBy("_at", "_kind")
-    downward = Window.partitionBy(*keys).orderBy(F.desc("_at"), F.desc("_kind"))
+    in_slice = Window.partitionBy("user_id", SLICE)
+    upward = in_slice.orderBy("_at", "_kind", "_user")
+    downward = in_slice.orderBy(F.desc("_at"), F.desc("_kind"), F.desc("_user"))
     seen = merged.select(
         "_order",
         "_at",
@@ -116,17 +109,15 @@ def match_as_of(
     )
 
 
-def _versions_before_slices(orders: DataFrame, versions: DataFrame, hot: Sequence) -> DataFrame:
-    """Per hot user and slice with orders: the newest version of all earlier slices."""
+def _versions_before_slices(orders: DataFrame, versions: DataFrame) -> DataFrame:
+    """Per user and slice with orders: the newest version of all earlier slices."""
     tails = (
-        versions.where(is_hot("user_id", hot))
-        .groupBy("user_id", SLICE)
-        .agg(F.max_by(F.struct("_at", "_user"), F.col("_at")).alias("_tail"))
+        versions.groupBy("user_id", SLICE)
+        .agg(F.max(F.struct("_at", "_user")).alias("_tail"))
         .withColumn("_wanted", F.lit(False))
     )
     wanted = (
-        orders.where(is_hot("user_id", hot))
-        .select("user_id", SLICE)
+        orders.select("user_id", SLICE)
         .distinct()
         .withColumn("_wanted", F.lit(True))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import decimal_or_null, price_strict
+from ..functions import decimal_or_null, is_number, price_strict
 from ..session import stored
 
 
@@ -72,7 +72,8 @@ def evolve_to(
 def with_verdict(messages: DataFrame, value: str = "value") -> DataFrame:
     """Adds the parsed ``amount`` and, for records that cannot be processed, a ``reason``.
 
-    The amount may be a JSON number or numeric text; unreadable JSON, no amount and other text are
+    The amount may be a JSON number or numeric text; unreadable JSON, no amount, other text and
+    numbers that 38 digits with 18 decimals cannot hold exactly (``amount out of range``) are
     failures. The message is read as the only element of an array, so that text before or after
     the object makes it unreadable.
     """
@@ -89,7 +90,8 @@ def with_verdict(messages: DataFrame, value: str = "value") -> DataFrame:
                 "amount": F.when(~unreadable, amount),
                 "reason": F.when(unreadable, F.lit("unreadable json"))
                 .when(order["amount"].isNull(), F.lit("no amount"))
-                .when(amount.isNull(), F.lit("amount is not a number")),
+                .when(~is_number(order["amount"]), F.lit("amount is not a number"))
+                .when(amount.isNull(), F.lit("amount out of range")),
             }
         )
         .drop("_elements")
@@ -154,13 +156,30 @@ def level_counts(logs: DataFrame) -> DataFrame:
     return logs.groupBy("service_name", "log_level").agg(F.count(F.lit(1)).alias("records"))
 
 
-def weighted_sample(table: DataFrame, weight: str, n: int, seed: int = 7) -> DataFrame:
-    """``n`` rows without replacement, chance proportional to weight (exponential keys, top-n)."""
-    key = -F.log(F.lit(1.0) - F.rand(seed)) / F.col(weight)
+def _draw(key: str, seed: int) -> Column:
+    """A number in [0, 1) that depends on key and seed only, not on how the table is laid out."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(2.0**52)
+
+
+def weighted_sample(
+    table: DataFrame, weight: str, n: int, key: str, seed: int = 7, place: Column | None = None
+) -> DataFrame:
+    """``n`` rows without replacement, chance proportional to weight (exponential keys, top-n).
+
+    The draw is a hash of ``key``, so it is the same at every rerun. ``place`` restricts the sample
+    to rows that fulfil it."""
+    order = -F.log(F.lit(1.0) - _draw(key, seed)) / F.col(weight)
+    table = table if place is None else table.where(place)
     return (
-        table.where(F.col(weight) > 0).withColumn("_key", key).orderBy("_key").limit(n).drop("_key")
+        table.where(F.col(weight) > 0)
+        .withColumn("_order", order)
+        .orderBy("_order", key)
+        .limit(n)
+        .drop("_order")
     )
 
 
-def random_row(table: DataFrame, seed: int = 7) -> DataFrame:
-    return table.orderBy(F.rand(seed)).limit(1)
+def random_row(table: DataFrame, key: str, seed: int = 7) -> DataFrame:
+    """One row, by a hash of its key."""
+    return table.orderBy(_draw(key, seed), key).limit(1)

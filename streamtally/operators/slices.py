@@ -2,11 +2,9 @@
 
 A plain ``PARTITION BY key ORDER BY position`` sorts every row of a key in one task, which a key
 holding a large share of the table turns into the whole job. The helpers here cut the ordered axis
-(time, offset) of such keys into slices of fixed width and partition by ``(key, slice)``. What a
+(time, offset) of every key into slices of fixed width and partition by ``(key, slice)``. What a
 slice needs to know about earlier ones is one row per ``(key, slice)``, aggregated map-side, so the
-only window over a whole key runs over its slices, not its rows.
-
-Which keys are cut changes the plan, never the result.
+only window over a whole key runs over its slices, not its rows. The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -17,10 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
-WHOLE = 0
-HOT_SHARE = 0.005
-HOT_ROWS = 1_000_000
-TRACKED = 10_000
 
 
 def slice_start(position: Column, width: int) -> Column:
@@ -28,35 +22,6 @@ def slice_start(position: Column, width: int) -> Column:
     return position - F.pmod(position, F.lit(width))
 
 
-def hot_keys(
-    rows: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> list:
-    """Keys with at least ``share`` of the rows and ``min_rows`` rows: at most ``1 / share`` values.
-
-    One pass over the key column with a frequent-items sketch, which has no false negatives at this
-    size; each task sends one sketch. Rows without a key are a key of their own (None).
-    """
-    sketch = F.expr(f"approx_top_k(_key, {int(1 / share)}, {TRACKED})")
-    found = (
-        rows.select(F.col(key).alias("_key"))
-        .agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows"))
-        .first()
-    )
-    least = max(min_rows, share * found["rows"])
-    return [item["item"] for item in found["top"] or [] if item["count"] >= least]
-
-
-def is_hot(key: str, hot: Sequence) -> Column:
-    present = [value for value in hot if value is not None]
-    condition = F.coalesce(F.col(key).isin(*present), F.lit(False)) if present else F.lit(False)
-    return condition | F.col(key).isNull() if None in hot else condition
-
-
-def slice_of(key: str, hot: Sequence, position: Column, width: int) -> Column:
-    """The slice of a row: by position for hot keys, one for all rows of any other."""
-    return F.when(is_hot(key, hot), slice_start(position, width)).otherwise(F.lit(WHOLE))
-
-
 def last_before_slice(
     sliced: DataFrame, key: str, order: Sequence[str], value: str
 ) -> DataFrame:
@@ -76,19 +41,14 @@ def previous_value(
     value: str,
     width: int,
     out: str = "previous",
-    hot: Sequence | None = None,
 ) -> DataFrame:
     """``LAG(value) OVER (PARTITION BY key ORDER BY order)`` for a ``value`` without nulls.
 
     ``position`` is the numeric axis that is cut into slices of ``width``; it must be the leading
-    order column (or grow with it). ``hot`` are the keys to cut, found by a scan if not given.
+    order column (or grow with it).
     """
-    if hot is None:
-        hot = hot_keys(rows, key)
-    if not hot:
-        return rows.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
-    cut = rows.withColumn(SLICE, slice_of(key, hot, F.col(position), width))
-    carried = last_before_slice(cut.where(is_hot(key, hot)), key, order, value)
+    cut = rows.withColumn(SLICE, slice_start(F.col(position), width))
+    carried = last_before_slice(cut, key, order, value)
     merged = cut.withColumn("_carried", F.lit(False)).unionByName(
         carried.withColumn("_carried", F.lit(True)), allowMissingColumns=True
     )

@@ -223,10 +223,8 @@ def supplier_window_arith(spark, folder):
     )
 )
 def supplier_latest_window(spark, folder):
-    """The trailing range ends with the data and covers all of it."""
-    return supplier_stats.latest_windows(
-        tables.bids(spark, folder), now=dt.datetime(2024, 1, 31), trailing_ms=31 * 86_400_000
-    )
+    """Over the whole table, as its SQL."""
+    return supplier_stats.latest_windows(tables.bids(spark, folder), trailing_ms=None)
 
 
 @add(
@@ -370,7 +368,7 @@ def order_items_lookup(spark, folder):
     query(
         SHOP_ENRICHED,
         """SELECT user_first_name, user_last_name, user_email, CAST(created_at AS DATE) AS report_date,
-       CAST(round(SUM(quantity * unit_price), 2) AS DECIMAL(15,2)) AS total_revenue,
+       CAST(SUM(quantity * CAST(unit_price AS DECIMAL(16,4))) AS DECIMAL(15,2)) AS total_revenue,
        COUNT(*) AS total_orders
 FROM enriched GROUP BY 1, 2, 3, 4""",
     )
@@ -383,7 +381,7 @@ def user_daily_stats(spark, folder):
     query(
         SHOP_ENRICHED,
         """SELECT category, CAST(created_at AS DATE) AS report_date,
-       CAST(round(SUM(quantity * unit_price), 2) AS DECIMAL(15,2)) AS total_revenue,
+       CAST(SUM(quantity * CAST(unit_price AS DECIMAL(16,4))) AS DECIMAL(15,2)) AS total_revenue,
        COUNT(*) AS total_orders
 FROM enriched GROUP BY 1, 2""",
     )
@@ -685,12 +683,18 @@ def kafka_key_value(spark, folder):
     return key_value(tables.bids(spark, folder), "order_id")
 
 
-@add(None)
+DRAW = "('0x' || substr(md5('7:' || CAST(c_custkey AS VARCHAR)), 1, 13))::BIGINT / pow(2.0, 52)"
+
+
+@add(
+    f"""SELECT * FROM customer WHERE c_acctbal > 0
+ORDER BY -ln(1.0 - {DRAW}) / c_acctbal, c_custkey LIMIT 100"""
+)
 def weighted_sample(spark, folder):
-    """Random, so only the row count can be checked."""
-    return records.weighted_sample(tables.table(spark, folder, "customer"), "c_acctbal", 100)
+    customers = tables.table(spark, folder, "customer")
+    return records.weighted_sample(customers, "c_acctbal", 100, "c_custkey")
 
 
-@add(None)
+@add(f"SELECT * FROM customer ORDER BY {DRAW}, c_custkey LIMIT 1")
 def random_row(spark, folder):
-    return records.random_row(tables.table(spark, folder, "customer"))
+    return records.random_row(tables.table(spark, folder, "customer"), "c_custkey")

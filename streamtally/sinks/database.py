@@ -34,7 +34,7 @@ def stage_batch(
 ) -> None:
     """Write a batch to its staging table with a bounded number of connections."""
     (
-        rows.coalesce(writers)
+        rows.repartition(writers)
         .write.format("jdbc")
         .mode("overwrite")
         .options(url=url, dbtable=staging, driver=driver, batchsize=str(batch_size), truncate="true")

@@ -16,13 +16,19 @@ def merge(
     updates: DataFrame,
     keys: Sequence[str],
     update_fields: Sequence[str] | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """``target`` after an upsert: rows of known keys take ``update_fields`` (default: all but the
-    keys) from ``updates``, unknown keys are added with all fields. Keys are unique on each side."""
+    keys) from ``updates``, unknown keys are added with all fields.
+
+    Of several updates of one key the newest by ``order`` (then by all fields) counts. Keys are
+    unique in ``target``."""
     fields = [c for c in target.columns if c not in keys]
     changed = set(fields if update_fields is None else update_fields)
     old = target.select(*keys, F.struct(*fields).alias("_old"))
-    new = updates.select(*keys, F.struct(*fields).alias("_new"))
+    newest = F.struct(*order, *[c for c in fields if c not in order])
+    new = updates.groupBy(*keys).agg(F.max(newest).alias("_newest"))
+    new = new.select(*keys, F.struct(*[F.col(f"_newest.{c}").alias(c) for c in fields]).alias("_new"))
     joined = old.join(new, list(keys), "full_outer")
 
     def value(name: str) -> Column:
@@ -77,8 +83,10 @@ class KeyedTable:
         updates: DataFrame,
         update_fields: Sequence[str] | None = None,
         deletes: DataFrame | None = None,
+        order: Sequence[str] = (),
     ) -> None:
-        """Apply upserts, then remove the keys in ``deletes``.
+        """Apply upserts, then remove the keys in ``deletes``. Of several updates of one key the
+        newest by ``order`` counts.
 
         At most ``buckets`` numbers come to the driver, to prune the buckets that stay as they are.
         """
@@ -93,7 +101,7 @@ class KeyedTable:
         if not numbers:
             return
         old = self._stored(spark).where(F.col(BUCKET).isin(numbers))
-        merged = merge(old, new, keys, update_fields)
+        merged = merge(old, new, keys, update_fields, order)
         if deletes is None:
             merged = merged.withColumn(GONE, F.lit(False))
         else:

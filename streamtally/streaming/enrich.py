@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -12,7 +12,6 @@ from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulP
 
 from ..functions import hash_salt
 from ..operators.enrich import ORDER_FIELDS, SINK_FIELDS, USER_FIELDS, WAIT_SECONDS
-from ..operators.slices import is_hot
 from ..schemas import record
 from ..sinks.routes import fan_out
 from ..sinks.text import json_text, tsv_lines
@@ -73,9 +72,12 @@ class _WaitForUser(StatefulProcessor):
         now = None if self.event_time else self._now(timerValues)
         held, earliest, spilled = [], None, False
         for row in rows:
-            if row.version is not None:
-                if newest is None or row.version >= newest[0]:
-                    newest = (row.version, *(row[f"new_{f}"] for f in USER_FIELDS))
+            if row.is_user:
+                version = (row.version, *(row[f"new_{f}"] for f in USER_FIELDS))
+                # Of versions at one instant the one with the greatest fields counts, nulls least.
+                rank = [(x is not None, x) for x in version]
+                if newest is None or rank >= [(x is not None, x) for x in newest]:
+                    newest = version
                 continue
             arrived = row.created_us // 1000 if self.event_time else now
             deadline = arrived + self.wait_ms
@@ -128,7 +130,6 @@ def route_orders(
     event_time: bool = False,
     delay: str = "5 seconds",
     salts: int = 8,
-    hot: Sequence | None = None,
 ) -> DataFrame:
     """Streaming orders with their user's newest known version, or ``missing`` after the wait.
 
@@ -136,20 +137,23 @@ def route_orders(
     watermark, which trails the newest row by ``delay`` (replays then give the same result).
 
     The orders of a user are spread over ``salts`` keys and the user's versions sent to each, so
-    that a user with a large share of all orders does not end in one task. With ``hot`` (for
-    example from the table of past orders) only these users are spread. Both are part of the
-    state's key: keep them for the life of a checkpoint.
+    that a user with a large share of all orders does not end in one task. The salts are part of the
+    state's key: keep them for the life of a checkpoint. An order without time is taken at the epoch,
+    a version without time is older than any other.
+
+    With ``event_time`` the engine drops rows that are more than ``delay`` behind the newest: choose
+    it as large as input can be late, or wait in processing time, which drops nothing.
     """
-    spread = F.lit(True) if hot is None else is_hot("user_id", hot)
     # The Python side drops column names that start with an underscore, so none do.
     tagged_orders = orders.select(
         *ORDER_FIELDS,
-        F.unix_micros("created_at").alias("created_us"),
-        F.when(spread, hash_salt(F.col("order_id"), salts)).otherwise(F.lit(0)).alias("salt"),
+        F.coalesce(F.unix_micros("created_at"), F.lit(0)).alias("created_us"),
+        hash_salt(F.col("order_id"), salts).alias("salt"),
+        F.lit(False).alias("is_user"),
         F.lit(None).cast("bigint").alias("version"),
         *[F.lit(None).cast("string").alias(f"new_{f}") for f in USER_FIELDS],
     )
-    copies = F.when(spread, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.sequence(F.lit(0), F.lit(salts - 1))
     tagged_users = users.select(
         *[
             F.col("user_id") if name == "user_id" else F.lit(None).cast(kind).alias(name)
@@ -158,6 +162,7 @@ def route_orders(
         F.col("version_at").alias("created_at"),
         F.lit(None).cast("bigint").alias("created_us"),
         F.explode(copies).alias("salt"),
+        F.lit(True).alias("is_user"),
         F.unix_micros("version_at").alias("version"),
         *[F.col(f).alias(f"new_{f}") for f in USER_FIELDS],
     )

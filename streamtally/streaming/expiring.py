@@ -53,10 +53,9 @@ class ExpiringTotals:
             )
         )
         self.totals.write(merged, batch_id)
-        self.last = batch_id
 
     def writer(self, scores: DataFrame, checkpoint: str) -> DataStreamWriter:
         return scores.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self)
 
     def current(self, spark: SparkSession) -> DataFrame:
-        return self.totals.read(spark, self.last).drop("touched")
+        return self.totals.read(spark, self.totals.newest(spark)).drop("touched")

@@ -68,7 +68,8 @@ def stream_to_folder(
 def collect_for(
     spark: SparkSession, rows: DataFrame, seconds: float, label: str = "collected"
 ) -> DataFrame:
-    """Results that arrive within ``seconds``, as a table; the stream is stopped then."""
+    """All results of the rows present, as a table, if they arrive within ``seconds``; else the
+    stream is stopped and a ``TimeoutError`` says so."""
     root = fresh_folder(spark, label)
     query = (
         rows.writeStream.format("parquet")
@@ -80,6 +81,7 @@ def collect_for(
     )
     if not query.awaitTermination(seconds):
         query.stop()
+        raise TimeoutError(f"{label}: not all results arrived within {seconds} s")
     return spark.read.schema(rows.schema).parquet(f"{root}/out")
 
 

@@ -24,6 +24,17 @@ class VersionedTable:
             return spark.createDataFrame([], self.schema)
         return spark.read.schema(self.schema).parquet(self._folder(version))
 
+    def newest(self, spark: SparkSession) -> int:
+        """The last version that was written whole, -1 without any."""
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(root):
+            return -1
+        names = [s.getPath().getName() for s in files.listStatus(root)]
+        done = spark._jvm.org.apache.hadoop.fs.Path
+        whole = [n for n in names if files.exists(done(f"{self.path}/{n}/_SUCCESS"))]
+        return max((int(n.removeprefix("v=")) for n in whole), default=-1)
+
     def write(self, rows: DataFrame, version: int) -> DataFrame:
         spark = rows.sparkSession
         rows.select(*self.schema.names).write.mode("overwrite").parquet(self._folder(version))

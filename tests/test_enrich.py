@@ -39,12 +39,10 @@ def match(spark, orders, versions, **options):
     return {r.order_id: (r.user_first_name, r.route) for r in frame.collect()}
 
 
-@pytest.mark.parametrize("hot", [[], ["u"], ["u", None]])
-def test_waiting_time(spark, hot):
+def test_waiting_time(spark):
     orders = [order("29", "a", 1), order("31", "b", 0), order("never", "c", 0), order("null", None, 0)]
     versions = [version("a", "A", 30), version("b", "B", 31)]
-    hot = ["a", "b", *hot]
-    assert match(spark, orders, versions, hot=hot, slice_seconds=30) == {
+    assert match(spark, orders, versions, slice_seconds=30) == {
         "29": ("A", "enriched"), "31": (None, "missing"), "never": (None, "missing"),
         "null": (None, "missing"),
     }
@@ -54,7 +52,7 @@ def test_newest_version_before_wins_over_a_later_one(spark):
     orders = [order("x", "u", 100), order("same", "u", 200)]
     versions = [version("u", "old", 0), version("u", "new", 99), version("u", "later", 101),
                 version("u", "now", 200)]
-    assert match(spark, orders, versions, hot=[]) == {
+    assert match(spark, orders, versions) == {
         "x": ("new", "enriched"), "same": ("now", "enriched"),
     }
 
@@ -70,16 +68,16 @@ def as_of_brute_force(orders, versions, wait):
     return found
 
 
-@pytest.mark.parametrize("hot", [[], ["u0"], ["u0", "u1", "u2", "u3"]])
-def test_as_of_equals_brute_force(spark, hot):
-    rng = random.Random(len(hot))
+@pytest.mark.parametrize("width", [30, 60, 600, 100_000])
+def test_as_of_equals_brute_force(spark, width):
+    rng = random.Random(width)
     orders = [
         order(str(i), "u0" if i % 2 else f"u{rng.randrange(4)}", rng.randrange(4000))
         for i in range(150)
     ]
     times = rng.sample(range(500, 4000), 12)
     versions = [version(f"u{i % 3}", f"n{i}", t) for i, t in enumerate(times)]
-    have = match(spark, orders, versions, hot=hot, slice_seconds=60)
+    have = match(spark, orders, versions, slice_seconds=width)
     assert have == as_of_brute_force(orders, versions, 30)
 
 
@@ -89,15 +87,15 @@ def test_sink_shape_adds_missing_tail(spark):
     assert frame.first().user_email is None
 
 
-@pytest.mark.parametrize("hot", [None, [], ["k0"], ["k0", "k1", None]])
-def test_previous_value_equals_lag(spark, hot):
+@pytest.mark.parametrize("width", [1, 25, 10_000])
+def test_previous_value_equals_lag(spark, width):
     rng = random.Random(9)
     rows = [
         (None if i % 17 == 0 else f"k{min(rng.randrange(5), 2)}", i, f"v{rng.randrange(3)}")
         for i in rng.sample(range(1000), 200)
     ]
     frame = spark.createDataFrame(rows, "k string, pos bigint, v string")
-    have = slices.previous_value(frame, "k", "pos", ["pos"], "v", 25, hot=hot)
+    have = slices.previous_value(frame, "k", "pos", ["pos"], "v", width)
     last, want = {}, {}
     for k, pos, v in sorted(rows, key=lambda r: r[1]):
         want[pos] = last.get(k)
@@ -105,13 +103,11 @@ def test_previous_value_equals_lag(spark, hot):
     assert {r.pos: r.previous for r in have.collect()} == want
 
 
-def test_hot_keys_are_found(spark):
-    frame = spark.range(3000).selectExpr(
-        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('k', id) END AS k"
-    )
-    assert slices.hot_keys(frame, "k", share=0.1, min_rows=100) == ["hot", None]
-    assert slices.hot_keys(frame, "k") == []
-    assert slices.hot_keys(frame.where("false"), "k", min_rows=1) == []
+def test_versions_at_one_instant_have_an_order(spark):
+    versions = [version("u", "b", 5), version("u", "a", 5)]
+    orders = [order("x", "u", 9), order("early", "u", 0)]
+    for given in (versions, versions[::-1]):
+        assert match(spark, orders, given) == {"x": ("b", "enriched"), "early": ("a", "enriched")}
 
 
 def user(name, created=1):

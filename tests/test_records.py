@@ -9,6 +9,7 @@ from streamtally import functions as fn
 from streamtally.operators import records
 from streamtally.schemas import ORDER_V1, ORDER_V2
 from streamtally.sinks import database as database_sink
+from streamtally.sinks import keyed
 from streamtally.sinks import log as log_sink
 from streamtally.sinks import text
 from streamtally.sources import database, log
@@ -114,8 +115,56 @@ def test_required_columns(spark):
 def test_weighted_sample_prefers_weight_and_skips_none(spark):
     frame = spark.range(200).withColumn("w", F.when(F.col("id") < 10, 1e6).otherwise(1.0))
     frame = frame.withColumn("w", F.when(F.col("id") == 0, 0.0).otherwise(F.col("w")))
-    ids = {r.id for r in records.weighted_sample(frame, "w", 9).collect()}
+    ids = {r.id for r in records.weighted_sample(frame, "w", 9, "id").collect()}
     assert ids == set(range(1, 10))
+    near = {r.id for r in records.weighted_sample(frame, "w", 5, "id", place=F.col("id") >= 100).collect()}
+    assert len(near) == 5 and min(near) >= 100
+    # The same draw on another layout of the table.
+    again = records.weighted_sample(frame.repartition(7), "w", 60, "id").collect()
+    assert set(again) == set(records.weighted_sample(frame, "w", 60, "id").collect())
+
+
+@pytest.mark.parametrize(
+    "text, amount, reason",
+    [
+        ("123456789012345678901234", None, "amount out of range"),
+        ("0.12345678901234567890", None, "amount out of range"),
+        ("1e-20", None, "amount out of range"),
+        ("12345678901234567890.5000000000000000000000", "12345678901234567890.500000000000000000", None),
+        ("1.5e3", "1500.000000000000000000", None),
+        ("-.5", "-0.500000000000000000", None),
+        ("12x", None, "amount is not a number"),
+        ("", None, "amount is not a number"),
+    ],
+)
+def test_amounts_are_exact_or_out_of_range(spark, text, amount, reason):
+    frame = spark.createDataFrame([(f'{{"amount": "{text}"}}',)], "value string")
+    row = records.with_verdict(frame).first()
+    assert (None if row.amount is None else str(row.amount), row.reason) == (amount, reason)
+
+
+def test_utc_texts_in_another_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        micros = [0, 1_709_968_200_123_000, 1_709_965_800_000_001, -1]
+        frame = spark.createDataFrame([(m,) for m in micros], "m bigint").select(F.timestamp_micros("m").alias("t"))
+        have = [tuple(r) for r in frame.select(fn.utc_text(F.col("t")), fn.iso_instant(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert have == [
+        ("1970-01-01T00:00:00Z", "1970-01-01T00:00:00Z"),
+        ("2024-03-09T07:10:00Z", "2024-03-09T07:10:00.123Z"),
+        ("2024-03-09T06:30:00Z", "2024-03-09T06:30:00.000001Z"),
+        ("1969-12-31T23:59:59Z", "1969-12-31T23:59:59.999999Z"),
+    ]
+
+
+def test_of_repeated_updates_the_newest_counts(spark):
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, at int")
+    updates = spark.createDataFrame([(1, "z", 2), (1, "y", 3), (3, "c", 1), (3, "d", 1)], "k int, v string, at int")
+    have = sorted(tuple(r) for r in keyed.merge(target, updates, ["k"], order=["at"]).collect())
+    assert have == [(1, "y", 3), (2, "b", 1), (3, "d", 1)]
 
 
 def test_committed_positions(spark):
