@@ -31,6 +31,8 @@ ALPHABETS = {
 # In ordinary writing: how often the class of character changes, and how strongly neighbours are related.
 CLASS_CHANGES = 0.15
 NEIGHBOURS = 0.3
+# No single p-value may be above this.
+AGAINST = 0.85
 # Strata hold lengths from one power of two to the next; p-values fall into bins of a quarter of a natural logarithm.
 BINS = 4.0
 
@@ -116,7 +118,9 @@ def _tokenised(x: Column) -> Column:
     letters = F.when(encoding == "base64", F.translate(s, "-_", "+/")).otherwise(F.lower(s))
     alphabet = F.coalesce(*[F.when(encoding == name, F.lit(letters_)) for name, (letters_, _) in ALPHABETS.items()])
     agree = F.coalesce(*[F.when(encoding == name, F.lit(chance)) for name, (_, chance) in ALPHABETS.items()])
+    # Separators belong to no class of their own: words joined by them do not change class.
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
+    kinds = F.regexp_replace(kinds, "[-_/+]", "")
     split = lambda c: F.filter(F.split(c, ""), lambda one: one != "")
     return _let(
         _counted,
@@ -126,7 +130,7 @@ def _tokenised(x: Column) -> Column:
         k=F.length(alphabet).cast("double"),
         n=F.greatest(F.length(s), F.lit(2)).cast("double"),
         chars=split(letters),
-        classes=split(F.translate(kinds, "-_/", "+++")),
+        classes=split(kinds),
     )
 
 
@@ -165,9 +169,16 @@ def _tested(x: Column) -> Column:
     spread = _sum(F.transform(x["off"], lambda v: v * v))
     together = _sum(_neighbours(x["off"], lambda a, b: a * b))
     serial = _let(lambda y: (F.abs(F.when(y["v"] > 0, y["c"] / y["v"]).otherwise(1.0)) - NEIGHBOURS) * F.sqrt(n), v=spread, c=together)
-    total = sum((-F.log(F.greatest(p, F.lit(1e-15))) for p in (_normal_of(chi), 1 - _normal_of(runs), _normal_of(serial))), F.lit(0.0))
-    # Fisher: twice the sum is chi-squared with six degrees of freedom, whose tail has a closed form.
-    return _let(lambda y: y["t"] - F.log(1 + y["t"] + y["t"] * y["t"] / 2), t=total)
+    return _let(_combined, chi=_normal_of(chi), runs=1 - _normal_of(runs), serial=_normal_of(serial))
+
+
+def _combined(x: Column) -> Column:
+    parts = [x["chi"], x["runs"], x["serial"]]
+    total = sum((-F.log(F.greatest(p, F.lit(1e-15))) for p in parts), F.lit(0.0))
+    # Fisher: twice the sum is chi-squared with six degrees of freedom, whose tail has a closed form. A token that
+    # one test finds to be like most ordinary writing is no candidate, however the others see it.
+    score = _let(lambda y: y["t"] - F.log(1 + y["t"] + y["t"] * y["t"] / 2), t=total)
+    return F.when(F.greatest(*parts) > AGAINST, 0.0).otherwise(score)
 
 
 def _stratum(span: Column) -> Column:
