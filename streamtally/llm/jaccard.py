@@ -15,6 +15,7 @@ many documents meet there, has to fit into one task.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,8 @@ GROUPS = 256
 # Points in one tree.
 BLOCK = 1024
 FANOUT = 16
+# Pairs of two components that one block tries first.
+LIKELIEST = 8
 # Shingles that go last in the global order, found on a bounded sample. The choice only decides speed.
 FREQUENT = 100_000
 SAMPLE_DOCS = 10_000
@@ -139,8 +142,9 @@ class RTree:
                 (np.maximum.reduceat(top, cuts), np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts))
             )
 
-    def search(self, points: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, point) whose bound allows a link: nine overlaps reach four times the sum of the sizes."""
+    def search(self, points: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (query, point) whose bound allows a link, nine overlaps reaching four times the sum of the sizes,
+        and the bound's share of that sum."""
         height = len(self.levels) - 1
         width = len(self.levels[height][0])
         queries, nodes = np.repeat(np.arange(len(points)), width), np.tile(np.arange(width), len(points))
@@ -154,14 +158,15 @@ class RTree:
             own = sizes[queries]
             fits = (5 * most[nodes] >= 4 * own) & (4 * least[nodes] <= 5 * own)
             queries, nodes = queries[fits], nodes[fits]
-            keep = np.zeros(len(queries), bool)
+            keep, share = np.zeros(len(queries), bool), np.zeros(len(queries))
             for lo in range(0, len(queries), 1 << 14):
                 q, x = queries[lo : lo + (1 << 14)], nodes[lo : lo + (1 << 14)]
                 shared = np.minimum(points[q], top[x]).sum(axis=1, dtype=np.int64)
                 other = np.maximum(least[x], (4 * sizes[q] + 4) // 5)
                 keep[lo : lo + (1 << 14)] = 9 * shared >= 4 * (sizes[q] + other)
+                share[lo : lo + (1 << 14)] = shared / (sizes[q] + other)
             queries, nodes = queries[keep], nodes[keep]
-        return queries, self.order[nodes]
+        return queries, self.order[nodes], share[keep]
 
 
 def _grouped(rows: DataFrame, keys: list[str], columns: list[str], search, schema: str) -> DataFrame:
@@ -197,24 +202,36 @@ def _hub_search(rows: pd.DataFrame) -> pd.DataFrame:
     if not hub.any() or not len(others):
         return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
     one = np.flatnonzero(hub)[:1]
-    _, found = RTree(points[others], sizes[others]).search(points[one], sizes[one])
+    _, found, _ = RTree(points[others], sizes[others]).search(points[one], sizes[one])
     ids = rows["k1"].to_numpy()
     return pd.DataFrame({"a": np.repeat(ids[one], len(found)), "b": ids[others[found]]})
 
 
-def _block_search(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components in one block, or between two blocks, of a cell."""
+def _block_search(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
+    """Pairs of different components in one block, or between two blocks, of a cell: all of them, or of any two
+    components the ``most`` likeliest, with a mark if there are more."""
     ids, label, side = (rows[c].to_numpy() for c in ("k1", "label", "side"))
     points, sizes = _points(rows), rows["n"].to_numpy()
     left = np.flatnonzero(side != 1)
     right = np.flatnonzero(side != 0)
     if not len(left) or not len(right):
-        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-    q, x = RTree(points[right], sizes[right]).search(points[left], sizes[left])
+        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "more": np.zeros(0, bool)})
+    q, x, share = RTree(points[right], sizes[right]).search(points[left], sizes[left])
     q, x = left[q], right[x]
     new = (label[q] != label[x]) & ((side[q] != 2) | (ids[q] < ids[x]))
-    a, b = ids[q[new]], ids[x[new]]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    q, x, share = q[new], x[new], share[new]
+    more = np.zeros(len(q), bool)
+    if most is not None and len(q):
+        low, high = np.minimum(label[q], label[x]), np.maximum(label[q], label[x])
+        order = np.lexsort((-share, high, low))
+        q, x, low, high = q[order], x[order], low[order], high[order]
+        starts = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+        sizes_ = np.diff(np.r_[starts, len(q)])
+        rank = np.arange(len(q)) - np.repeat(starts, sizes_)
+        more = np.repeat(sizes_ > most, sizes_)
+        q, x, more = q[rank < most], x[rank < most], more[rank < most]
+    a, b = ids[q], ids[x]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "more": more})
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -239,36 +256,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     return rows.filter(linked).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, sample: int = SAMPLE_DOCS) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``.
-
-    Null and empty texts have no shingles and are linked with nothing. Rows of one doc_id with different texts are
-    one node. Rows without doc_id have no component (null) and link nothing. Other columns are ignored."""
-    texts = texts_of(docs)
-    all_rows = stored(sketches(texts, most, sample), "sketches")
-    rows = all_rows.filter("doc_id is not null and n > 0")
-    nodes = stored(rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "nodes")
-
-    # Cells: (hub, member) for every named shingle that different sets share.
-    named = rows.select("k1", F.explode("firsts").alias("s"))
-    shared = stored(named.groupBy("s").agg(F.min("k1").alias("hub"), F.max("k1").alias("top")).filter("hub < top").select("s", "hub"), "shared")
-    members = stored(named.join(shared, "s").select("hub", "k1").distinct(), "members")
-    sizes = members.groupBy("hub").agg(F.count("*").alias("cell"))
-    described = members.join(sizes, "hub").join(nodes.select("k1", "n", "point"), "k1")
-    blocks = F.ceil(F.col("cell") / block).cast("int")
-    dealt = described.withColumn(
-        "block",
-        F.explode(
-            F.when(F.col("k1") == F.col("hub"), F.sequence(F.lit(0), blocks - 1)).otherwise(
-                F.array(F.pmod(F.xxhash64("k1"), blocks).cast("int"))
-            )
-        ),
-    )
-    stars = _grouped(dealt, ["hub", "block"], ["k1", "n", "point"], _hub_search, "a long, b long")
-    stars = stored(stars, "stars")
-    links = stored(_verified(stars, nodes, texts), "links")
-
-    # What the stars have not joined yet: cells of several components, block against block, equal components together.
+def _unjoined(members: DataFrame, nodes: DataFrame, links: DataFrame, block: int, most: int | None) -> DataFrame:
+    """Pairs (a, b, more) that may be links, of members of one cell that ``links`` do not join yet."""
     label = components(links).withColumnRenamed("node", "k1").withColumnRenamed("component", "label")
     labelled = stored(members.join(label, "k1", "left").select("hub", "k1", F.coalesce("label", "k1").alias("label")), "labelled")
     per_label = labelled.groupBy("hub", "label").agg(F.count("*").alias("c"))
@@ -300,12 +289,54 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, s
     spread = numbered.select("hub", "k1", "label", "n", "point", F.explode(pairs).alias("pair")).select(
         "hub", "pair.lo", "pair.hi", "k1", "label", "n", "point", "pair.side"
     )
-    rest = _grouped(spread, ["hub", "lo", "hi"], ["k1", "label", "side", "n", "point"], _block_search, "a long, b long")
-    more = _verified(rest.distinct().join(stars, ["a", "b"], "left_anti"), nodes, texts)
+    search = functools.partial(_block_search, most=most)
+    return _grouped(spread, ["hub", "lo", "hi"], ["k1", "label", "side", "n", "point"], search, "a long, b long, more boolean")
+
+
+def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, sample: int = SAMPLE_DOCS) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``.
+
+    Null and empty texts have no shingles and are linked with nothing. Rows of one doc_id with different texts are
+    one node. Rows without doc_id have no component (null) and link nothing. Other columns are ignored."""
+    texts = texts_of(docs)
+    all_rows = stored(sketches(texts, most, sample), "sketches")
+    rows = all_rows.filter("doc_id is not null and n > 0")
+    nodes = stored(rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "nodes")
+
+    # Cells: (hub, member) for every named shingle that different sets share.
+    named = rows.select("k1", F.explode("firsts").alias("s"))
+    shared = stored(named.groupBy("s").agg(F.min("k1").alias("hub"), F.max("k1").alias("top")).filter("hub < top").select("s", "hub"), "shared")
+    # One plan at every size: the shared shingles grow with the documents, so they are never broadcast.
+    members = stored(named.join(shared.hint("merge"), "s").select("hub", "k1").distinct(), "members")
+    sizes = members.groupBy("hub").agg(F.count("*").alias("cell"))
+    described = members.join(sizes, "hub").join(nodes.select("k1", "n", "point"), "k1")
+    blocks = F.ceil(F.col("cell") / block).cast("int")
+    dealt = described.withColumn(
+        "block",
+        F.explode(
+            F.when(F.col("k1") == F.col("hub"), F.sequence(F.lit(0), blocks - 1)).otherwise(
+                F.array(F.pmod(F.xxhash64("k1"), blocks).cast("int"))
+            )
+        ),
+    )
+    stars = _grouped(dealt, ["hub", "block"], ["k1", "n", "point"], _hub_search, "a long, b long")
+    stars = stored(stars, "stars")
+    links = stored(_verified(stars, nodes, texts), "links")
+
+    # What the stars have not joined yet: cells of several components, block against block. Two components need one
+    # link only, so the likeliest pairs of any two come first, and all others in a second round if some are left.
+    tested = stars
+    for most in (LIKELIEST, None):
+        rest = stored(_unjoined(members, nodes, links, block, most), "rest")
+        pairs = stored(rest.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "untested")
+        links = stored(links.union(_verified(pairs, nodes, texts)), "links")
+        tested = tested.union(pairs)
+        if rest.filter("more").isEmpty():
+            break
 
     # Components of doc ids: links between sets, and rows that share a doc_id.
     rep = nodes.select("k1", "rep")
-    linked = links.union(more).join(rep.select(F.col("k1").alias("a"), F.col("rep").alias("x")), "a").join(
+    linked = links.join(rep.select(F.col("k1").alias("a"), F.col("rep").alias("x")), "a").join(
         rep.select(F.col("k1").alias("b"), F.col("rep").alias("y")), "b"
     ).select(F.col("x").alias("a"), F.col("y").alias("b"))
     owned = stored(rows.select("doc_id", "k1", "k2").distinct().join(nodes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep"), "owned")

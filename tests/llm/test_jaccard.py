@@ -85,7 +85,7 @@ def test_tree_loses_no_pair_that_the_bound_allows():
     points = rng.poisson(2.0, (300, jaccard.GROUPS))
     points[150:] = points[:150] + (rng.random((150, jaccard.GROUPS)) < 0.02)
     sizes = points.sum(axis=1)
-    q, x = jaccard.RTree(points, sizes).search(points, sizes)
+    q, x, _ = jaccard.RTree(points, sizes).search(points, sizes)
     shared = np.minimum(points[:, None, :], points[None, :, :]).sum(axis=2)
     want = {(a, b) for a, b in zip(*np.nonzero(9 * shared >= 4 * (sizes[:, None] + sizes[None, :])), strict=True)}
     assert want <= set(zip(q.tolist(), x.tolist(), strict=True))
