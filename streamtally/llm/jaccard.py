@@ -356,11 +356,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of repeated rows of that doc_id one stays; rows without doc_id stay."""
     found = near_duplicates(docs)
     gone = stored(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
-    repeated = stored(kept.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_many")), "many")
-    single = kept.join(repeated, kept["doc_id"] == F.col("_many"), "left_anti")
-    several = kept.join(repeated, kept["doc_id"] == F.col("_many"), "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(several)
+    # One plan at every size: the ids grow with the documents, so they are never broadcast.
+    kept = docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    named = docs.filter(F.col("doc_id").isNotNull())
+    if named.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.filter(F.col("doc_id").isNull()))
 
 
 @register()

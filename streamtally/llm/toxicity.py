@@ -10,10 +10,11 @@ evidence (its strongest words and its mean, all normalised by length) goes throu
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -199,12 +200,11 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return mean, scale, w
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, bits: int = SLOT_BITS) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs``.
+def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, bits: int = SLOT_BITS) -> Callable[[list[str]], np.ndarray]:
+    """The scores of texts, as a function that tasks can call.
 
-    Rows without any label, or whose doc_id is null, only get a score. Null and empty texts get the score of a
-    text without evidence. Several labels of one document: one toxic label makes it toxic. Without a single
-    training row of both classes every score is 0. Repeated rows are scored alike; other columns are ignored."""
+    Several labels of one document: one toxic label makes it toxic. Labels of no document, and rows without
+    doc_id, teach nothing. Without a single training row of both classes every score is 0."""
     from streamtally.session import stored
 
     spark = docs.sparkSession
@@ -240,28 +240,45 @@ def score_documents(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_
     else:
         curve = None
 
+    def scores(texts: list[str]) -> np.ndarray:
+        if curve is None:
+            return np.zeros(len(texts))
+        mean, scale, w = curve
+        x = (evidence(texts, *shared.value, bits) - mean) / scale
+        return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
+
+    return scores
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, bits: int = SLOT_BITS) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of ``docs``.
+
+    Rows without any label, or whose doc_id is null, only get a score. Null and empty texts get the score of a
+    text without evidence. Repeated rows are scored alike; other columns are ignored."""
+    scores = fit(docs, labels, curve_docs, bits)
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, contexts = shared.value
         for batch in batches:
             for part in chunks(batch):
-                if curve is None:
-                    score = np.zeros(len(part))
-                else:
-                    mean, scale, w = curve
-                    x = (evidence(part["text"].tolist(), grams, contexts, bits) - mean) / scale
-                    score = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
+                score = scores(part["text"].tolist())
                 yield pd.DataFrame({"doc_id": part["doc_id"].array, "held_out": (part["fold"] == 2).array, "score": score,
                                     "predicted": (score >= THRESHOLD).astype(np.int32)})
 
+    texts = texts_of(docs).withColumn("fold", fold(F.col("doc_id")))
     return texts.mapInPandas(work, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score stays below the threshold, with all their columns."""
-    from streamtally.session import stored
+    scores = fit(docs, labels)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pd.DataFrame({"text": batch.column("text").to_pandas().fillna("").astype(object)})
+            found = [scores(part["text"].tolist()) for part in chunks(texts)]
+            yield batch.filter(pa.array(np.concatenate([*found, np.zeros(0)]) < THRESHOLD))
 
-    bad = stored(score_documents(docs, labels).filter("predicted = 1").select(F.col("doc_id").alias("_bad_id")).distinct(), "toxic")
-    return docs.join(bad.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(F.col("_bad_id")), "left_anti")
+    return docs.mapInArrow(keep, docs.schema)
 
 
 @register()
