@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def _daily(orders: DataFrame, *dimensions: str) -> DataFrame:
     # In decimals, so that no cent depends on the order of adding.
-    revenue = F.sum(F.col("quantity").cast("decimal(10,0)") * F.col("unit_price").cast("decimal(16,4)"))
+    revenue = F.sum(F.col("quantity").cast("decimal(10,0)") * F.col("unit_price").cast("decimal(22,8)"))
     return orders.groupBy(*dimensions, F.to_date("created_at").alias("report_date")).agg(
         revenue.cast("decimal(15,2)").alias("total_revenue"),
         F.count(F.lit(1)).alias("total_orders"),

@@ -368,7 +368,7 @@ def order_items_lookup(spark, folder):
     query(
         SHOP_ENRICHED,
         """SELECT user_first_name, user_last_name, user_email, CAST(created_at AS DATE) AS report_date,
-       CAST(SUM(quantity * CAST(unit_price AS DECIMAL(16,4))) AS DECIMAL(15,2)) AS total_revenue,
+       CAST(SUM(quantity * CAST(unit_price AS DECIMAL(22,8))) AS DECIMAL(15,2)) AS total_revenue,
        COUNT(*) AS total_orders
 FROM enriched GROUP BY 1, 2, 3, 4""",
     )
@@ -381,7 +381,7 @@ def user_daily_stats(spark, folder):
     query(
         SHOP_ENRICHED,
         """SELECT category, CAST(created_at AS DATE) AS report_date,
-       CAST(SUM(quantity * CAST(unit_price AS DECIMAL(16,4))) AS DECIMAL(15,2)) AS total_revenue,
+       CAST(SUM(quantity * CAST(unit_price AS DECIMAL(22,8))) AS DECIMAL(15,2)) AS total_revenue,
        COUNT(*) AS total_orders
 FROM enriched GROUP BY 1, 2""",
     )
