@@ -3,7 +3,7 @@
 A bounded sample is halved again and again along its widest line; the halves' means are the centroids, so that all
 lists are of like size. Every vector goes to the list of its nearest centroid, and boundary vectors also to others
 that are nearly as near. A query finds centroids by walking a small graph of them that every task holds in memory,
-and searches the lists whose centroid is within a ratio of the nearest one's distance. A list longer than a part is
+and searches every list whose centroid is within a ratio of the nearest one's distance, however many these are. A list longer than a part is
 cut into parts by a hash, so that no list has to fit into one task.
 """
 
@@ -33,7 +33,6 @@ REPLICA_RATIO = 1.08
 REPLICAS = 4
 # A query searches lists up to this much farther than its nearest centroid.
 SEARCH_RATIO = 1.30
-BEAM = 96
 DEGREE = 24
 PART_ROWS = 4_096
 
@@ -63,36 +62,46 @@ def fit_centroids(sample: np.ndarray, lists: int) -> np.ndarray:
 
 
 class Graph:
-    """Centroids linked to their nearest ones, and in a ring, so that a walk can reach every one."""
+    """Centroids linked to their nearest ones, in cells around some that lie far apart, where every walk starts."""
 
     def __init__(self, centres: np.ndarray) -> None:
         n = len(centres)
         self.centres = centres
         apart = _distances(centres, centres)
-        near = np.argsort(apart, axis=1, kind="stable")[:, 1 : DEGREE + 1]
-        ring = np.stack([(np.arange(n) + step) % n for step in (1, max(1, n // 7), max(1, n // 3))], axis=1)
-        self.links = np.hstack([near, ring])
-
-    def walk(self, query: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``width`` nearest centroids that a best-first walk meets, nearest first, and their distances."""
-        seen = np.zeros(len(self.centres), bool)
-        seen[0] = True
-        ids, far = np.zeros(1, np.int64), np.sqrt(((self.centres[:1] - query) ** 2).sum(axis=1))
-        open_ = np.ones(1, bool)
-        while open_.any():
-            # The nearest few that are not expanded yet.
-            at = np.flatnonzero(open_)[:8]
+        self.links = np.argsort(apart, axis=1, kind="stable")[:, 1 : DEGREE + 1]
+        # Entries: each the centroid farthest from those before it. Every centroid is in its nearest entry's cell.
+        entries, out = [0], apart[0].copy()
+        while len(entries) < min(n, int(np.ceil(np.sqrt(n)))):
+            entries.append(int(out.argmax()))
+            out = np.minimum(out, apart[entries[-1]])
+        self.entries = np.unique(entries)
+        self.cell = apart[:, self.entries].argmin(axis=1)
+        self.out = apart[np.arange(n), self.entries[self.cell]]
+
+    def walk(self, query: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+        """All centroids up to ``ratio`` times as far as the nearest one, nearest first, and their distances.
+
+        Whatever is within the ratio of the nearest so far is expanded. Then those that the walk did not meet are
+        measured, unless their entry's distance alone (triangle inequality) puts them beyond the ratio."""
+        far = np.full(len(self.centres), np.inf)
+        open_ = np.zeros(len(self.centres), bool)
+
+        def meet(at: np.ndarray) -> None:
+            far[at] = np.sqrt(((self.centres[at] - query) ** 2).sum(axis=1))
+            open_[at] = True
+
+        meet(self.entries)
+        entry = far[self.entries]
+        while len(at := np.flatnonzero(open_ & (far <= ratio * far.min() + 1e-12))):
             open_[at] = False
-            fresh = np.unique(self.links[ids[at]])
-            fresh = fresh[~seen[fresh]]
-            seen[fresh] = True
-            if len(fresh):
-                ids = np.concatenate([ids, fresh])
-                far = np.concatenate([far, np.sqrt(((self.centres[fresh] - query) ** 2).sum(axis=1))])
-                open_ = np.concatenate([open_, np.ones(len(fresh), bool)])
-                order = np.argsort(far, kind="stable")[:width]
-                ids, far, open_ = ids[order], far[order], open_[order]
-        return ids, far
+            fresh = np.unique(self.links[at])
+            meet(fresh[np.isinf(far[fresh])])
+        # 1e-6: the distances between centroids come from products.
+        limit = ratio * far.min() + 1e-6 * (1 + entry.max())
+        meet(np.flatnonzero(np.isinf(far) & (entry[self.cell] - self.out <= limit)))
+        ids = np.flatnonzero(far <= ratio * far.min() + 1e-12)
+        ids = ids[np.argsort(far[ids], kind="stable")]
+        return ids, far[ids]
 
 
 def build_index(vectors: DataFrame, dim: int, list_rows: int, most: int, sample_rows: int, replicas: int, ratio: float) -> tuple[DataFrame, Graph | None]:
@@ -136,7 +145,7 @@ def _nearest(ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = TOP, search_ratio: float = SEARCH_RATIO, list_rows: int = LIST_ROWS,
             most: int = MOST_CENTROIDS, sample_rows: int = SAMPLE_ROWS, replicas: int = REPLICAS, replica_ratio: float = REPLICA_RATIO,
-            part_rows: int = PART_ROWS, beam: int = BEAM) -> DataFrame:
+            part_rows: int = PART_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest vectors found for each query, its own left out.
 
     Both inputs: vec_id, v, dim; only vectors of one length are compared. Ties go to the smaller vec_id. Fewer
@@ -153,8 +162,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = TOP, search_ratio:
             for batch in batches:
                 lists = []
                 for v in batch["v"]:
-                    ids, far = graph.walk(np.asarray(v), beam)
-                    near = ids[far <= search_ratio * far[0] + 1e-12]
+                    near, _ = graph.walk(np.asarray(v), search_ratio)
                     # So few centroids that k could be missed: all of them.
                     lists.append((np.arange(len(graph.centres)) if len(graph.centres) <= 4 else near).astype(np.int32))
                 yield pd.DataFrame({"query_id": batch["vec_id"].array, "q": batch["v"].array, "list": lists})

@@ -69,6 +69,31 @@ def test_neighbours_and_recall(spark, rows):
     assert hits / total >= 0.9
 
 
+def test_the_ratio_alone_decides_which_lists_are_searched():
+    rng = np.random.default_rng(6)
+    apart = 50 * rng.normal(size=(40, 6))
+    for centres in (rng.normal(size=(600, 6)), (apart[:, None] + rng.normal(size=(40, 15, 6))).reshape(-1, 6), rng.normal(size=(3, 6))):
+        graph = ann.Graph(centres)
+        for query in [*rng.normal(size=(10, 6)), *(apart[:10] + rng.normal(size=(10, 6)))]:
+            exact = np.sqrt(((centres - query) ** 2).sum(axis=1))
+            for ratio in (1.0, 1.3, 3.0):
+                ids, far = graph.walk(query, ratio)
+                assert sorted(ids.tolist()) == np.flatnonzero(exact <= ratio * exact.min() + 1e-12).tolist()
+                assert far == pytest.approx(np.sort(exact)[: len(far)])
+
+
+def test_whole_recall_with_several_hundred_lists(spark):
+    rng = np.random.default_rng(7)
+    data = rng.normal(size=(3000, 24)).astype(np.float32)
+    vectors = usable(frame(spark, [(i, v.tolist()) for i, v in enumerate(data)]), zero=False)
+    got = ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"), 10, search_ratio=2.0, list_rows=10).collect()
+    data, found = data.astype(np.float64), {(r.query_id, r.vec_id) for r in got}
+    for q in range(0, 3000, 100):
+        far = ((data - data[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        assert {(q, int(j)) for j in np.argsort(far)[:10]} <= found
+
+
 def test_few_or_no_vectors(spark):
     few = frame(spark, [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0, 1.0])])
     scaled = ball_tree.scaled(few)
