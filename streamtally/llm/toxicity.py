@@ -24,8 +24,6 @@ from .common import chunks, expand, mix64, register, table, texts_of
 ORDER = 6
 BACKOFF = 3
 DISCOUNT = 0.75
-# The bound on the broadcast weights: 2^22 slots of 4 bytes, whatever the corpus holds.
-SLOT_BITS = 22
 # At most about so many labelled documents fit the final curve.
 CURVE_DOCS = 20_000
 THRESHOLD = 0.3
@@ -139,27 +137,30 @@ def gram_weights(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     weights = (
         counts.join(contexts, "context")
         .join(shared, "low")
-        .select(F.col("gram").alias("key"), F.log(p("toxic") / p("ordinary")).alias("weight"),
-                (F.col("n_toxic") + F.col("n_ordinary")).alias("n"))
-    )
-    backing = contexts.select(
-        F.col("context").alias("key"), F.log(back("toxic") / back("ordinary")).alias("weight"),
-        (F.col("all_toxic") + F.col("all_ordinary")).alias("n"),
+        .select(F.col("gram").alias("key"), F.log(p("toxic") / p("ordinary")).alias("weight"))
     )
+    backing = contexts.select(F.col("context").alias("key"), F.log(back("toxic") / back("ordinary")).alias("weight"))
     return weights, backing
 
 
-def _slots(weights: DataFrame, bits: int) -> np.ndarray:
-    """Weights by slot; keys that share a slot are averaged by count. At most 2^bits rows reach the driver."""
-    slot = F.expr(f"shiftright(key, {63 - bits})")
-    rows = weights.groupBy(slot.alias("slot")).agg((F.sum(F.col("weight") * F.col("n")) / F.sum("n")).cast("float").alias("w"))
-    found = rows.toPandas()
-    out = np.full(1 << bits, np.nan, np.float32)
-    out[found["slot"].to_numpy(np.int64)] = found["w"].to_numpy(np.float32)
-    return out
+def _by_key(weights: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All keys in order and their weights: 12 bytes for every gram or context that was counted."""
+    found = weights.select("key", F.col("weight").cast("float").alias("weight")).toPandas()
+    order = np.argsort(found["key"].to_numpy(np.int64))
+    return found["key"].to_numpy(np.int64)[order], found["weight"].to_numpy(np.float32)[order]
+
+
+def _look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """The keys' weights, NaN where the very key was never counted."""
+    known, weight = table
+    if not len(known):
+        return np.full(len(keys), np.nan, np.float32)
+    distinct, at = np.unique(keys, return_inverse=True)
+    place = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
+    return np.where(known[place] == distinct, weight[place], np.float32(np.nan))[at]
 
 
-def evidence(texts: list[str], grams: np.ndarray, backing: np.ndarray, bits: int) -> np.ndarray:
+def evidence(texts: list[str], grams: tuple[np.ndarray, np.ndarray], backing: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Per text: strongest word, mean of its three strongest, of its eight strongest, share of strong words, mean."""
     codes, ends, words = split_words(texts)
     out = np.zeros((len(texts), N_EVIDENCE))
@@ -168,11 +169,10 @@ def evidence(texts: list[str], grams: np.ndarray, backing: np.ndarray, bits: int
     flat, sizes = _letters(words)
     start = np.zeros(len(flat), bool)
     start[np.cumsum(sizes) - sizes] = True
-    shift = 63 - bits
-    weight = grams[_gram_keys(flat, sizes, ORDER) >> shift]
-    context = np.zeros(len(flat), np.int64)
-    context[1:] = _gram_keys(flat, sizes, ORDER - 1)[:-1] >> shift
-    weight = np.where(np.isnan(weight), np.nan_to_num(backing[context]), weight)
+    weight = _look_up(grams, _gram_keys(flat, sizes, ORDER))
+    # An unseen gram is left to backing off from the gram before it.
+    unseen = np.flatnonzero(np.isnan(weight) & ~start)
+    weight[unseen] = np.nan_to_num(_look_up(backing, _gram_keys(flat, sizes, ORDER - 1)[unseen - 1]))
     weight[start] = 0
     per_word = np.add.reduceat(weight.astype(np.float64), np.cumsum(sizes) - sizes) / (sizes - 1)
     values = per_word[codes]
@@ -200,7 +200,7 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return mean, scale, w
 
 
-def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, bits: int = SLOT_BITS) -> Callable[[list[str]], np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS) -> Callable[[list[str]], np.ndarray]:
     """The scores of texts, as a function that tasks can call.
 
     Several labels of one document: one toxic label makes it toxic. Labels of no document, and rows without
@@ -220,14 +220,14 @@ def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, bits:
     train = texts.filter("fold != 2").join(known.hint("merge"), "doc_id")
     counts = stored(gram_counts(train.filter("fold != 3")), "grams")
     weights, backing = gram_weights(counts)
-    # Both are bounded by the number of slots.
-    shared = spark.sparkContext.broadcast((_slots(weights, bits), _slots(backing, bits)))
+    # Both grow with the distinct grams.
+    shared = spark.sparkContext.broadcast((_by_key(weights), _by_key(backing)))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, contexts = shared.value
         for batch in batches:
             for part in chunks(batch):
-                found = evidence(part["text"].tolist(), grams, contexts, bits)
+                found = evidence(part["text"].tolist(), grams, contexts)
                 yield pd.DataFrame({"toxic": part["toxic"].array, "x": list(found)})
 
     held = known.filter(fold(F.col("doc_id")) == 3).count()
@@ -244,18 +244,18 @@ def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, bits:
         if curve is None:
             return np.zeros(len(texts))
         mean, scale, w = curve
-        x = (evidence(texts, *shared.value, bits) - mean) / scale
+        x = (evidence(texts, *shared.value) - mean) / scale
         return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
 
     return scores
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, bits: int = SLOT_BITS) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs``.
 
     Rows without any label, or whose doc_id is null, only get a score. Null and empty texts get the score of a
     text without evidence. Repeated rows are scored alike; other columns are ignored."""
-    scores = fit(docs, labels, curve_docs, bits)
+    scores = fit(docs, labels, curve_docs)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

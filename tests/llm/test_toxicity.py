@@ -44,6 +44,21 @@ def test_backoff_weights_are_shared_and_sum_to_one(spark):
     assert counts["n_toxic"].sum() == 12 and counts["n_ordinary"].sum() == 8
 
 
+def test_unseen_grams_back_off_whatever_was_counted(spark):
+    rows = [(text(i, 40), i % 2) for i in range(40)]
+    counts = toxicity.gram_counts(spark.createDataFrame(rows, "text string, toxic int")).cache()
+    weights, backing = toxicity.gram_weights(counts)
+    grams, contexts = toxicity._by_key(weights), toxicity._by_key(backing)
+    want = {r.key: r.weight for r in weights.collect()}
+    assert len(grams[0]) == counts.count() == len(want)
+    assert toxicity._look_up(grams, np.array(list(want))) == pytest.approx(list(want.values()))
+    # Neighbours of known keys shared their slots: they are other grams, never counted.
+    others = np.array([k ^ 1 for k in want if k ^ 1 not in want])
+    assert np.isnan(toxicity._look_up(grams, others)).all()
+    assert toxicity.evidence(["qqqqqqqq"], grams, contexts)[0] == pytest.approx(0, abs=0.2)
+    assert np.isnan(toxicity._look_up((np.zeros(0, np.int64), np.zeros(0, np.float32)), others)).all()
+
+
 def test_awkward_rows_without_labels_and_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.score_documents(documents(spark, awkward()), none).collect()
