@@ -3,7 +3,7 @@
 Two models of letters in words, one of toxic and one of ordinary documents, share their backoff counts: what a
 class has not seen after a context is left to continuation counts gathered over both, so that a rare expression
 is judged by what its spelling has in common with known ones. The models are built by Spark over every training
-row. A word's evidence is the difference of its two log-likelihoods, normalised by its length; a document's
+row; only the curve is fitted on evidence that models without its documents give. A word's evidence is the difference of its two log-likelihoods, normalised by its length; a document's
 evidence (its strongest words and its mean, all normalised by length) goes through a logistic curve.
 """
 
@@ -32,7 +32,7 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def fold(doc_id: Column) -> Column:
-    """crc32 of the id as text, modulo 4. Rows of fold 2 are never learnt from; fold 3 fits the curve only."""
+    """crc32 of the id as text, modulo 4. Rows of fold 2 are never learnt from; fold 3 fits the curve before it is counted."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4))
 
 
@@ -98,7 +98,10 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                 yield first.join(counts).reset_index()
 
     schema = "gram long, context long, low long, low_context long, letter long, n_toxic long, n_ordinary long"
-    parts = labelled.select("text", "toxic").mapInPandas(work, schema)
+    return _summed(labelled.select("text", "toxic").mapInPandas(work, schema))
+
+
+def _summed(parts: DataFrame) -> DataFrame:
     return parts.groupBy("gram").agg(
         *[F.min(c).alias(c) for c in ("context", "low", "low_context", "letter")],
         *[F.sum(c).alias(c) for c in ("n_toxic", "n_ordinary")],
@@ -218,13 +221,13 @@ def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS) -> Cal
     )
     # One plan at every size: the labels grow with the documents, so they are never broadcast.
     train = texts.filter("fold != 2").join(known.hint("merge"), "doc_id")
-    counts = stored(gram_counts(train.filter("fold != 3")), "grams")
-    weights, backing = gram_weights(counts)
-    # Both grow with the distinct grams.
-    shared = spark.sparkContext.broadcast((_by_key(weights), _by_key(backing)))
+    first = stored(gram_counts(train.filter("fold != 3")), "grams")
+    counts = stored(_summed(first.unionByName(gram_counts(train.filter("fold = 3")))), "all-grams")
+    # Without fold 3 for the curve, with it for the scores. Both grow with the distinct grams.
+    partial, shared = (spark.sparkContext.broadcast(tuple(map(_by_key, gram_weights(c)))) for c in (first, counts))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, contexts = shared.value
+        grams, contexts = partial.value
         for batch in batches:
             for part in chunks(batch):
                 found = evidence(part["text"].tolist(), grams, contexts)

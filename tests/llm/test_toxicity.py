@@ -59,6 +59,17 @@ def test_unseen_grams_back_off_whatever_was_counted(spark):
     assert np.isnan(toxicity._look_up((np.zeros(0, np.int64), np.zeros(0, np.float32)), others)).all()
 
 
+def test_expressions_of_fold_3_only_are_learnt(spark):
+    texts, toxic = labelled()
+    third = [i for i in texts if zlib.crc32(str(i).encode()) % 4 == 3]
+    for i in third[::3]:
+        texts[i], toxic[i] = f"{text(i, 20)} quuzwyth quuzwyths {text(i + 3, 20)}", 1
+    texts |= {9000: f"{text(1, 20)} quuzwyth quuzwyths {text(2, 20)}"}
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    score = toxicity.fit(documents(spark, texts), labels)([texts[9000], f"{text(1, 20)} {text(2, 20)}"])
+    assert score[0] >= toxicity.THRESHOLD > score[1]
+
+
 def test_awkward_rows_without_labels_and_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.score_documents(documents(spark, awkward()), none).collect()
