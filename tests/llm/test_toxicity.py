@@ -59,15 +59,20 @@ def test_unseen_grams_back_off_whatever_was_counted(spark):
     assert np.isnan(toxicity._look_up((np.zeros(0, np.int64), np.zeros(0, np.float32)), others)).all()
 
 
-def test_expressions_of_fold_3_only_are_learnt(spark):
+def test_expressions_of_fold_3_only_are_learnt(spark, monkeypatch):
     texts, toxic = labelled()
     third = [i for i in texts if zlib.crc32(str(i).encode()) % 4 == 3]
     for i in third[::3]:
         texts[i], toxic[i] = f"{text(i, 20)} quuzwyth quuzwyths {text(i + 3, 20)}", 1
     texts |= {9000: f"{text(1, 20)} quuzwyth quuzwyths {text(2, 20)}"}
     labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    tables, by_key = [], toxicity._by_key
+    monkeypatch.setattr(toxicity, "_by_key", lambda w: tables.append(by_key(w)) or tables[-1])
     score = toxicity.fit(documents(spark, texts), labels)([texts[9000], f"{text(1, 20)} {text(2, 20)}"])
     assert score[0] >= toxicity.THRESHOLD > score[1]
+    # The curve's models have not counted the word, those of the scores have.
+    grams = toxicity._gram_keys(*toxicity._letters(["quuzwyth"]), toxicity.ORDER)[1:]
+    assert [bool(np.isin(grams, tables[i][0]).all()) for i in (0, -2)] == [False, True]
 
 
 def test_awkward_rows_without_labels_and_empty_tables(spark):
