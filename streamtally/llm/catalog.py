@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import ann, ball_tree, bpe, jaccard, line_dedup, mixing, secrets, sharding, token_files, toxicity  # noqa: F401
+from . import (  # noqa: F401
+    ann,
+    ball_tree,
+    bpe,
+    filter_audit,
+    jaccard,
+    line_dedup,
+    line_rules,
+    mixing,
+    secrets,
+    sharding,
+    token_files,
+    toxicity,
+)
 from .common import REGISTRY
 
 

@@ -39,6 +39,11 @@ def row_key(docs: DataFrame) -> tuple[Column, Column]:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def let(body: Callable[[Column], Column], **values: Column) -> Column:
+    """``body`` of a struct of values, each computed once for a row however often the body names it."""
+    return F.element_at(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body), 1)
+
+
 def chunks(batch: pd.DataFrame, column: str = "text", size: int = CHUNK_CHARS) -> Iterator[pd.DataFrame]:
     """Row slices of a batch with about ``size`` characters each; one longer text is a slice of its own."""
     if not len(batch):
