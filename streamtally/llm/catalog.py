@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     ann,
     ball_tree,
     bpe,
+    divergence,
     filter_audit,
     jaccard,
     line_dedup,
