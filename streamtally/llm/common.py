@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 REGISTRY: dict[str, tuple[Callable, str | None]] = {}
 # Characters of text that a Python task works on at a time, whatever the size of the Arrow batch.
 CHUNK_CHARS = 1 << 22
+# Stands for a null doc_id in row keys.
+NO_ID = -(2**63)
 
 
 def register(sql: str | None = None) -> Callable[[Callable], Callable]:
@@ -36,7 +38,17 @@ def texts_of(docs: DataFrame) -> DataFrame:
 def row_key(docs: DataFrame) -> tuple[Column, Column]:
     """Identity of a document row: its id (null has a value of its own) and a hash of its text.
     Repeated rows are equal in both and are treated alike."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no column of ``docs`` (in any case)."""
+    taken, found = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
 
 
 def let(body: Callable[[Column], Column], **values: Column) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from streamtally.session import stored
 
-from .common import chunks, expand, mix64, register, table, texts_of
+from .common import chunks, expand, mix64, register, row_key, table, texts_of, unused
 from .components import components
 
 SHINGLE_WORDS = 5
@@ -352,16 +352,27 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, s
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates (the one of smallest doc_id), with all its columns.
-    Of repeated rows of that doc_id one stays; rows without doc_id stay."""
+    """One document of each group of near duplicates (the one of smallest doc_id), with all its columns, whatever their
+    names.
+
+    Of the rows of that doc_id those of different texts stay, and of rows equal in id and text the one with the least
+    hash of all columns; rows without doc_id stay, equal ones too. Null and empty texts are near no other."""
     found = near_duplicates(docs)
-    gone = stored(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    # One plan at every size: the ids grow with the documents, so they are never broadcast.
-    kept = docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
-    named = docs.filter(F.col("doc_id").isNotNull())
-    if named.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
-    return kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.filter(F.col("doc_id").isNull()))
+    id_, hash_, gone_, twins_ = unused(docs, "did", "seen", "gone", "twins")
+    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(id_), F.lit(True).alias(gone_), F.lit(False).alias(twins_))
+    did, seen = row_key(docs)
+    keys = docs.filter(F.col("doc_id").isNotNull()).select(did.alias(id_), seen.alias(hash_))
+    twins = keys.groupBy(id_, hash_).count().filter("count > 1").select(id_, F.lit(False).alias(gone_), F.lit(True).alias(twins_))
+    marks = stored(gone.unionByName(twins).groupBy(id_).agg(F.max(gone_).alias(gone_), F.max(twins_).alias(twins_)), "marks")
+    # One plan at every size: the marks grow with the documents, so they are never broadcast.
+    keyed = docs.withColumn(id_, F.col("doc_id").cast("long"))
+    kept = keyed.join(marks.hint("merge"), id_, "left").filter(~F.coalesce(F.col(gone_), F.lit(False)))
+    single, several = kept.filter(F.col(twins_).isNull()), kept.filter(F.col(twins_))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = several.groupBy(id_, F.xxhash64(F.coalesce("text", F.lit(""))).alias(hash_)).agg(
+        F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(gone_)
+    )
+    return single.select(*columns).unionByName(one.select(*[F.col(gone_).getField(c).alias(c) for c in docs.columns]))
 
 
 @register()

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import register, row_key, table
+from .common import register, row_key, table, unused
 
 GRAM_WORDS = 40
 WINDOW_WORDS = 10
@@ -102,7 +102,8 @@ def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int
     The first occurrence of every passage stays. Lines are separated by newlines; the other lines keep their order.
     A document without repeats keeps its text to the letter, null included; one whose lines are all deleted keeps an
     empty text here. Null ids sort first. Repeated rows (same id and same text) are one document and treated alike.
-    Columns of any name pass through, except that n_deleted is replaced."""
+    Texts are read whole, however long; an empty table gives no rows. Columns of any name pass through, except that
+    n_deleted is replaced."""
     from streamtally.session import stored
 
     lines = _lines(docs)
@@ -111,18 +112,19 @@ def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_words: int
         runs.groupBy("did", "seen").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs")), "runs"
     )
     did, seen = row_key(docs)
-    kept = docs.drop("n_deleted").withColumns({"_did": did, "_seen": seen})
+    id_, hash_, runs_ = unused(docs, "did", "seen", "runs")
+    kept = docs.drop("n_deleted").withColumns({id_: did, hash_: seen})
     # One plan at every size: the runs grow with the documents, so they are never broadcast.
-    found = per_doc.select(F.col("did").alias("_did"), F.col("seen").alias("_seen"), F.col("runs").alias("_runs"))
-    joined = kept.join(found.hint("merge"), ["_did", "_seen"], "left")
-    return _rebuilt(joined, docs.columns)
+    found = per_doc.select(F.col("did").alias(id_), F.col("seen").alias(hash_), F.col("runs").alias(runs_))
+    joined = kept.join(found.hint("merge"), [id_, hash_], "left")
+    return _rebuilt(joined, docs.columns, runs_)
 
 
-def _rebuilt(joined: DataFrame, columns: list[str]) -> DataFrame:
+def _rebuilt(joined: DataFrame, columns: list[str], runs: str) -> DataFrame:
     """The texts without the lines that lie in a run."""
     parts = F.split(F.coalesce("text", F.lit("")), "\n")
-    gone = lambda i: F.exists("_runs", lambda r: (i >= r["first"]) & (i <= r["last"]))
-    changed = F.col("_runs").isNotNull()
+    gone = lambda i: F.exists(runs, lambda r: (i >= r["first"]) & (i <= r["last"]))
+    changed = F.col(runs).isNotNull()
     passing = [F.col(f"`{c}`") for c in columns if c not in ("text", "n_deleted")]
     return joined.select(
         *passing,

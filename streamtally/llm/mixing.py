@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import register, row_key, table
+from .common import NO_ID, register, row_key, table, unused
 
 LEVELS = ("domain", "lang", "source")
 # Target weights; names that are not listed weigh DEFAULT_WEIGHT.
@@ -149,19 +149,23 @@ def mix(docs: DataFrame, share: float = BUDGET_SHARE, weights: dict[str, dict[st
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with all their columns."""
+    """The rows of ``docs`` as often as the mix takes them, with all their columns, whatever their names.
+
+    Null ids, empty and null texts, repeated rows and empty tables as in :func:`mix`: twins are taken or left together."""
     from streamtally.session import stored
 
     taken = stored(mix(docs, **options).filter("n_copies > 0").select("did", "seen", "n_copies").groupBy("did", "seen").agg(F.max("n_copies").alias("n_copies")), "taken")
     did, seen = row_key(docs)
-    keyed = docs.withColumns({"_did": did, "_seen": seen})
-    renamed = taken.select(F.col("did").alias("_did"), F.col("seen").alias("_seen"), F.col("n_copies").alias("_copies"))
-    rows = keyed.join(renamed, ["_did", "_seen"])
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    id_, hash_, copies, copy = unused(docs, "did", "seen", "copies", "copy")
+    keyed = docs.withColumns({id_: did, hash_: seen})
+    rows = keyed.join(taken.select(F.col("did").alias(id_), F.col("seen").alias(hash_), F.col("n_copies").alias(copies)), [id_, hash_])
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @register()
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = mix(docs)
-    return found.select(F.col("did").alias("doc_id"), *LEVELS, "n_tokens", "budget", "n_copies")
+    # Rows without doc_id have a key of their own in the mix.
+    doc_id = F.nullif(F.col("did"), F.lit(NO_ID)).alias("doc_id")
+    return found.select(doc_id, *LEVELS, "n_tokens", "budget", "n_copies")

@@ -21,6 +21,7 @@ ASSIGN = r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+TWO_KINDS = "[0-9]|[a-z].*[A-Z]|[A-Z].*[a-z]"
 FALSE_DISCOVERIES = 0.01
 # Of each encoding its alphabet in order, and the chance that two letters of ordinary writing agree.
 ALPHABETS = {
@@ -189,7 +190,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, base (kind, s, e) and added spans of every row, and nothing of the text.
 
     Places are code points, ends exclusive. Null and empty texts have no spans; repeated rows are scanned alike and
-    count each in the false-discovery bound; other columns are ignored."""
+    count each in the false-discovery bound; whole texts are scanned, however long; an empty table has no rows; other
+    columns are ignored. A token is a candidate if it holds a digit or letters of both cases."""
     from streamtally.session import stored
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -203,9 +205,9 @@ def scan(docs: DataFrame) -> DataFrame:
         places("hex").alias("hex"),
         "candidates",
     )
-    # Only tokens with at least two kinds of character, or hexadecimal ones, are worth the battery.
+    # A token of one case and no digit is a word or several: no test would call it random.
     tested = F.transform(
-        F.filter("candidates", lambda m: m["m"].rlike("[0-9]")),
+        F.filter("candidates", lambda m: m["m"].rlike(TWO_KINDS)),
         lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e"), log_p(m["m"]).alias("score")),
     )
     scanned = stored(spans.select("doc_id", *KINDS, tested.alias("tested")), "scanned")

@@ -28,61 +28,84 @@ from .common import chunks, expand, register, table, texts_of
 END_ID = 2
 BLOCK_IDS = 2_048
 # Blocks that are coded side by side.
-LANES = 2_048
-# Distinct words whose ids a task remembers.
-MEMO_WORDS = 1 << 18
+LANES = 1_024
+# Distinct words whose ids a task remembers, and characters of text that it encodes at a time.
+MEMO_WORDS = 1 << 17
+TEXT_CHARS = 1 << 20
 BLOCKS = "file int, block int, n_ids int, crc32 long, payload binary, docs array<struct<doc:long,doc_id:long,start:long,n:int,last:boolean>>"
 
 
-def _words_with(tokenizer: Tokenizer, memo: dict[str, np.ndarray], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+class _Memo:
+    """The ids of words that a task has met, in one pool; beyond ``MEMO_WORDS`` words are encoded again."""
+
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.at: dict[str, int] = {}
+        self.pool, self.starts, self.counts = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, and of each word where its ids start there and how many they are."""
+        new = [w for w in words if w not in self.at]
+        found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        starts = len(self.pool) + np.cumsum(counts) - counts
+        fresh = np.fromiter((i for ids in found for i in ids), np.uint16, int(counts.sum()))
+        pool, all_starts, all_counts = np.concatenate([self.pool, fresh]), np.r_[self.starts, starts], np.r_[self.counts, counts]
+        number = dict(zip(new, range(len(self.starts), len(all_starts)), strict=True))
+        index = np.fromiter((self.at[w] if w in self.at else number[w] for w in words), np.int64, len(words))
+        room = max(0, MEMO_WORDS - len(self.at))
+        if room and new:
+            self.at |= dict(list(number.items())[:room])
+            kept = min(room, len(new))
+            self.starts, self.counts = all_starts[: len(self.starts) + kept], all_counts[: len(self.counts) + kept]
+            self.pool = pool[: int(self.starts[-1] + self.counts[-1])]
+        return pool, all_starts[index], all_counts[index]
+
+
+def _ids_of(memo: _Memo, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other and how many each has. White space always parts the ids of a text, so
     each distinct word is encoded by the library once."""
     split = [split_words(t) for t in texts]
     words = [w for one in split for w in one]
     codes, distinct = pd.factorize(np.array(words, dtype=object)) if words else (np.zeros(0, np.int64), [])
-    new = [w for w in distinct if w not in memo]
-    fresh = dict(zip(new, (np.array(e.ids, np.int32) for e in tokenizer.encode_batch(new, add_special_tokens=False)), strict=True))
-    ids = [memo.get(w) if w in memo else fresh[w] for w in distinct]
-    for word, found in fresh.items():
-        if len(memo) >= MEMO_WORDS:
-            break
-        memo[word] = found
-    counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    pool = np.concatenate([*ids, np.zeros(0, np.int32)])
-    starts = np.cumsum(counts) - counts
+    pool, starts, counts = memo.ids(list(distinct))
     per_word = counts[codes]
     reach = np.concatenate([[0], np.cumsum(per_word)])
     ends = reach[np.cumsum([len(s) for s in split])]
     return pool[expand(starts[codes], per_word)], np.diff(np.r_[0, ends])
 
 
-def tokenise(docs: DataFrame, definition: bytes, end_id: int) -> DataFrame:
-    """doc_id, n and the ids (two bytes each) of every document with its end id."""
+def _tokenised(batches: Iterator[pd.DataFrame], definition: bytes, end_id: int) -> Iterator[tuple[int | None, bytes]]:
+    """(doc_id, ids of two bytes each with the end id) of each row in turn."""
+    import os
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_str(definition.decode())
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        if max(tokenizer.get_vocab_size(), end_id + 1) > 1 << 16:
-            raise ValueError("the file format holds ids below 65,536")
-        memo: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for part in chunks(batch):
-                ids, counts = _words_with(tokenizer, memo, part["text"].tolist())
-                per_text = np.split(ids.astype("<u2"), np.cumsum(counts)[:-1])
-                end = np.array([end_id], "<u2").tobytes()
-                yield pd.DataFrame({"doc_id": part["doc_id"].array, "n": counts + 1, "ids": [i.tobytes() + end for i in per_text]})
-
-    return texts_of(docs).mapInPandas(work, "doc_id long, n long, ids binary")
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_str(definition.decode())
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    if max(tokenizer.get_vocab_size(), end_id + 1) > 1 << 16:
+        raise ValueError("the file format holds ids below 65,536")
+    memo = _Memo(tokenizer)
+    end = np.array([end_id], "<u2").tobytes()
+    for batch in batches:
+        for part in chunks(batch, size=TEXT_CHARS):
+            ids, counts = _ids_of(memo, part["text"].tolist())
+            per_text = np.split(ids.astype("<u2"), np.cumsum(counts)[:-1])
+            for doc_id, found in zip(part["doc_id"], per_text, strict=True):
+                yield None if pd.isna(doc_id) else int(doc_id), found.tobytes() + end
 
 
 def write_files(docs: DataFrame, definition: bytes, folder: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
-    """Writes all documents in ascending order of doc_id (null ids first, repeated rows next to each other)."""
-    tokens = tokenise(docs, definition, end_id)
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    """Writes all documents in ascending order of doc_id, null ids first, texts of one id by their hash.
+
+    Null and empty texts have the end id alone; whole texts are written, a long one over many blocks; rows equal in id
+    and text stand next to each other, each on its own; an empty table gives files without rows. Other columns are
+    ignored."""
+    # Texts travel, and are encoded where they are written: Spark runs what it deals out by range once more, to find
+    # the ranges. The last key only spreads equal rows, in which no order can be seen.
+    keys = ["doc_id", "hash", "spread"]
+    texts = texts_of(docs).withColumns({"hash": F.xxhash64("text"), "spread": F.spark_partition_id()})
+    ordered = texts.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
 
     def blocks(file: int, docs_: list[tuple], stream: list[bytes], first: int) -> pd.DataFrame:
         ids = np.frombuffer(b"".join(stream), "<u2").astype(np.int32)
@@ -113,15 +136,15 @@ def write_files(docs: DataFrame, definition: bytes, folder: str, end_id: int = E
         waiting: list[tuple] = []
         stream: list[bytes] = []
         size = 0
-        for batch in batches:
-            for doc_id, n, ids in zip(batch["doc_id"], batch["n"], batch["ids"], strict=True):
-                waiting.append((number, None if pd.isna(doc_id) else int(doc_id), start, int(n)))
-                stream.append(ids)
-                start, number, size = start + int(n), number + 1, size + int(n)
-                if size >= LANES * block_ids:
-                    out = blocks(file, waiting, stream, first)
-                    yield out
-                    first, waiting, stream, size = first + len(out), [], [], 0
+        for doc_id, ids in _tokenised(batches, definition, end_id):
+            n = len(ids) // 2
+            waiting.append((number, doc_id, start, n))
+            stream.append(ids)
+            start, number, size = start + n, number + 1, size + n
+            if size >= LANES * block_ids:
+                out = blocks(file, waiting, stream, first)
+                yield out
+                first, waiting, stream, size = first + len(out), [], [], 0
         if waiting:
             yield blocks(file, waiting, stream, first)
 
@@ -175,7 +198,9 @@ def _joined_crc(a: int, b: int, size: int) -> int:
 
 
 def file_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of every document, all from the files."""
+    """doc_id, start, n_tokens and ids_crc32 of every document, all from the files: a row for each row written, also
+    for equal ones, null ids and empty texts (which hold the end id); none for an empty table. A document over many
+    blocks is read piece by piece and its checksums are joined."""
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
