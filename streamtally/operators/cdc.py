@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,3 +71,32 @@ def current_state(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
         .where("_last.op <> 'd'")
         .select("_last._image.*")
     )
+
+
+def signed_amounts(envelopes: DataFrame, groups: Sequence[str], amount: str) -> DataFrame:
+    """What each change takes away (its image before) and adds (its image after): the image's
+    ``groups``, its ``amount`` with its sign, and 1 or -1 as ``n``.
+
+    Sums of these are totals of the current rows after any number of changes, batch or stream: an
+    update moves an amount between groups, a delete takes it away. Updates and deletes must carry the
+    whole image before, and each change must come once. An image without amount counts as a row of
+    amount null.
+    """
+
+    def side(image: str, sign: int) -> Column:
+        row = F.struct(
+            *[F.col(f"{image}.{g}").alias(g) for g in groups],
+            (F.col(f"{image}.{amount}") * F.lit(sign)).cast(kind).alias("amount"),
+            F.lit(sign).cast("bigint").alias("n"),
+        )
+        return F.when(F.col(image).isNotNull(), row)
+
+    kind = envelopes.select(f"after.{amount}").schema[0].dataType
+    sides = F.filter(F.array(side("before", -1), side("after", 1)), lambda x: x.isNotNull())
+    return envelopes.select(F.explode(sides).alias("_side")).select("_side.*")
+
+
+def running_totals(envelopes: DataFrame, groups: Sequence[str], amount: str) -> DataFrame:
+    """Per group the total and the number of its current rows; an emptied group has ``n`` 0."""
+    signed = signed_amounts(envelopes, groups, amount)
+    return signed.groupBy(*groups).agg(F.sum("amount").alias("total"), F.sum("n").alias("n"))

@@ -53,10 +53,12 @@ def rank_order_teams() -> list[Column]:
     return [F.desc_nulls_last("total_score"), F.asc_nulls_last("team_name"), F.asc("team_id")]
 
 
+def rank_order_players() -> list[Column]:
+    return [F.desc_nulls_last("total_score"), F.asc_nulls_last("user_id")]
+
+
 def top_players(scores: DataFrame, k: int = TOP) -> DataFrame:
-    return top_k(
-        player_totals(scores), [F.desc_nulls_last("total_score"), F.asc_nulls_last("user_id")], k
-    )
+    return top_k(player_totals(scores), rank_order_players(), k)
 
 
 def contributions(scores: DataFrame) -> DataFrame:
@@ -77,20 +79,25 @@ def contributions(scores: DataFrame) -> DataFrame:
     )
 
 
-def team_mvps(scores: DataFrame, k: int = TOP) -> DataFrame:
-    """The best contributor of each team; of those, the first ``k``.
+def rank_order_mvps() -> list[Column]:
+    return [F.desc_nulls_last("contrib_ratio"), F.asc_nulls_last("user_id"), F.asc_nulls_last("team_name")]
 
-    The per-team pick is a filtered row number, which Spark limits to one row per team before the
-    shuffle. A tie of the final ranking goes to the smaller user id.
-    """
+
+def team_best(shares: DataFrame) -> DataFrame:
+    """The best contributor of each team. The per-team pick is a filtered row number, which Spark
+    limits to one row per team before the shuffle."""
     order = [F.desc_nulls_last("contrib_ratio"), F.asc_nulls_last("user_id")]
-    best = (
-        contributions(scores)
-        .withColumn("_place", F.row_number().over(Window.partitionBy("team_name").orderBy(*order)))
+    return (
+        shares.withColumn("_place", F.row_number().over(Window.partitionBy("team_name").orderBy(*order)))
         .where("_place = 1")
         .drop("_place")
     )
-    return top_k(best, [*order, F.asc_nulls_last("team_name")], k)
+
+
+def team_mvps(scores: DataFrame, k: int = TOP) -> DataFrame:
+    """The best contributor of each team; of those, the first ``k``. A tie of the final ranking goes
+    to the smaller user id."""
+    return top_k(team_best(contributions(scores)), rank_order_mvps(), k)
 
 
 def as_dashboard(board: DataFrame, ratio: str) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,6 +181,45 @@ def weighted_sample(
     )
 
 
+def seats(n: int, proportions: Mapping[str, float]) -> dict[str, int]:
+    """``n`` split by the proportions in whole numbers: each share rounded down, and what is left goes
+    to the largest remainders (of equal ones to the first name). Shares that are not positive get none."""
+    exact = {k: Fraction(v).limit_denominator(10**9) for k, v in proportions.items() if v > 0}
+    whole = sum(exact.values())
+    quotas = {k: n * v / whole for k, v in exact.items()}
+    found = {k: int(q) for k, q in quotas.items()}
+    by_remainder = sorted(quotas, key=lambda k: (found[k] - quotas[k], k))
+    for k in by_remainder[: n - sum(found.values())]:
+        found[k] += 1
+    return found
+
+
+def weighted_sample_by_place(
+    table: DataFrame,
+    weight: str,
+    n: int,
+    key: str,
+    place: str,
+    proportions: Mapping[str, float],
+    seed: int = 7,
+) -> DataFrame:
+    """``n`` rows without replacement, of each place as many as its proportion says, and within a place
+    with chance proportional to weight. Places that are not named give no rows; one with too few rows
+    of positive weight gives them all, and its seats stay empty.
+
+    The draw is a hash of ``key``. Each task keeps no more rows of a place than its seats."""
+    given = {k: m for k, m in seats(n, proportions).items() if m}
+    if not given:
+        return table.limit(0)
+    order = -F.log(F.lit(1.0) - _draw(key, seed)) / F.col(weight)
+    drawn = table.where(F.col(place).isin(list(given)) & (F.col(weight) > 0)).withColumn("_order", order)
+    rank = F.row_number().over(Window.partitionBy(place).orderBy("_order", key))
+    limit = F.coalesce(*[F.when(F.col(place) == k, F.lit(m)) for k, m in given.items()])
+    # The constant bound lets the rank be limited before the shuffle.
+    ranked = drawn.withColumn("_rank", rank).where(F.col("_rank") <= max(given.values()))
+    return ranked.where(F.col("_rank") <= limit).drop("_order", "_rank")
+
+
 def random_row(table: DataFrame, key: str, seed: int = 7) -> DataFrame:
     """One row, by a hash of its key."""
     return table.orderBy(_draw(key, seed), key).limit(1)

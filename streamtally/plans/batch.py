@@ -30,6 +30,7 @@ from .oracle_tables import (
     BOARD_LOG,
     CHANGE_LOG,
     DIRTY_BIDS,
+    LINES,
     MESSAGES,
     PURCHASES,
     SHOP,
@@ -698,3 +699,37 @@ def weighted_sample(spark, folder):
 @add(f"SELECT * FROM customer ORDER BY {DRAW}, c_custkey LIMIT 1")
 def random_row(spark, folder):
     return records.random_row(tables.table(spark, folder, "customer"), "c_custkey")
+
+
+PLACES = {"BUILDING": 0.5, "MACHINERY": 0.3, "AUTOMOBILE": 0.2}
+
+
+@add(
+    f"""WITH quotas AS (
+  SELECT place, 101 * share AS quota, CAST(floor(101 * share) AS BIGINT) AS whole
+  FROM (VALUES ('BUILDING', 0.5), ('MACHINERY', 0.3), ('AUTOMOBILE', 0.2)) p(place, share)),
+seats AS (
+  SELECT place, whole + CASE WHEN ROW_NUMBER() OVER (ORDER BY quota - whole DESC, place)
+                                  <= 101 - (SELECT SUM(whole) FROM quotas) THEN 1 ELSE 0 END AS seats
+  FROM quotas)
+SELECT * EXCLUDE (place, seats, rn) FROM (
+  SELECT c.*, s.place, s.seats,
+         ROW_NUMBER() OVER (PARTITION BY c_mktsegment ORDER BY -ln(1.0 - {DRAW}) / c_acctbal, c_custkey) AS rn
+  FROM customer c JOIN seats s ON s.place = c_mktsegment WHERE c_acctbal > 0) WHERE rn <= seats"""
+)
+def weighted_sample_by_place(spark, folder):
+    customers = tables.table(spark, folder, "customer")
+    return records.weighted_sample_by_place(
+        customers, "c_acctbal", 101, "c_custkey", "c_mktsegment", PLACES
+    )
+
+
+RUNNING_TOTALS = """SELECT supplier, CAST(SUM(amount) AS DECIMAL(22,2)) AS total, COUNT(*) AS n
+FROM line_states WHERE step = 4 GROUP BY 1"""
+
+
+@add(query(LINES, RUNNING_TOTALS))
+def cdc_running_totals(spark, folder):
+    """Totals from the changes alone; they are those of the rows that are left."""
+    changes = tables.line_changes(spark, folder)
+    return cdc.running_totals(changes, ["supplier"], "amount").where("n > 0")

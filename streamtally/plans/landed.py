@@ -46,6 +46,22 @@ def ingest_orders_daily(spark, folder):
     return spark.read.schema(DATED_SCHEMA).parquet(path)
 
 
+@add(
+    query(
+        BIDS,
+        """SELECT order_id, item, CAST(price AS DECIMAL(10,2)) AS price, supplier, bid_time FROM bids
+WHERE bid_time >= TIMESTAMP '2024-01-10 06:00:00' AND bid_time < TIMESTAMP '2024-01-12 18:00:00'""",
+    )
+)
+def scan_pruned_days(spark, folder):
+    """A time range of a table partitioned by the day of a time: only its three days are opened."""
+    path = fresh_folder(spark, "days")
+    lake.append(project_orders(tables.bids(spark, folder)), path, ["days(bid_time)"])
+    schema = T.StructType([*ORDERS_TABLE.fields, T.StructField(lake.day_column("bid_time"), T.DateType())])
+    stored = spark.read.schema(schema).parquet(path)
+    return lake.between(stored, "bid_time", "2024-01-10 06:00:00", "2024-01-12 18:00:00")
+
+
 DAILY = """SELECT category, CAST(created_at AS DATE) AS report_date,
        CAST(round(SUM({quantity} * unit_price), 2) AS DECIMAL(15,2)) AS total_revenue,
        COUNT(*) AS total_orders
@@ -163,6 +179,14 @@ def route_by_topic(spark, folder):
 
 
 TSV_FIELD = "replace(replace(replace(replace({}, '\\', '\\\\'), chr(9), '\\t'), chr(10), '\\n'), chr(13), '\\r')"
+SQL_TIME = """CASE WHEN epoch_us(created_at) % 1000000 = 0
+            THEN strftime(created_at, '%Y-%m-%d %H:%M:%S') || '.0'
+            ELSE rtrim(strftime(created_at, '%Y-%m-%d %H:%M:%S.%f'), '0') END"""
+ORDER_JSON = """'{"order_id":"' || order_id || '","user_id":"' || user_id || '","product_name":"' ||
+       product_name || '","category":"' || category || '","quantity":' || quantity ||
+       ',"unit_price":' || CAST(unit_price AS VARCHAR) || ',"created_at":' || coalesce('"' ||
+       CASE WHEN epoch_ms(created_at) % 1000 = 0 THEN strftime(created_at, '%Y-%m-%dT%H:%M:%SZ')
+            ELSE strftime(created_at, '%Y-%m-%dT%H:%M:%S.%gZ') END || '"', 'null') || '}'"""
 TSV_TAIL = " || chr(9) || ".join(
     f"coalesce({c}, '\\N')"
     for c in ("user_first_name", "user_last_name", "user_email", "user_postal_code")
@@ -173,10 +197,7 @@ TSV_TAIL = " || chr(9) || ".join(
     query(
         AS_OF,
         f"""SELECT order_id || chr(9) || user_id || chr(9) || product_name || chr(9) || category ||
-       chr(9) || quantity || chr(9) || CAST(unit_price AS VARCHAR) || chr(9) ||
-       CASE WHEN epoch_us(created_at) % 1000000 = 0
-            THEN strftime(created_at, '%Y-%m-%d %H:%M:%S') || '.0'
-            ELSE rtrim(strftime(created_at, '%Y-%m-%d %H:%M:%S.%f'), '0') END
+       chr(9) || quantity || chr(9) || CAST(unit_price AS VARCHAR) || chr(9) || {SQL_TIME}
        || chr(9) || {TSV_TAIL} AS line
 FROM matched""",
     )
@@ -206,11 +227,7 @@ def tsv_export_texts(spark, folder):
 @add(
     query(
         AS_OF,
-        """SELECT '{"order_id":"' || order_id || '","user_id":"' || user_id || '","product_name":"' ||
-       product_name || '","category":"' || category || '","quantity":' || quantity ||
-       ',"unit_price":' || CAST(unit_price AS VARCHAR) || ',"created_at":"' ||
-       CASE WHEN epoch_ms(created_at) % 1000 = 0 THEN strftime(created_at, '%Y-%m-%dT%H:%M:%SZ')
-            ELSE strftime(created_at, '%Y-%m-%dT%H:%M:%S.%gZ') END || '"}' AS line
+        f"""SELECT {ORDER_JSON} AS line
 FROM matched WHERE route = 'missing'""",
     )
 )

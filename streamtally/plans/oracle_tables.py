@@ -77,6 +77,17 @@ STATUS_CHANGES = """status_changes AS (
               ELSE 'Processing' END AS status
   FROM lineitem)"""
 
+LINES = """lines AS (
+  SELECT 'S-' || (l_suppkey % 20) AS supplier, CAST(l_extendedprice AS DECIMAL(12,2)) AS amount,
+         l_linestatus = 'F' AS moves, 'S-' || ((l_suppkey + 1) % 20) AS next_supplier,
+         l_returnflag = 'R' AS returned, (l_suppkey + CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) % 20 >= 8 AS closed
+  FROM lineitem),
+line_states AS (
+  SELECT step, CASE WHEN moves AND step > 1 THEN next_supplier ELSE supplier END AS supplier,
+         CASE WHEN moves AND step > 1 THEN amount + 1 ELSE amount END AS amount
+  FROM lines, (SELECT unnest(range(1, 5)) AS step)
+  WHERE NOT (returned AND step > 2) AND NOT (closed AND step > 3))"""
+
 MESSAGES = """messages_full AS (
   SELECT CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
               WHEN 'signup' THEN 3 WHEN 'view' THEN 4 END AS "partition",

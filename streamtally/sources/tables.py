@@ -6,6 +6,8 @@ the scan. Times are cut to milliseconds, as the streams carry them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from ..functions import millis_time, to_millis_precision
 
 TEAMS = 15
 SUPPLIERS = 8
+LINE_SUPPLIERS = 20
 # Fixed order of the event types; the position is the log partition of a record.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -140,8 +143,8 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
 # Purchases and user versions --------------------------------------------------------------------
 
 
-def as_purchases(events: DataFrame) -> DataFrame:
-    """Orders of the event stream."""
+def as_purchases(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Orders of the event stream, with the events' columns to ``keep``."""
     return events.where("event_type = 'purchase'").select(
         F.col("event_id").cast("string").alias("order_id"),
         F.concat(F.lit("USR-"), "user_id").alias("user_id"),
@@ -152,10 +155,11 @@ def as_purchases(events: DataFrame) -> DataFrame:
         (F.floor("value") + 1).cast("int").alias("quantity"),
         F.col("value").alias("unit_price"),
         to_millis_precision(F.col("ts")).alias("created_at"),
+        *keep,
     )
 
 
-def as_user_versions(events: DataFrame) -> DataFrame:
+def as_user_versions(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """User versions of the event stream: each sign-up is a new version of its user."""
     number = F.col("user_id").cast("string")
     return events.where("event_type = 'signup'").select(
@@ -167,6 +171,7 @@ def as_user_versions(events: DataFrame) -> DataFrame:
         ),
         F.lpad(F.floor("value").cast("string"), 5, "0").alias("postal_code"),
         to_millis_precision(F.col("ts")).alias("version_at"),
+        *keep,
     )
 
 
@@ -229,6 +234,40 @@ def order_status_changes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LINE_IMAGE = "struct<supplier:string,amount:decimal(12,2)>"
+LINE_CHANGES = f"step int, op string, before {LINE_IMAGE}, after {LINE_IMAGE}"
+
+
+def line_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes of order lines: each is created; those with status F move on to the next supplier at a
+    price higher by one; returned ones are deleted; at last all lines of suppliers 8 and up are."""
+    lines = table(spark, folder, "lineitem")
+    moves = F.col("l_linestatus") == "F"
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+
+    def image(number: Column, amount: Column) -> Column:
+        supplier = F.concat(F.lit("S-"), (number % LINE_SUPPLIERS).cast("string"))
+        return F.struct(supplier.alias("supplier"), amount.cast("decimal(12,2)").alias("amount")).cast(LINE_IMAGE)
+
+    first, moved = image(F.col("l_suppkey"), price), image(F.col("l_suppkey") + 1, price + 1)
+    last = F.when(moves, moved).otherwise(first)
+    number = F.when(moves, F.col("l_suppkey") + 1).otherwise(F.col("l_suppkey")) % LINE_SUPPLIERS
+    returned, closed = F.col("l_returnflag") == "R", number >= 8
+    none = F.lit(None).cast(LINE_IMAGE)
+
+    def change(step: int, op: str, before: Column, after: Column) -> Column:
+        return F.struct(F.lit(step).alias("step"), F.lit(op).alias("op"), before.alias("before"), after.alias("after"))
+
+    steps = F.array(
+        change(1, "c", none, first),
+        F.when(moves, change(2, "u", first, moved)),
+        F.when(returned, change(3, "d", last, none)),
+        F.when(closed & ~returned, change(4, "d", last, none)),
+    )
+    found = lines.select(F.explode(F.filter(steps, lambda x: x.isNotNull())).alias("_c"))
+    return found.select("_c.*")
+
+
 # Log messages -----------------------------------------------------------------------------------
 
 

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.changelog import diff_boards, materialize
-from ..operators.leaderboard import TOP, rank_order_teams, top_k
+from ..operators.leaderboard import (
+    TOP,
+    contributions,
+    rank_order_mvps,
+    rank_order_players,
+    rank_order_teams,
+    team_best,
+    top_k,
+)
 from ..operators.sliding import (
     LONG,
     SECOND,
@@ -18,57 +29,156 @@ from ..operators.sliding import (
     with_hotness,
 )
 from ..schemas import record
+from .keyed_log import KeyedLog
 from .versions import VersionedTable
 
-TEAM_BOARD = record(
-    rnk="long",
-    team_id="string",
-    team_name="string",
-    total_score="long",
+TEAM_TOTAL = record(team_id="string", team_name="string", total_score="long")
+PLAYER_TOTAL = record(user_id="string", team_name="string", total_score="long")
+PART = record(user_id="string", team_id="string", team_name="string", part="long")
+LINE_TOTAL = record(supplier="string", total="decimal(22,2)", n="long")
+MVP = record(
+    user_id="string", team_name="string", player_total="long", team_total="long", contrib_ratio="double"
 )
 
 
 def running_team_totals(scores: DataFrame) -> DataFrame:
-    """Totals over the whole stream, for complete mode. The sum is combined map-side first."""
+    """Totals over the whole stream. The sum is combined map-side first."""
     return scores.groupBy("team_id").agg(
         F.max("team_name").alias("team_name"), F.sum("score").alias("total_score")
     )
 
 
-class TopTeams:
-    """``foreachBatch`` sink: ranks the totals, stores the board and the changes against the last.
+def running_player_totals(scores: DataFrame) -> DataFrame:
+    return scores.groupBy("user_id").agg(
+        F.max("team_name").alias("team_name"), F.sum("score").alias("total_score")
+    )
+
 
-    The ranking is a top-k of the state (each task keeps k rows); boards have at most k rows.
+class RunningBoard:
+    """``foreachBatch`` sink for rows in update mode: the first ``k``, from the changed rows and the
+    stored board alone.
+
+    A key that did not change and is not on the board ranks behind the board's last row. So the first
+    k of (stored board, with the changed rows in place of their old selves) are the first k of all, as
+    long as the new last row does not rank behind the old one. Where it does (values may fall, rows of
+    ``live`` false leave), the board is taken from the log of all keys' newest rows, once for such a
+    batch. Stored by batch: the board, and its changes against the last board, among them deletions
+    of ranks that are no longer filled. A repeated batch overwrites its own.
     """
 
-    def __init__(self, path: str, k: int = TOP) -> None:
-        self.path, self.k = path, k
-        self.board = VersionedTable(f"{path}/board", TEAM_BOARD)
+    def __init__(
+        self,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        order: Sequence[Column],
+        k: int = TOP,
+        live: Column | None = None,
+        fold: int = 64,
+    ) -> None:
+        self.path, self.schema, self.keys, self.order, self.k = path, schema, list(keys), list(order), k
+        self.live = F.lit(True) if live is None else live
+        self.rows = KeyedLog(f"{path}/rows", schema, keys, fold=fold)
+        self.board_schema = T.StructType([T.StructField("rnk", T.LongType()), *schema.fields])
+
+    def board(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The board after a batch; empty before the first."""
+        if batch_id < 0:
+            return spark.createDataFrame([], self.board_schema)
+        return spark.read.schema(self.board_schema).parquet(f"{self.path}/board/batch={batch_id}")
 
-    def __call__(self, totals: DataFrame, batch_id: int) -> None:
-        spark = totals.sparkSession
-        board = top_k(totals, rank_order_teams(), self.k)
-        new = self.board.write(board, batch_id)
-        changes = diff_boards(self.board.read(spark, batch_id - 1), new)
+    def __call__(self, changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        rows = self.rows.append(changed, batch_id)
+        old = self.board(spark, batch_id - 1)
+        unchanged = old.join(rows.select(*self.keys), self.keys, "left_anti").select(*self.schema.names)
+        self._store(self._first(unchanged.unionByName(rows)), batch_id)
+        recomputed = self._fell_behind(old, self.board(spark, batch_id))
+        if recomputed:
+            self._store(self._first(self.rows.read(spark, batch_id)), batch_id)
+        changes = diff_boards(old, self.board(spark, batch_id)).withColumn("recomputed", F.lit(recomputed))
         changes.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
 
-    def writer(self, totals: DataFrame, checkpoint: str) -> DataStreamWriter:
+    def _first(self, rows: DataFrame) -> DataFrame:
+        return top_k(rows.where(self.live), self.order, self.k)
+
+    def _store(self, board: DataFrame, batch_id: int) -> None:
+        board.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/board/batch={batch_id}")
+
+    def _fell_behind(self, old: DataFrame, new: DataFrame) -> bool:
+        """Whether fewer than k rows of the new board rank with or before the old board's last one. A
+        board that was not full held every key, so nothing can be missing from the new one."""
+        last = old.where(F.col("rnk") == self.k).withColumn("_old", F.lit(True))
+        both = new.withColumn("_old", F.lit(False)).unionByName(last)
+        places = both.select(
+            "_old", F.row_number().over(Window.orderBy(*self.order, "_old")).alias("_place")
+        )
+        return not places.where(F.col("_old") & (F.col("_place") <= self.k)).isEmpty()
+
+    def writer(self, rows: DataFrame, checkpoint: str) -> DataStreamWriter:
         return (
-            totals.writeStream.outputMode("complete")
+            rows.writeStream.outputMode("update")
             .option("checkpointLocation", checkpoint)
             .foreachBatch(self)
         )
 
     def changes(self, spark: SparkSession) -> DataFrame:
+        """Every change of the board, with its ``batch``: ``U`` sets a rank, ``D`` empties it."""
         return spark.read.parquet(f"{self.path}/changes")
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The board as a reader of the changelog rebuilds it."""
-        value = F.when(F.col("op") == "U", F.struct("team_id", "team_name", "total_score"))
+        value = F.when(F.col("op") == "U", F.struct(*self.schema.names))
         log = self.changes(spark).withColumn("value", value)
         return materialize(log, "rnk", "value", "batch").select("rnk", "value.*")
 
 
+def top_teams_board(path: str, k: int = TOP) -> RunningBoard:
+    return RunningBoard(path, TEAM_TOTAL, ["team_id"], rank_order_teams(), k)
+
+
+def top_players_board(path: str, k: int = TOP) -> RunningBoard:
+    return RunningBoard(path, PLAYER_TOTAL, ["user_id"], rank_order_players(), k)
+
+
+def line_totals_board(path: str, k: int = TOP) -> RunningBoard:
+    """The suppliers with the highest totals of current lines; those without any line leave."""
+    order = [F.desc_nulls_last("total"), F.asc_nulls_last("supplier")]
+    return RunningBoard(path, LINE_TOTAL, ["supplier"], order, k, live=F.col("n") > 0)
+
+
+def running_parts(scores: DataFrame) -> DataFrame:
+    """The finest totals, of which both a player's and a team's are sums."""
+    return scores.groupBy("user_id", "team_id", "team_name").agg(F.sum("score").alias("part"))
+
+
+class TeamMvps:
+    """``foreachBatch`` sink of :func:`running_parts` in update mode: the best contributors of all teams.
+
+    A team's total is in the ratio of each of its players, so the changed teams say what is computed
+    anew: the parts of their players are read from the log, joined with the sums of the teams, and the
+    best of each team replaces the one before. Teams without new scores are not looked at.
+    """
+
+    def __init__(self, path: str, k: int = TOP, fold: int = 64) -> None:
+        self.parts = KeyedLog(f"{path}/parts", PART, ["user_id", "team_id", "team_name"], fold=fold)
+        self.board = RunningBoard(f"{path}/board", MVP, ["team_name"], rank_order_mvps(), k, fold=fold)
+
+    def __call__(self, changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        teams = self.parts.append(changed, batch_id).select("team_id").distinct()
+        # A player's total counts what the player scored under any name of the team.
+        parts = self.parts.read(spark, batch_id, teams).withColumnRenamed("part", "score")
+        self.board(team_best(contributions(parts)), batch_id)
+
+    def writer(self, parts: DataFrame, checkpoint: str) -> DataStreamWriter:
+        return (
+            parts.writeStream.outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(self)
+        )
+
+
 POOL = record(
     user_id="string",
     event_time="timestamp",

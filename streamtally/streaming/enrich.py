@@ -1,23 +1,20 @@
-"""Orders enriched with users that may arrive later: keyed state, timers, dead letters."""
+"""Orders enriched with users that may arrive later: waiting in the engine's join state, dead letters."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+import math
+from collections.abc import Callable
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions import hash_salt
 from ..operators.enrich import ORDER_FIELDS, SINK_FIELDS, USER_FIELDS, WAIT_SECONDS
 from ..schemas import record
 from ..sinks.routes import fan_out
 from ..sinks.text import json_text, tsv_lines
-
-# The processor below travels to the executors by value, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from .keyed_log import KeyedLog
 
 _ORDER_TYPES = {
     "order_id": "string",
@@ -26,164 +23,148 @@ _ORDER_TYPES = {
     "category": "string",
     "quantity": "integer",
     "unit_price": "double",
+    "created_at": "timestamp",
 }
-USER_STATE = record(version="long", **{f: "string" for f in USER_FIELDS})
-ORDER_STATE = record(**_ORDER_TYPES, created_us="long", deadline="long")
 ROUTED = record(
     **_ORDER_TYPES,
-    created_at="timestamp",
-    **{f"user_{f}": "string" for f in USER_FIELDS},
-    route="string",
-)
-_EMITTED = record(
-    **_ORDER_TYPES,
-    created_us="long",
     **{f"user_{f}": "string" for f in USER_FIELDS},
     route="string",
 )
-_EmittedRow = Row(*_EMITTED.names)
-_HELD = 20_000
+USER_VERSION = record(user_id="string", version_at="timestamp", **{f: "string" for f in USER_FIELDS})
+# Rows of the stream between the join and the sink.
+ORDER, VERSION = "order", "version"
 
 
-class _WaitForUser(StatefulProcessor):
-    """Holds a user's newest version and the orders that wait for one.
+def default_salts(spark: SparkSession) -> int:
+    """Keys that one user's orders are spread over: the root of the state's partitions, so that a hot
+    user's share per task falls as the cluster grows, and copies of a user stay few."""
+    return max(1, math.isqrt(int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
-    The orders of a batch leave at its end if the user is known by then. Up to ``_HELD`` of them
-    are held in memory, the rest goes to the list state, so a large group needs no large memory.
-    While orders wait, a timer stands at the earliest deadline; when it fires, all due orders go
-    out as missing and the timer moves on.
-    """
 
-    def __init__(self, wait_ms: int, event_time: bool) -> None:
-        self.wait_ms, self.event_time = wait_ms, event_time
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.user = handle.getValueState("user", USER_STATE)
-        self.waiting = handle.getListState("waiting", ORDER_STATE)
-
-    def _now(self, timer_values) -> int:
-        if self.event_time:
-            return timer_values.getCurrentWatermarkInMs()
-        return timer_values.getCurrentProcessingTimeInMs()
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        user = newest = self.user.get()
-        now = None if self.event_time else self._now(timerValues)
-        held, earliest, spilled = [], None, False
-        for row in rows:
-            if row.is_user:
-                version = (row.version, *(row[f"new_{f}"] for f in USER_FIELDS))
-                # Of versions at one instant the one with the greatest fields counts, nulls least.
-                rank = [(x is not None, x) for x in version]
-                if newest is None or rank >= [(x is not None, x) for x in newest]:
-                    newest = version
-                continue
-            arrived = row.created_us // 1000 if self.event_time else now
-            deadline = arrived + self.wait_ms
-            earliest = deadline if earliest is None else min(earliest, deadline)
-            held.append((*(row[f] for f in _ORDER_TYPES), row.created_us, deadline))
-            if len(held) == _HELD:
-                self.waiting.appendList(held)
-                held, spilled = [], True
-        if newest is not user:
-            self.user.update(newest)
-        if newest is None:
-            if held:
-                self.waiting.appendList(held)
-            if earliest is not None:
-                self.handle.registerTimer(earliest)
-            return
-        # A known user has waiting orders only if this batch had too many to hold.
-        if (user is None or spilled) and self.waiting.exists():
-            yield from _with_user(self.waiting.get(), newest)
-            self.waiting.clear()
-        yield from _with_user(held, newest)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        due_at = max(expiredTimerInfo.getExpiryTimeInMs(), self._now(timerValues))
-        later, next_timer = [], None
-        for order in self.waiting.get():
-            if order[7] <= due_at:
-                yield _EmittedRow(*order[:7], *[None] * len(USER_FIELDS), "missing")
-            else:
-                later.append(tuple(order))
-                next_timer = order[7] if next_timer is None else min(next_timer, order[7])
-        self.waiting.clear()
-        if later:
-            self.waiting.appendList(later)
-            self.handle.registerTimer(next_timer)
-
-    def close(self) -> None:
-        pass
-
-
-def _with_user(orders, user) -> Iterator[Row]:
-    for order in orders:
-        yield _EmittedRow(*order[:7], *user[1:], "enriched")
-
-
-def route_orders(
+def meet_users(
     orders: DataFrame,
     users: DataFrame,
     wait_seconds: int = WAIT_SECONDS,
-    event_time: bool = False,
-    delay: str = "5 seconds",
-    salts: int = 8,
+    arrival: str | None = None,
+    slack: str = "1 second",
+    salts: int | None = None,
+    ticks: DataFrame | None = None,
 ) -> DataFrame:
-    """Streaming orders with their user's newest known version, or ``missing`` after the wait.
+    """Streaming orders that have met a user, or waited in vain, and the users' versions beside them.
 
-    Waiting time is processing time, or with ``event_time`` the orders' own time against the
-    watermark, which trails the newest row by ``delay`` (replays then give the same result).
+    An order leaves in the batch in which it arrives if its user has arrived by then, else in the
+    batch in which the user first arrives, at most ``wait_seconds`` later, else unmet. What waits is
+    the engine's own outer join in time; so every order leaves exactly once. Orders wait in arrival
+    time: that of their batch, or column ``arrival`` of both streams, which all rows of a batch must
+    share. Time of that kind never runs backwards by more than ``slack``, whatever the rows
+    themselves say about theirs, so no row is late, and a row without time is like any other.
 
-    The orders of a user are spread over ``salts`` keys and the user's versions sent to each, so
-    that a user with a large share of all orders does not end in one task. The salts are part of the
-    state's key: keep them for the life of a checkpoint. An order without time is taken at the epoch,
-    a version without time is older than any other.
+    Waiting ends when later input arrives. ``ticks`` is a stream whose rows only say that time goes
+    on, for sources that may fall silent (:func:`clock_ticks`).
 
-    With ``event_time`` the engine drops rows that are more than ``delay`` behind the newest: choose
-    it as large as input can be late, or wait in processing time, which drops nothing.
+    State: one key per user and salt for good, orders until their wait is over. ``salts`` spreads a
+    user's orders; like the number of partitions it is fixed for the life of a checkpoint.
     """
-    # The Python side drops column names that start with an underscore, so none do.
-    tagged_orders = orders.select(
-        *ORDER_FIELDS,
-        F.coalesce(F.unix_micros("created_at"), F.lit(0)).alias("created_us"),
-        hash_salt(F.col("order_id"), salts).alias("salt"),
-        F.lit(False).alias("is_user"),
-        F.lit(None).cast("bigint").alias("version"),
-        *[F.lit(None).cast("string").alias(f"new_{f}") for f in USER_FIELDS],
+    if salts is None:
+        salts = default_salts(orders.sparkSession)
+    arrived = (F.current_timestamp() if arrival is None else F.col(arrival)).alias("arrived_at")
+    empty_order = [F.lit(None).cast(kind).alias(name) for name, kind in _ORDER_TYPES.items()]
+    order_rows = orders.select(
+        F.lit(ORDER).alias("kind"), F.col("user_id").alias("key"), F.struct(*ORDER_FIELDS).alias("row"), arrived
     )
-    copies = F.sequence(F.lit(0), F.lit(salts - 1))
-    tagged_users = users.select(
-        *[
-            F.col("user_id") if name == "user_id" else F.lit(None).cast(kind).alias(name)
-            for name, kind in _ORDER_TYPES.items()
-        ],
-        F.col("version_at").alias("created_at"),
-        F.lit(None).cast("bigint").alias("created_us"),
-        F.explode(copies).alias("salt"),
-        F.lit(True).alias("is_user"),
-        F.unix_micros("version_at").alias("version"),
-        *[F.col(f).alias(f"new_{f}") for f in USER_FIELDS],
+    empty = F.struct(*empty_order).alias("row")
+    user_rows = users.where(F.col("user_id").isNotNull()).select(
+        F.lit(VERSION).alias("kind"), F.col("user_id").alias("key"), empty, arrived
     )
-    merged = tagged_orders.unionByName(tagged_users)
-    if event_time:
-        merged = merged.withWatermark("created_at", delay)
-    routed = (
-        merged.withColumn("for_user", F.col("user_id"))
-        .groupBy("for_user", "salt")
-        .transformWithState(
-            _WaitForUser(wait_seconds * 1000, event_time),
-            _EMITTED,
-            "append",
-            "EventTime" if event_time else "ProcessingTime",
-        )
+    rows = order_rows.unionByName(user_rows)
+    if ticks is not None:
+        silent = F.lit(None).cast("string")
+        rows = rows.unionByName(ticks.select(F.lit("tick").alias("kind"), silent.alias("key"), empty, arrived))
+    # One watermark over all arrivals, so that neither side holds up the other when it is silent.
+    marked = rows.withWatermark("arrived_at", slack)
+
+    def only(kind: str) -> Column:
+        # Names the time as well: otherwise the filter would move below the watermark.
+        return F.when(F.col("arrived_at").isNotNull(), F.col("kind") == kind)
+
+    waiting = marked.where(only(ORDER)).select(
+        "row", F.col("key").alias("order_user"), hash_salt(F.col("row.order_id"), salts).alias("order_salt"),
+        F.col("arrived_at").alias("order_arrived"),
+    )
+    first_seen = (
+        marked.where(only(VERSION))
+        .select(F.col("key").alias("seen_user"), F.col("arrived_at").alias("user_arrived"))
+        .dropDuplicates(["seen_user"])
+        .withColumn("seen_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    return routed.withColumn("created_at", F.timestamp_micros("created_us")).select(*ROUTED.names)
+    wait = F.expr(f"INTERVAL {wait_seconds} SECONDS")
+    met = waiting.join(
+        first_seen,
+        (F.col("order_user") == F.col("seen_user"))
+        & (F.col("order_salt") == F.col("seen_salt"))
+        & (F.col("user_arrived") <= F.col("order_arrived") + wait),
+        "left_outer",
+    )
+    no_version = F.lit(None).cast(USER_VERSION)
+    versions = users.where(F.col("user_id").isNotNull()).select(
+        F.lit(VERSION).alias("kind"), F.lit(None).cast("boolean").alias("met"),
+        F.struct(*empty_order).alias("order"), F.struct(*USER_VERSION.names).alias("version"),
+    )
+    return met.select(
+        F.lit(ORDER).alias("kind"), F.col("seen_user").isNotNull().alias("met"), F.col("row").alias("order"),
+        no_version.alias("version"),
+    ).unionByName(versions)
+
+
+def clock_ticks(spark: SparkSession, per_second: int = 1) -> DataFrame:
+    """A stream that never falls silent, for waits in batch time."""
+    return spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+
+
+class Enrichment:
+    """``foreachBatch`` sink of :func:`meet_users`: gives ``write`` the routed orders of each batch.
+
+    The batch's versions go to a log first; then its orders that met a user take that user's newest
+    version, by time and then by the greatest fields, a version without time being the oldest. Only
+    versions of the batch's users are looked at. ``write(routed, batch_id)`` must overwrite by batch
+    id, then a repeated batch has the effect of one.
+    """
+
+    def __init__(self, path: str, write: Callable[[DataFrame, int], None], fold: int = 64) -> None:
+        order = ("version_at", *USER_FIELDS)
+        self.write = write
+        self.versions = KeyedLog(f"{path}/versions", USER_VERSION, ["user_id"], order, fold)
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        held = rows.persist()
+        try:
+            self.versions.append(held.where(F.col("kind") == VERSION).select("version.*"), batch_id)
+            orders = held.where(F.col("kind") == ORDER).select("order.*", "met")
+            users = orders.where("met").select("user_id")
+            newest = self.versions.read(spark, batch_id, users).select(
+                "user_id", *[F.col(f).alias(f"user_{f}") for f in USER_FIELDS]
+            )
+            route = F.when(F.col("met"), F.lit("enriched")).otherwise(F.lit("missing")).alias("route")
+            # An order without user has met none, and one that waited in vain takes no later version.
+            known = F.when(F.col("met"), F.col("user_id"))
+            routed = orders.withColumn("known", known).join(
+                newest.withColumnRenamed("user_id", "known"), "known", "left"
+            )
+            self.write(routed.select(*SINK_FIELDS, route).select(*ROUTED.names), batch_id)
+        finally:
+            held.unpersist()
+
+    def writer(self, rows: DataFrame, checkpoint: str) -> DataStreamWriter:
+        return (
+            rows.writeStream.outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(self)
+        )
 
 
 class FanOut:
-    """``foreachBatch`` sink: enriched orders to the lake and as text, missing ones as JSON."""
+    """Writes routed orders by batch: enriched ones to the lake and as text, missing ones as JSON."""
 
     def __init__(self, path: str) -> None:
         self.path = path
@@ -206,10 +187,3 @@ class FanOut:
 
         known = F.col("route") == "enriched"
         fan_out(routed, {"lake": (known, lake), "text": (known, text), "missing": (~known, letters)})
-
-    def writer(self, routed: DataFrame, checkpoint: str) -> DataStreamWriter:
-        return (
-            routed.writeStream.outputMode("append")
-            .option("checkpointLocation", checkpoint)
-            .foreachBatch(self)
-        )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,6 @@ from pyspark.sql import types as T
 from ..session import fresh_folder
 from ..sources.files import stream_parquet
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def drain(writer: DataStreamWriter) -> StreamingQuery:
     """Process everything available now, then stop."""
     query = writer.trigger(availableNow=True).start()
@@ -21,6 +19,32 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def run_batches(writer: DataStreamWriter, batches: int, seconds: float = 300) -> StreamingQuery:
+    """Process at least ``batches`` batches, then stop, as a restart of the program would. What is
+    left is for the next start from the same checkpoint."""
+    query = writer.trigger(processingTime="0 seconds").start()
+    deadline = time.monotonic() + seconds
+    while query.isActive and time.monotonic() < deadline:
+        last = query.lastProgress
+        if last is not None and last["batchId"] + 1 >= batches:
+            break
+        time.sleep(0.1)
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    return query
+
+
+class BatchFolders:
+    """Writes each batch to a Parquet folder of its own, which a repeated batch overwrites."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+
 def console_writer(rows: DataFrame, output_mode: str = "append", rows_shown: int = 20):
     """Print the first rows of each batch."""
     return (
@@ -91,12 +115,14 @@ def replay(
     schema: T.StructType,
     run: Callable[[DataFrame], DataStreamWriter],
     landing: str,
-) -> None:
+) -> list[StreamingQuery]:
     """Let each phase's rows arrive, then drain; every drain resumes from the checkpoint.
 
     ``run`` builds the same query each time (with the same checkpoint folder) over the landing
-    folder's stream.
+    folder's stream. Returns the finished query of each phase.
     """
+    finished = []
     for rows in phases:
         rows.write.mode("append").parquet(landing)
-        drain(run(stream_parquet(spark, landing, schema)))
+        finished.append(drain(run(stream_parquet(spark, landing, schema))))
+    return finished

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -47,6 +50,22 @@ def updated_windows(orders: DataFrame, size: str = WINDOW, grace: str = DELAY) -
     return closed_windows(orders, size, grace, price_lenient(F.col("price")), supplier)
 
 
+def merged_windows(
+    sources: Sequence[DataFrame], size: str = WINDOW, delay: str = DELAY
+) -> DataFrame:
+    """Append mode over several order streams, each with a watermark of its own.
+
+    When a window closes is up to the session's ``spark.sql.streaming.multipleWatermarkPolicy`` at the
+    first start: ``min`` waits for the slowest source, also for one that fell silent; ``max`` goes by
+    the fastest, drops what slower ones bring for closed windows, and so passes a silent one over.
+    """
+    marked = [
+        rows.where(F.col("bid_time").isNotNull()).withWatermark("bid_time", delay) for rows in sources
+    ]
+    merged = functools.reduce(DataFrame.unionByName, marked)
+    return windowed(merged, price_strict(F.col("price")), F.col("supplier"), size)
+
+
 class UpdateLog:
     """``foreachBatch`` sink for update mode: each batch's changed rows, in a folder of its own.
 
