@@ -122,6 +122,8 @@ def _tokenised(x: Column) -> Column:
     # Separators belong to no class of their own: words joined by them do not change class.
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
     kinds = F.regexp_replace(kinds, "[-_/+]", "")
+    # Nor does a capital that begins a word: names joined in camel case are writing.
+    kinds = F.regexp_replace(kinds, "Aa", "aa")
     split = lambda c: F.filter(F.split(c, ""), lambda one: one != "")
     return _let(
         _counted,

@@ -2,8 +2,10 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from streamtally.llm import mixing, sharding
+from streamtally.session import fresh_folder
 
 from .frames import awkward, documents, empty, text
 
@@ -69,6 +71,25 @@ def test_mixed_rows_keep_their_columns(spark):
     assert mixing.mix(empty(spark)).count() == 0 and mixing.mixed_documents(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("names", [("_did", "_seen", "_copies", "_copy"), ("did", "SEEN", "copies", "n_copies")])
+def test_columns_of_any_name_pass(spark, names):
+    docs = documents(spark, awkward())
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    out = mixing.mixed_documents(docs)
+    rows = out.collect()
+    assert out.columns == docs.columns and rows
+    assert all(r[n] == f"{n}:{'none' if r.doc_id is None else r.doc_id}" for r in rows for n in names)
+
+
+def test_rows_without_id_stay_without(spark):
+    docs = documents(spark, [(None, text(1, 30)), (None, text(1, 30)), (None, None), (4, text(2, 30))])
+    folder = fresh_folder(spark, "tables")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    got = mixing.op9_source_mixing(spark, folder).collect()
+    assert {r.doc_id for r in got} == {None, 4} and len(got) == 3
+
+
 def test_only_oversized_buckets_split(spark):
     rows = [(i, "x" * (i * 37 % 900)) for i in range(400)] + [(None, None), (3, "y" * 5000), (7, "z"), (7, "z")]
     limit = 3000

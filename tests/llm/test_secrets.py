@@ -43,7 +43,18 @@ def test_random_tokens_are_added_and_structured_ones_are_not(spark):
     rows = {i: f"say {k} now" for i, k in enumerate(keys)} | {100 + i: f"see {p} now" for i, p in enumerate(plain)}
     got = {r.doc_id: r.spans for r in secrets.digests(secrets.scan(documents(spark, rows))).collect()}
     assert sum(got[i] == "random:4:44" for i in range(60)) >= 57
-    assert not any(got[100 + i] for i in range(len(plain)))
+    # One of the plain tokens is a base span; none is called random.
+    assert not any("random" in got[100 + i] for i in range(len(plain))) and got[101] == f"hex:4:{4 + len(plain[1])}"
+
+
+def test_tokens_of_letters_only_are_tested(spark):
+    rng = random.Random(3)
+    keys = ["".join(rng.choice(string.ascii_letters) for _ in range(40)) for _ in range(40)]
+    words = ["InternationalisationOfManyLongWords", "thisIsTheNameOfSomeFunctionInCamelCase", "averyveryverylongwordwithoutanyotherkind"]
+    rows = {i: f"say {k} now" for i, k in enumerate(keys)} | {100 + i: f"see {p} now" for i, p in enumerate(words)}
+    got = {r.doc_id: r.spans for r in secrets.digests(secrets.scan(documents(spark, rows))).collect()}
+    assert sum(got[i] == "random:4:44" for i in range(40)) >= 36
+    assert not any(got[100 + i] for i in range(len(words)))
 
 
 def test_no_python_and_empty_table(spark):
