@@ -285,8 +285,8 @@ def _by_time(events, cuts):
         yield rows
 
 
-# Arrivals of the enrichment, in seconds after the first: orders come in all but the last, users in any.
-ARRIVED = [0, 20, 40, 100, 110, 300]
+# Arrivals of the enrichment, in seconds after the first: orders come in the first two, users in any.
+ARRIVED = [0, 20, 300]
 ARRIVALS = record(
     event_id="long", ts="timestamp_ntz", user_id="long", event_type="string", value="double", props="string",
     arrived_at="timestamp",
@@ -296,14 +296,14 @@ ROUTED = (
     + ", "
     + VERSIONS
     + """, times AS (
-  SELECT * FROM (VALUES (1, 0), (2, 20), (3, 40), (4, 100), (5, 110), (6, 300)) t(phase, since)),
+  SELECT * FROM (VALUES (1, 0), (2, 20), (3, 300)) t(phase, since)),
 arrivals AS (
   SELECT * REPLACE (CASE WHEN quantity > 1 THEN created_at END AS created_at),
-         1 + CAST(order_id AS BIGINT) % 5 AS phase FROM purchases),
+         1 + CAST(order_id AS BIGINT) % 2 AS phase FROM purchases),
 user_arrivals AS (
   SELECT * REPLACE (CASE WHEN postal_code <> '00000' THEN version_at END AS version_at),
-         greatest(1 + CAST(regexp_extract(email, '[.]v([0-9]+)@', 1) AS BIGINT) % 3,
-                  CAST(substr(user_id, 5) AS BIGINT) % 7) AS phase FROM versions),
+         greatest(1 + CAST(regexp_extract(email, '[.]v([0-9]+)@', 1) AS BIGINT) % 2,
+                  CAST(substr(user_id, 5) AS BIGINT) % 4) AS phase FROM versions),
 first_seen AS (SELECT user_id, MIN(phase) AS phase FROM user_arrivals GROUP BY 1),
 met AS (
   SELECT a.*, CASE WHEN s.phase <= a.phase THEN a.phase
@@ -324,9 +324,9 @@ routed AS (
 
 
 def _arrivals(events):
-    """All events in six arrivals that have little to do with their own times."""
-    number = F.when(F.col("event_type") == "purchase", F.col("event_id") % 5 + 1).when(
-        F.col("event_type") == "signup", F.greatest(F.col("event_id") % 3 + 1, F.col("user_id") % 7)
+    """All events in three arrivals that have little to do with their own times."""
+    number = F.when(F.col("event_type") == "purchase", F.col("event_id") % 2 + 1).when(
+        F.col("event_type") == "signup", F.greatest(F.col("event_id") % 2 + 1, F.col("user_id") % 4)
     )
     for i, seconds in enumerate(ARRIVED, 1):
         arrived = F.timestamp_seconds(F.lit(1_704_067_200 + seconds)).alias("arrived_at")
@@ -335,7 +335,7 @@ def _arrivals(events):
 
 def _enrich_arrivals(spark, folder, root, write):
     """Lets the arrivals come one by one; every sixth order or so has no time, as have some versions."""
-    sink = enrich.Enrichment(root, write, fold=4)
+    sink = enrich.Enrichment(root, write, fold=3)
 
     def writer(stream):
         orders = tables.as_purchases(stream, ["arrived_at"]).withColumn(

@@ -84,8 +84,9 @@ def meet_users(
     marked = rows.withWatermark("arrived_at", slack)
 
     def only(kind: str) -> Column:
-        # Names the time as well: otherwise the filter would move below the watermark.
-        return F.when(F.col("arrived_at").isNotNull(), F.col("kind") == kind)
+        # Compares the time as well: otherwise the filter would move below the watermark.
+        always = F.col("arrived_at") > F.lit("0001-01-01").cast("timestamp")
+        return F.when(always, F.col("kind") == kind)
 
     waiting = marked.where(only(ORDER)).select(
         "row", F.col("key").alias("order_user"), hash_salt(F.col("row.order_id"), salts).alias("order_salt"),

@@ -329,7 +329,7 @@ def test_enrichment_waits_then_gives_up(spark):
 def test_each_order_comes_out_once(spark):
     """Random arrivals against the rule, one row after another."""
     rng = random.Random(11)
-    seconds = [0, 10, 25, 31, 70, 71, 300]
+    seconds = [0, 30, 31, 300]
     phases = []
     for s in seconds:
         orders_ = [] if s == 300 else [("order", f"o{s}-{i}", f"u{rng.randrange(6)}", None, None if i % 5 == 0 else at(rng.randrange(400))) for i in range(12)]
