@@ -3,22 +3,23 @@
 Two models of letters in words, one of toxic and one of ordinary documents, share their backoff counts: what a
 class has not seen after a context is left to continuation counts gathered over both, so that a rare expression
 is judged by what its spelling has in common with known ones. The models are built by Spark over every training
-row; only the curve is fitted on evidence that models without its documents give. A word's evidence is the difference of its two log-likelihoods, normalised by its length; a document's
-evidence (its strongest words and its mean, all normalised by length) goes through a logistic curve.
+row; only the curve is fitted on evidence that models without its documents give. A word's evidence is the difference
+of its two log-likelihoods, normalised by its length; a document's evidence (its strongest words and its mean, all
+normalised by length) goes through a logistic curve.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import chunks, expand, mix64, register, table, texts_of
+from .common import chunks, mix64, register, row_key, table, unused
 
 # Letters of a gram: the predicted one and its context.
 ORDER = 6
@@ -26,8 +27,12 @@ BACKOFF = 3
 DISCOUNT = 0.75
 # At most about so many labelled documents fit the final curve.
 CURVE_DOCS = 20_000
+# Tables of grams, and of contexts, of at most so many rows (12 bytes each in a task) are broadcast; larger ones are joined.
+BROADCAST_ROWS = 4_000_000
 THRESHOLD = 0.3
 N_EVIDENCE = 5
+# A word of at least this evidence is a strong one.
+STRONG = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -147,10 +152,11 @@ def gram_weights(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _by_key(weights: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """All keys in order and their weights: 12 bytes for every gram or context that was counted."""
-    found = weights.select("key", F.col("weight").cast("float").alias("weight")).toPandas()
-    order = np.argsort(found["key"].to_numpy(np.int64))
-    return found["key"].to_numpy(np.int64)[order], found["weight"].to_numpy(np.float32)[order]
+    """All keys in order and their weights: 12 bytes for each. By Arrow, since rows as objects take thirty times that."""
+    found = weights.select("key", F.col("weight").cast("float").alias("weight")).toArrow()
+    keys, values = found.column("key").to_numpy(), found.column("weight").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], values[order]
 
 
 def _look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
@@ -185,7 +191,7 @@ def evidence(texts: list[str], grams: tuple[np.ndarray, np.ndarray], backing: tu
             v = values[lo:hi]
             top = -np.partition(-v, min(8, len(v)) - 1)[:8]
             top = -np.sort(-top)
-            out[i] = top[0], top[:3].mean(), top.sum() / 8, (v > 0.7).mean(), v.mean()
+            out[i] = top[0], top[:3].mean(), top.sum() / 8, (v > STRONG).mean(), v.mean()
         lo = hi
     return out
 
@@ -203,15 +209,117 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return mean, scale, w
 
 
-def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS) -> Callable[[list[str]], np.ndarray]:
-    """The scores of texts, as a function that tasks can call.
+def _letter_rows(words: DataFrame) -> DataFrame:
+    """word, gram and context of each letter but the start mark, of (word)."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part in chunks(batch, "word", 1 << 18):
+                names = part["word"].tolist()
+                flat, sizes = _letters(names)
+                start = np.zeros(len(flat), bool)
+                start[np.cumsum(sizes) - sizes] = True
+                at = np.flatnonzero(~start)
+                word = np.repeat(np.array(names, object), sizes - 1)
+                yield pd.DataFrame({"word": word, "gram": _gram_keys(flat, sizes, ORDER)[at], "context": _gram_keys(flat, sizes, ORDER - 1)[at - 1]})
+
+    return words.mapInPandas(work, "word string, gram long, context long")
+
+
+def _bags(texts: DataFrame) -> DataFrame:
+    """did, seen, word and how often a text holds it; rows of one key hold the same."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part in chunks(batch):
+                codes, ends, words = split_words(part["text"].tolist())
+                if not len(words):
+                    continue
+                row = np.repeat(np.arange(len(part)), np.diff(ends, prepend=0))
+                pairs, times = np.unique(row * len(words) + codes, return_counts=True)
+                row, word = np.divmod(pairs, len(words))
+                yield pd.DataFrame({"did": part["did"].to_numpy()[row], "seen": part["seen"].to_numpy()[row],
+                                    "word": np.array(words, object)[word], "times": times})
+
+    bags = texts.select("did", "seen", "text").mapInPandas(work, "did long, seen long, word string, times long")
+    return bags.groupBy("did", "seen", "word").agg(F.max("times").alias("times"))
+
+
+def joined_evidence(texts: DataFrame, weights: DataFrame, backing: DataFrame) -> DataFrame:
+    """did, seen and x, as :func:`evidence` gives it, of the texts that have words, by joins alone: distinct words take
+    the weights of their grams, documents the evidence of their words. Nothing of the corpus is held in one place."""
+    from streamtally.session import stored
+
+    bags = stored(_bags(texts), "bags")
+    letters = _letter_rows(bags.select("word").distinct())
+    known = letters.join(weights.select(F.col("key").alias("gram"), "weight"), "gram", "left")
+    backed = known.join(backing.select(F.col("key").alias("context"), F.col("weight").alias("back")), "context", "left")
+    weight = F.coalesce(F.col("weight").cast("float"), F.col("back").cast("float"), F.lit(0.0))
+    words = stored(backed.groupBy("word").agg(F.avg(weight).alias("v")), "words")
+    found = bags.join(words, "word").groupBy("did", "seen").agg(
+        F.sum("times").alias("n"),
+        F.sum(F.col("v") * F.col("times")).alias("total"),
+        F.sum(F.when(F.col("v") > STRONG, F.col("times")).otherwise(0)).alias("strong"),
+        # At most the distinct words of one document.
+        F.slice(F.sort_array(F.collect_list(F.struct("v", "times")), asc=False), 1, 8).alias("best"),
+    )
+    top = F.slice(F.flatten(F.transform("best", lambda b: F.array_repeat(b["v"], F.least(b["times"], F.lit(8)).cast("int")))), 1, 8)
+    added = lambda k: F.aggregate(F.slice("top", 1, k), F.lit(0.0), lambda acc, v: acc + v)
+    x = F.array(F.element_at("top", 1), added(3) / F.least(F.size("top"), F.lit(3)), added(8) / 8, F.col("strong") / F.col("n"), F.col("total") / F.col("n"))
+    return found.withColumn("top", top).select("did", "seen", x.alias("x"))
+
+
+class Toxicity:
+    """What :func:`fit` has learnt: two models, their tables, and the curve.
+
+    Tables of at most ``broadcast_rows`` rows each are looked up in every task, where texts are read. Larger ones are
+    joined: the same evidence, by shuffles."""
+
+    def __init__(self, weights: DataFrame, backing: DataFrame, broadcast_rows: int) -> None:
+        self.weights, self.backing = weights, backing
+        self.small = max(weights.count(), backing.count()) <= broadcast_rows
+        self.tables = weights.sparkSession.sparkContext.broadcast((_by_key(weights), _by_key(backing))) if self.small else None
+        self.curve: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def evidence(self, texts: DataFrame) -> DataFrame:
+        """did, seen and x of every row of ``texts`` (did, seen, text and other columns), with its other columns."""
+        rest = [c for c in texts.columns if c not in ("did", "seen", "text")]
+        if not self.small:
+            found = joined_evidence(texts, self.weights, self.backing)
+            joined = texts.drop("text").join(found, ["did", "seen"], "left")
+            return joined.withColumn("x", F.coalesce("x", F.array(*[F.lit(0.0)] * N_EVIDENCE)))
+        tables = self.tables
+
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for part in chunks(batch):
+                    found = evidence(part["text"].tolist(), *tables.value)
+                    yield part.drop(columns="text").assign(x=list(found))
+
+        schema = T.StructType([f for f in texts.schema.fields if f.name != "text"]).add("x", T.ArrayType(T.DoubleType()))
+        return texts.select("did", "seen", *rest, "text").mapInPandas(work, T.StructType([schema[c] for c in ("did", "seen", *rest, "x")]))
+
+    def score(self) -> Column:
+        """The score of the evidence ``x``."""
+        if self.curve is None:
+            return F.lit(0.0)
+        mean, scale, w = self.curve
+        z = sum((F.lit(float(w[i + 1] / scale[i])) * (F.element_at("x", i + 1) - F.lit(float(mean[i]))) for i in range(N_EVIDENCE)), F.lit(float(w[0])))
+        return 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
+
+
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    did, seen = row_key(docs)
+    return docs.select(did.alias("did"), seen.alias("seen"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
+
+
+def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, broadcast_rows: int = BROADCAST_ROWS) -> Toxicity:
+    """The model of the scores.
 
     Several labels of one document: one toxic label makes it toxic. Labels of no document, and rows without
     doc_id, teach nothing. Without a single training row of both classes every score is 0."""
     from streamtally.session import stored
 
-    spark = docs.sparkSession
-    texts = texts_of(docs).withColumn("fold", fold(F.col("doc_id")))
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .filter("doc_id is not null and toxic in (0, 1)")
@@ -219,69 +327,55 @@ def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS) -> Cal
         .agg(F.max("toxic").alias("toxic"))
         .filter(fold(F.col("doc_id")) != 2)
     )
+    texts = _keyed(docs, fold(F.col("doc_id")).alias("fold"), F.col("doc_id").cast("long").alias("doc_id"))
     # One plan at every size: the labels grow with the documents, so they are never broadcast.
     train = texts.filter("fold != 2").join(known.hint("merge"), "doc_id")
     first = stored(gram_counts(train.filter("fold != 3")), "grams")
     counts = stored(_summed(first.unionByName(gram_counts(train.filter("fold = 3")))), "all-grams")
-    # Without fold 3 for the curve, with it for the scores. Both grow with the distinct grams.
-    partial, shared = (spark.sparkContext.broadcast(tuple(map(_by_key, gram_weights(c)))) for c in (first, counts))
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, contexts = partial.value
-        for batch in batches:
-            for part in chunks(batch):
-                found = evidence(part["text"].tolist(), grams, contexts)
-                yield pd.DataFrame({"toxic": part["toxic"].array, "x": list(found)})
+    def model(of: DataFrame) -> Toxicity:
+        weights, backing = gram_weights(of)
+        return Toxicity(stored(weights, "weights"), stored(backing, "backing"), broadcast_rows)
 
+    # The curve is fitted on fold 3 by models that have not counted it; the scores' models have.
+    partial, shared = model(first), model(counts)
     held = known.filter(fold(F.col("doc_id")) == 3).count()
     slots = max(1, -(-held // max(1, curve_docs)))
-    sample = train.filter((F.col("fold") == 3) & (F.pmod(F.xxhash64("doc_id"), F.lit(slots)) == 0))
-    fitted = sample.select("text", "toxic").mapInPandas(measure, "toxic int, x array<double>").toPandas()
-    y = fitted["toxic"].to_numpy()
+    chosen = (F.col("fold") == 3) & (F.pmod(F.xxhash64("doc_id"), F.lit(slots)) == 0)
+    sample = texts.filter(chosen).join(known.hint("merge"), "doc_id")
+    fitted = partial.evidence(sample.select("did", "seen", "text", "toxic")).select("toxic", "x").toArrow()
+    y = fitted.column("toxic").to_numpy()
     if len(set(y.tolist())) == 2:
-        curve = _fit_curve(np.stack(fitted["x"].to_numpy()), y)
-    else:
-        curve = None
-
-    def scores(texts: list[str]) -> np.ndarray:
-        if curve is None:
-            return np.zeros(len(texts))
-        mean, scale, w = curve
-        x = (evidence(texts, *shared.value) - mean) / scale
-        return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
-
-    return scores
+        shared.curve = _fit_curve(np.array(fitted.column("x").to_pylist()), y)
+    return shared
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs``.
 
     Rows without any label, or whose doc_id is null, only get a score. Null and empty texts get the score of a
-    text without evidence. Repeated rows are scored alike; other columns are ignored."""
-    scores = fit(docs, labels, curve_docs)
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part in chunks(batch):
-                score = scores(part["text"].tolist())
-                yield pd.DataFrame({"doc_id": part["doc_id"].array, "held_out": (part["fold"] == 2).array, "score": score,
-                                    "predicted": (score >= THRESHOLD).astype(np.int32)})
-
-    texts = texts_of(docs).withColumn("fold", fold(F.col("doc_id")))
-    return texts.mapInPandas(work, "doc_id long, held_out boolean, score double, predicted int")
+    text without evidence; whole texts are scored, however long. Repeated rows are scored alike; an empty table has no
+    rows; other columns are ignored."""
+    model = fit(docs, labels, curve_docs, broadcast_rows)
+    held = (fold(F.col("doc_id")) == 2).alias("held_out")
+    found = model.evidence(_keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), held))
+    scored = found.select("doc_id", "held_out", model.score().alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose score stays below the threshold, with all their columns."""
-    scores = fit(docs, labels)
+def drop_toxic(docs: DataFrame, labels: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``docs`` whose score stays below the threshold, with all their columns, whatever their names.
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = pd.DataFrame({"text": batch.column("text").to_pandas().fillna("").astype(object)})
-            found = [scores(part["text"].tolist()) for part in chunks(texts)]
-            yield batch.filter(pa.array(np.concatenate([*found, np.zeros(0)]) < THRESHOLD))
+    Null and empty texts, repeated rows and null ids are scored as in :func:`score_documents`."""
+    from streamtally.session import stored
 
-    return docs.mapInArrow(keep, docs.schema)
+    model = fit(docs, labels, broadcast_rows=broadcast_rows)
+    found = model.evidence(_keyed(docs))
+    id_, hash_ = unused(docs, "did", "seen")
+    gone = stored(found.filter(model.score() >= THRESHOLD).select(F.col("did").alias(id_), F.col("seen").alias(hash_)).distinct(), "toxic")
+    did, seen = row_key(docs)
+    # Written first, so that the optimizer knows the size of what goes when it chooses the join.
+    return docs.withColumns({id_: did, hash_: seen}).join(gone, [id_, hash_], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @register()
