@@ -23,6 +23,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from streamtally.session import stored
 
@@ -39,8 +40,8 @@ LIKELIEST = 8
 # Shingles that go last in the global order, found on a bounded sample. The choice only decides speed.
 FREQUENT = 100_000
 SAMPLE_DOCS = 10_000
-# Below so many rows of 16 bytes a table of ids may be broadcast; above, the join shuffles.
-BROADCAST_ROWS = 500_000
+# Partners of a document that are verified in one block.
+PARTNERS = 256
 _FACTORS = mix64(np.arange(1, SHINGLE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -234,26 +235,42 @@ def _block_search(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "more": more})
 
 
+def _once(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """``texts`` with one row for each doc_id and text: only ids that stand on several rows are compared."""
+    several = stored(rows.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "several")
+    again = texts.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return texts.join(several, "doc_id", "left_anti").unionByName(again)
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets really reach the similarity. ``nodes``: k1 and one doc_id each."""
-    pairs = stored(pairs, "pairs")
-    used = pairs.select(F.col("a").alias("k1")).union(pairs.select(F.col("b").alias("k1"))).distinct()
-    wanted = stored(nodes.join(used, "k1").select("k1", F.col("rep").alias("doc_id")), "wanted")
-    small = wanted.count() <= BROADCAST_ROWS
-    chosen = texts.join(F.broadcast(wanted) if small else wanted, "doc_id")
+    """The pairs (a, b) of nodes whose sets really reach the similarity. ``nodes``: k1 and one doc_id each.
+
+    The sets of b travel to their a, once each: a's partners are cut into blocks of bounded size, and a's own set goes
+    to the head of each block."""
+    blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("blocks"))
+    heads = blocks.select(F.col("a").alias("k1"), F.col("a").alias("target"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    others = pairs.join(blocks, "a").select(F.col("b").alias("k1"), F.col("a").alias("target"), F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"))
+    sent = heads.withColumn("head", F.lit(True)).unionByName(others.withColumn("head", F.lit(False)))
+    # A node's destinations in lists of bounded length, so that its text is read and cut once for each list.
+    lists = sent.groupBy("k1").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("lists"))
+    part = F.pmod(F.xxhash64("target", "block"), F.col("lists"))
+    listed = sent.join(lists, "k1").groupBy("k1", part.alias("part")).agg(F.collect_list(F.struct("target", "block", "head")).alias("sent"))
+    # Written, so that the optimizer knows its size when it chooses the join.
+    wanted = stored(nodes.join(listed, "k1").select("k1", F.col("rep").alias("doc_id"), "sent"), "wanted")
 
     def keyed(part: pd.DataFrame, sets: list[np.ndarray]) -> pd.DataFrame:
         # A doc_id may stand on several rows of different texts: the row whose set has the node's hash counts.
         right = np.array([_digest(s)[0] for s in sets], np.int64) == part["k1"].to_numpy()
-        return pd.DataFrame({"k1": part["k1"].array[right], "items": [s for s, ok in zip(sets, right, strict=True) if ok]})
+        out = [(k1, s, to) for k1, s, to, ok in zip(part["k1"], sets, part["sent"], right, strict=True) if ok]
+        return pd.DataFrame(out, columns=["k1", "items", "sent"])
 
-    sets = stored(_sets_of(chosen, keyed, "k1 long, items array<long>").dropDuplicates(["k1"]), "sets")
-    # The sets of b travel to a, where a hub with many partners is split by adaptive execution.
-    rows = pairs.join(sets.select(F.col("k1").alias("b"), F.col("items").alias("right")), "b").join(
-        sets.select(F.col("k1").alias("a"), F.col("items").alias("left")), "a"
-    )
-    linked = 9 * F.size(F.array_intersect("left", "right")) >= 4 * (F.size("left") + F.size("right"))
-    return rows.filter(linked).select("a", "b")
+    place = "array<struct<target:long,block:int,head:boolean>>"
+    sets = _sets_of(texts.join(wanted, "doc_id"), keyed, f"k1 long, items array<long>, sent {place}")
+    rows = sets.select("k1", "items", F.explode("sent").alias("to")).select("k1", "items", "to.*")
+    block = Window.partitionBy("target", "block").orderBy(F.desc("head"))
+    met = rows.withColumn("own", F.first("items").over(block)).filter(~F.col("head"))
+    linked = 9 * F.size(F.array_intersect("own", "items")) >= 4 * (F.size("own") + F.size("items"))
+    return met.filter(linked).select(F.col("target").alias("a"), F.col("k1").alias("b")).distinct()
 
 
 def _unjoined(members: DataFrame, nodes: DataFrame, links: DataFrame, block: int, most: int | None) -> DataFrame:
@@ -272,7 +289,8 @@ def _unjoined(members: DataFrame, nodes: DataFrame, links: DataFrame, block: int
             F.ceil((F.col("cell") - F.col("main.c")) / block).cast("int").alias("other_blocks"),
         )
     )
-    again = labelled.join(several, "hub").join(nodes.select("k1", "n", "point"), "k1")
+    # Written, so that the optimizer knows how few cells these are; a large cell's members need not meet in one task.
+    again = labelled.join(stored(several, "several"), "hub").join(nodes.select("k1", "n", "point"), "k1")
     # The cell's largest component has blocks of its own after the others'; two of those need not meet.
     at, is_main = F.xxhash64("k1"), F.col("label") == F.col("main")
     numbered = again.withColumn(
@@ -321,7 +339,8 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, s
     )
     stars = _grouped(dealt, ["hub", "block"], ["k1", "n", "point"], _hub_search, "a long, b long")
     stars = stored(stars, "stars")
-    links = stored(_verified(stars, nodes, texts), "links")
+    once = _once(texts, rows)
+    links = stored(_verified(stars, nodes, once), "links")
 
     # What the stars have not joined yet: cells of several components, block against block. Two components need one
     # link only, so the likeliest pairs of any two come first, and all others in a second round if some are left.
@@ -329,7 +348,7 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, s
     for most in (LIKELIEST, None):
         rest = stored(_unjoined(members, nodes, links, block, most), "rest")
         pairs = stored(rest.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "untested")
-        links = stored(links.union(_verified(pairs, nodes, texts)), "links")
+        links = stored(links.union(_verified(pairs, nodes, once)), "links")
         tested = tested.union(pairs)
         if rest.filter("more").isEmpty():
             break
