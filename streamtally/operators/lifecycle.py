@@ -15,10 +15,11 @@ ALLOWED = {
 }
 
 
-def illegal_transitions(changes: DataFrame, slice_seconds: int = 86_400) -> DataFrame:
+def illegal_transitions(changes: DataFrame, slice_seconds: int = 4 * 365 * 86_400) -> DataFrame:
     """Status changes from one state to another outside ``ALLOWED``; repeats are no change.
 
-    ``changes`` has ``order_id``, ``status``, ``changed_at`` and a tie-breaking ``seq``.
+    ``changes`` has ``order_id``, ``status``, ``changed_at`` and a tie-breaking ``seq``. Slices are long
+    because the life of an order is short: most orders lie in one.
     """
     timed = changes.withColumn("_at", F.unix_seconds("changed_at"))
     moved = previous_value(

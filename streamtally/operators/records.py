@@ -85,7 +85,9 @@ def with_verdict(messages: DataFrame, value: str = "value") -> DataFrame:
     amount = decimal_or_null(order["amount"])
     unreadable = F.coalesce(F.size("_elements") != 1, F.lit(True)) | order.isNull()
     return (
-        messages.withColumn("_elements", elements)
+        # As a generator's only row: the optimizer would copy a plain column into every use of it,
+        # and parse as often.
+        messages.select("*", F.explode_outer(F.array(elements)).alias("_elements"))
         .withColumns(
             {
                 "amount": F.when(~unreadable, amount),

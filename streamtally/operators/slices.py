@@ -22,17 +22,6 @@ def slice_start(position: Column, width: int) -> Column:
     return position - F.pmod(position, F.lit(width))
 
 
-def last_before_slice(
-    sliced: DataFrame, key: str, order: Sequence[str], value: str
-) -> DataFrame:
-    """Per (key, slice present): the last ``value`` of the slices before, as column ``value``."""
-    tails = sliced.groupBy(key, SLICE).agg(F.max_by(value, F.struct(*order)).alias("_tail"))
-    over_slices = Window.partitionBy(key).orderBy(SLICE)
-    return tails.select(key, SLICE, F.lag("_tail").over(over_slices).alias(value)).where(
-        F.col(value).isNotNull()
-    )
-
-
 def previous_value(
     rows: DataFrame,
     key: str,
@@ -45,19 +34,27 @@ def previous_value(
     """``LAG(value) OVER (PARTITION BY key ORDER BY order)`` for a ``value`` without nulls.
 
     ``position`` is the numeric axis that is cut into slices of ``width``; it must be the leading
-    order column (or grow with it).
+    order column (or grow with it). All rows are dealt out once, by key and slice. Only the first row
+    of a slice then lacks its predecessor, which is the last row of the key's slice before.
     """
     cut = rows.withColumn(SLICE, slice_start(F.col(position), width))
-    carried = last_before_slice(cut, key, order, value)
-    merged = cut.withColumn("_carried", F.lit(False)).unionByName(
-        carried.withColumn("_carried", F.lit(True)), allowMissingColumns=True
-    )
-    inside = Window.partitionBy(key, SLICE).orderBy(F.desc("_carried"), *order)
-    return (
-        merged.withColumn(out, F.lag(value).over(inside))
-        .where(~F.col("_carried"))
-        .select(*rows.columns, out)
+    inside = Window.partitionBy(key, SLICE).orderBy(*order)
+    seen = cut.withColumns(
+        {
+            out: F.lag(value).over(inside),
+            "_first": F.row_number().over(inside) == 1,
+            "_last": F.lead(F.lit(1)).over(inside).isNull(),
+        }
     )
+    tails = seen.where("_last").select(F.col(key).alias("_slice_key"), F.col(SLICE).alias("_slice_at"), F.col(value).alias("_tail"))
+    before = F.lag("_tail").over(Window.partitionBy("_slice_key").orderBy("_slice_at"))
+    carried = tails.select("_slice_key", "_slice_at", before.alias("_carried")).where(F.col("_carried").isNotNull())
+    columns = [F.col(c) for c in rows.columns]
+    # A null key is a key like any other.
+    same = F.col(key).eqNullSafe(F.col("_slice_key")) & F.col(SLICE).eqNullSafe(F.col("_slice_at"))
+    firsts = seen.where("_first").join(carried, same, "left")
+    rest = seen.where(~F.col("_first")).select(*columns, out)
+    return firsts.select(*columns, F.col("_carried").alias(out)).unionByName(rest)
 
 
 def repeat_rows(rows: DataFrame, times: str, chunk: int = 4096) -> DataFrame:

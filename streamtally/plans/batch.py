@@ -369,7 +369,7 @@ def order_items_lookup(spark, folder):
     query(
         SHOP_ENRICHED,
         """SELECT user_first_name, user_last_name, user_email, CAST(created_at AS DATE) AS report_date,
-       CAST(SUM(quantity * CAST(unit_price AS DECIMAL(22,8))) AS DECIMAL(15,2)) AS total_revenue,
+       CAST(CAST(SUM(quantity * CAST(floor(unit_price * 1000000 + 0.5) AS BIGINT)) AS DECIMAL(30,0)) * 0.000001 AS DECIMAL(15,2)) AS total_revenue,
        COUNT(*) AS total_orders
 FROM enriched GROUP BY 1, 2, 3, 4""",
     )
@@ -382,7 +382,7 @@ def user_daily_stats(spark, folder):
     query(
         SHOP_ENRICHED,
         """SELECT category, CAST(created_at AS DATE) AS report_date,
-       CAST(SUM(quantity * CAST(unit_price AS DECIMAL(22,8))) AS DECIMAL(15,2)) AS total_revenue,
+       CAST(CAST(SUM(quantity * CAST(floor(unit_price * 1000000 + 0.5) AS BIGINT)) AS DECIMAL(30,0)) * 0.000001 AS DECIMAL(15,2)) AS total_revenue,
        COUNT(*) AS total_orders
 FROM enriched GROUP BY 1, 2""",
     )

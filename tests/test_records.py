@@ -1,12 +1,14 @@
 """Parsing, validation, evolution, text formats and option building."""
 
 import datetime as dt
+from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from streamtally import functions as fn
-from streamtally.operators import records
+from streamtally.operators import daily, records
 from streamtally.schemas import ORDER_V1, ORDER_V2
 from streamtally.sinks import database as database_sink
 from streamtally.sinks import keyed
@@ -211,3 +213,43 @@ def test_upsert_messages_write_tombstones(spark):
     )
     have = {r.key: r.value for r in log_sink.upsert_messages(changes).collect()}
     assert have == {"1": '{"team":"a"}', "2": None}
+
+
+def test_validation_parses_each_message_once(spark):
+    rows = spark.createDataFrame([('{"amount": 1}', 1), ("{", 2), ('{"amount":1},{"amount":2}', 3), (None, 4)], "value string, offset int")
+    for frame in (records.good_records(rows), records.quarantined(rows)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1, plan
+    assert [r.offset for r in records.good_records(rows).collect()] == [1]
+    assert {r.offset: r.reason for r in records.quarantined(rows).collect()} == {
+        2: "unreadable json", 3: "unreadable json", 4: "unreadable json",
+    }
+
+
+@pytest.mark.parametrize("price", [1e13, float("nan"), float("-inf")])
+def test_prices_that_do_not_fit_fail_the_job(spark, price):
+    rows = spark.createDataFrame([("c", 1, price, dt.datetime(2024, 1, 1))], "category string, quantity int, unit_price double, created_at timestamp")
+    with pytest.raises(Exception, match="unit price out of range"):
+        daily.category_daily_stats(rows).collect()
+
+
+def test_revenue_is_exact_to_the_millionth_of_a_price(spark):
+    prices = [0.1] * 30 + [1 / 3] * 3 + [None, 0.0000005, 0.0000004, -1e12]
+    rows = spark.createDataFrame([("c", 10**6, p, dt.datetime(2024, 1, 1)) for p in prices], "category string, quantity int, unit_price double, created_at timestamp")
+    small = daily.category_daily_stats(rows.where("unit_price > -1 or unit_price is null")).first()
+    assert (str(small.total_revenue), small.total_orders) == (str(Decimal(30 * 100_000 + 3 * 333_333 + 1).quantize(Decimal("0.01"))), 36)
+
+
+def test_seats_go_to_the_largest_remainders():
+    assert records.seats(101, {"b": 0.5, "m": 0.3, "a": 0.2}) == {"b": 51, "m": 30, "a": 20}
+    assert records.seats(2, {"x": 1, "y": 1, "z": 1}) == {"x": 1, "y": 1, "z": 0}
+    assert records.seats(10, {"x": 0, "y": -1}) == {} and records.seats(0, {"x": 2}) == {"x": 0}
+
+
+def test_sample_by_place_gives_each_place_its_seats(spark):
+    rows = spark.createDataFrame([(i, "abc"[i % 3] if i % 7 else None, float(i % 5)) for i in range(300)], "k int, place string, w double")
+    got = records.weighted_sample_by_place(rows, "w", 41, "k", "place", {"a": 3, "b": 1, "none": 1, "c": 0}).collect()
+    assert Counter(r.place for r in got) == {"a": 25, "b": 8} and all(r.w > 0 for r in got)
+    assert len({r.k for r in got}) == 33
+    few = records.weighted_sample_by_place(rows, "w", 10_000, "k", "place", {"a": 1})
+    assert few.count() == rows.where("place = 'a' and w > 0").count()
