@@ -32,7 +32,7 @@ MOST_CENTROIDS = 2_048
 REPLICA_RATIO = 1.08
 REPLICAS = 4
 # A query searches lists up to this much farther than its nearest centroid.
-SEARCH_RATIO = 1.30
+SEARCH_RATIO = 1.15
 DEGREE = 24
 PART_ROWS = 4_096
 
@@ -148,8 +148,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = TOP, search_ratio:
             part_rows: int = PART_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest vectors found for each query, its own left out.
 
-    Both inputs: vec_id, v, dim; only vectors of one length are compared. Ties go to the smaller vec_id. Fewer
-    candidates than k give all that the searched lists hold (with up to four lists, all of them)."""
+    Both inputs: vec_id, v, dim, as ``usable`` gives them (no nulls, no repeated ids; zero vectors as the caller
+    decides); only vectors of one length are compared. Ties go to the smaller vec_id. A table too small for two lists
+    is one list, so fewer candidates than k are all found. An empty table gives no rows."""
     spark = vectors.sparkSession
     found = None
     for dim in [r.dim for r in vectors.select("dim").distinct().orderBy("dim").collect()]:
@@ -160,11 +161,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = TOP, search_ratio:
         def ask(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             graph = shared.value
             for batch in batches:
-                lists = []
-                for v in batch["v"]:
-                    near, _ = graph.walk(np.asarray(v), search_ratio)
-                    # So few centroids that k could be missed: all of them.
-                    lists.append((np.arange(len(graph.centres)) if len(graph.centres) <= 4 else near).astype(np.int32))
+                lists = [graph.walk(np.asarray(v), search_ratio)[0].astype(np.int32) for v in batch["v"]]
                 yield pd.DataFrame({"query_id": batch["vec_id"].array, "q": batch["v"].array, "list": lists})
 
         asked = queries.filter(F.col("dim") == dim).select("vec_id", "v").mapInPandas(ask, "query_id long, q array<double>, list array<int>")
