@@ -733,3 +733,17 @@ def cdc_running_totals(spark, folder):
     """Totals from the changes alone; they are those of the rows that are left."""
     changes = tables.line_changes(spark, folder)
     return cdc.running_totals(changes, ["supplier"], "amount").where("n > 0")
+
+
+@add(
+    """SELECT CASE event_type WHEN 'error' THEN 'd' WHEN 'purchase' THEN 'c' ELSE 'u' END AS op,
+       CAST(event_id AS VARCHAR) AS order_id, 'USR-' || user_id AS user_id,
+       'Product ' || event_type AS product_name, event_type AS category,
+       CASE WHEN value >= 5 THEN CAST(floor(value) AS INTEGER) ELSE 0 END AS quantity,
+       CASE WHEN value < 200 THEN value ELSE 0.0 END AS unit_price,
+       CASE WHEN value < 100 THEN ts ELSE TIMESTAMP '1970-01-01' END AS created_at
+FROM events WHERE value >= 1"""
+)
+def cdc_unwrap_orders(spark, folder):
+    """Order images with their defaults: the new one, for a delete the old one."""
+    return cdc.unwrap_orders(tables.order_change_log(spark, folder), ["op"])

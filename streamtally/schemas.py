@@ -71,16 +71,6 @@ ORDER_IMAGE = record(
     unit_price="double",
     created_at="long",
 )
-ORDER_MESSAGE = record(
-    order_id="string",
-    amount="string",
-    status="string",
-)
-LOG_RECORD = record(
-    log_level="string",
-    message="string",
-    service_name="string",
-)
 
 # Outputs ----------------------------------------------------------------------------------------
 ORDERS_TABLE = record(
@@ -90,28 +80,6 @@ ORDERS_TABLE = record(
     supplier="string",
     bid_time="timestamp",
 )
-ENRICHED_ORDERS = record(
-    order_id="string",
-    user_id="string",
-    product_name="string",
-    category="string",
-    quantity="integer",
-    unit_price="double",
-    created_at="timestamp",
-    user_first_name="string",
-    user_last_name="string",
-    user_email="string",
-    user_postal_code="string",
-)
-USER_DAILY_STATS = record(
-    _nullable=False,
-    user_first_name="string",
-    user_last_name="string",
-    user_email="string",
-    report_date="date",
-    total_revenue="decimal(15,2)",
-    total_orders="long",
-)
 CATEGORY_DAILY_STATS = record(
     _nullable=False,
     category="string",
@@ -119,13 +87,6 @@ CATEGORY_DAILY_STATS = record(
     total_revenue="decimal(15,2)",
     total_orders="long",
 )
-SUPPLIER_HOURLY = record(
-    supplier="string",
-    bid_date="date",
-    bid_hour="integer",
-    total_price="decimal(10,2)",
-    total_count="long",
-)
 
 
 def envelope(image: T.StructType) -> T.StructType:

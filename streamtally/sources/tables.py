@@ -140,6 +140,27 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
     return as_change_log(table(spark, folder, "events"))
 
 
+def order_change_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Order changes, one per event: images lack numbers or times where values are small or large, and
+    changes of no value carry no image."""
+    value = F.col("value")
+    image = F.struct(
+        F.col("event_id").cast("string").alias("order_id"),
+        F.concat(F.lit("USR-"), "user_id").alias("user_id"),
+        F.concat(F.lit("Product "), "event_type").alias("product_name"),
+        F.col("event_type").alias("category"),
+        F.when(value >= 5, F.floor(value).cast("int")).alias("quantity"),
+        F.when(value < 200, value).alias("unit_price"),
+        F.when(value < 100, F.unix_micros(F.col("ts").cast("timestamp"))).alias("created_at"),
+    )
+    deleted, empty = F.col("event_type") == "error", value < 1
+    return table(spark, folder, "events").select(
+        F.when(deleted, "d").when(F.col("event_type") == "purchase", "c").otherwise("u").alias("op"),
+        F.when((F.col("event_type") != "purchase") & ~empty, image).alias("before"),
+        F.when(~deleted & ~empty, image).alias("after"),
+    )
+
+
 # Purchases and user versions --------------------------------------------------------------------
 
 
