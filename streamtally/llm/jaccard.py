@@ -42,6 +42,8 @@ FREQUENT = 100_000
 SAMPLE_DOCS = 10_000
 # Partners of a document that are verified in one block.
 PARTNERS = 256
+# Destinations of sets, about 30 bytes each, that may be broadcast to where texts are read.
+BROADCAST_SENT = 500_000
 _FACTORS = mix64(np.arange(1, SHINGLE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -255,8 +257,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     lists = sent.groupBy("k1").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("lists"))
     part = F.pmod(F.xxhash64("target", "block"), F.col("lists"))
     listed = sent.join(lists, "k1").groupBy("k1", part.alias("part")).agg(F.collect_list(F.struct("target", "block", "head")).alias("sent"))
-    # Written, so that the optimizer knows its size when it chooses the join.
     wanted = stored(nodes.join(listed, "k1").select("k1", F.col("rep").alias("doc_id"), "sent"), "wanted")
+    # Up to a bound the texts stay where they are; beyond it they are shuffled to their destinations.
+    small = (wanted.agg(F.sum(F.size("sent"))).first()[0] or 0) <= BROADCAST_SENT
 
     def keyed(part: pd.DataFrame, sets: list[np.ndarray]) -> pd.DataFrame:
         # A doc_id may stand on several rows of different texts: the row whose set has the node's hash counts.
@@ -265,7 +268,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
         return pd.DataFrame(out, columns=["k1", "items", "sent"])
 
     place = "array<struct<target:long,block:int,head:boolean>>"
-    sets = _sets_of(texts.join(wanted, "doc_id"), keyed, f"k1 long, items array<long>, sent {place}")
+    sets = _sets_of(texts.join(F.broadcast(wanted) if small else wanted, "doc_id"), keyed, f"k1 long, items array<long>, sent {place}")
     rows = sets.select("k1", "items", F.explode("sent").alias("to")).select("k1", "items", "to.*")
     block = Window.partitionBy("target", "block").orderBy(F.desc("head"))
     met = rows.withColumn("own", F.first("items").over(block)).filter(~F.col("head"))
