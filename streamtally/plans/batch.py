@@ -137,12 +137,14 @@ def hotness(spark, folder):
     query(
         USER_SCORES,
         """SELECT * EXCLUDE (rn) FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_time DESC) AS rn
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_time DESC, score DESC, event_type DESC) AS rn
   FROM user_scores) WHERE rn = 1""",
     )
 )
 def latest_per_user(spark, folder):
-    return sliding.latest_per_key(tables.user_scores(spark, folder), ["user_id"], ["event_time"])
+    """Of events of one user at one instant the one of the highest score, then of the last type."""
+    order = ["event_time", "score", "event_type"]
+    return sliding.latest_per_key(tables.user_scores(spark, folder), ["user_id"], order)
 
 
 @add(query(USER_SCORES + ", " + SLIDING, HOT_STREAKS))
@@ -344,6 +346,20 @@ def orders_without_user(spark, folder):
     )
 
 
+@add(
+    query(
+        PURCHASES + ", " + VERSIONS,
+        """SELECT * FROM purchases WHERE user_id NOT IN (
+  SELECT user_id FROM versions WHERE CAST(substr(user_id, 5) AS BIGINT) % 4 <> 0)""",
+    )
+)
+def orders_of_closed_accounts(spark, folder):
+    """Dead letters where a quarter of the users do not exist (any more)."""
+    number = F.substring("user_id", 5, 20).cast("bigint")
+    users = tables.user_versions(spark, folder).where(number % 4 != 0)
+    return enrich.missing_users(tables.purchases(spark, folder), users)
+
+
 @add(query(AS_OF, f"SELECT {ENRICHED}, {USER_COLUMNS} FROM matched"))
 def enriched_sink_shape(spark, folder):
     return enrich.sink_shape(_matched(spark, folder))

@@ -263,6 +263,16 @@ def jsonl_sink_counts(spark, folder):
     )
 
 
+@add(query(BIDS, "SELECT item AS topic, order_id, price, supplier, bid_time FROM bids"))
+def jsonl_sink_rows(spark, folder):
+    """What a reader finds in the files."""
+    path = fresh_folder(spark, "jsonl")
+    rows = tables.bids(spark, folder).withColumnRenamed("item", "topic")
+    text.write_json_files(rows, path, ["topic"], writers=spark.sparkContext.defaultParallelism)
+    found = spark.read.schema(rows.schema).json(path)
+    return found.select("topic", "order_id", "price", "supplier", "bid_time")
+
+
 @add(
     """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
        CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(s_acctbal AS VARCHAR) AS s_acctbal
