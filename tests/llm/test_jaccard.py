@@ -1,6 +1,8 @@
 import re
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from streamtally.llm import jaccard
 
@@ -89,3 +91,28 @@ def test_tree_loses_no_pair_that_the_bound_allows():
     shared = np.minimum(points[:, None, :], points[None, :, :]).sum(axis=2)
     want = {(a, b) for a, b in zip(*np.nonzero(9 * shared >= 4 * (sizes[:, None] + sizes[None, :])), strict=True)}
     assert want <= set(zip(q.tolist(), x.tolist(), strict=True))
+
+
+def test_partners_in_blocks_and_lists_of_bounded_length(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PARTNERS", 3)
+    rows = [(100 * seed + i, t) for seed in range(3) for i, t in enumerate(variants(seed, 80, 20))]
+    rows += [(7, rows[0][1]), (7, rows[0][1]), (500, text(5, 20_000)), (501, text(5, 19_000))]
+    assert got(jaccard.near_duplicates(documents(spark, rows), block=4)) == brute(rows)
+
+
+@pytest.mark.parametrize("names", [("_gone", "_did", "_twins"), ("did", "Gone", "seen", "twins")])
+def test_survivors_are_defined_and_columns_of_any_name_pass(spark, names):
+    a, b = text(1, 50), text(2, 50)
+    # Document 5 stands on two different texts and, of one of them, on three rows; 9 is a copy of one of its texts.
+    rows = [(5, a), (5, a), (5, a), (5, b), (9, b), (None, a), (None, a), (6, None), (6, None), (8, text(3, 40))]
+    docs = documents(spark, rows).withColumn("n_chars", F.monotonically_increasing_id())
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    out = [jaccard.keep_one(d) for d in (docs, docs.orderBy(F.desc("n_chars")).repartition(3))]
+    first, second = (sorted(map(tuple, o.collect()), key=repr) for o in out)
+    assert out[0].columns == docs.columns and first == second
+    assert sorted(((r.doc_id, r.text) for r in out[0].collect()), key=repr) == sorted(
+        [(5, a), (5, b), (None, a), (None, a), (6, None), (8, rows[-1][1])], key=repr
+    )
+    assert all(r[n] == f"{n}:{'none' if r.doc_id is None else r.doc_id}" for r in out[0].collect() for n in names)
