@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, register, table
+from .common import let, register, table, unused
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -117,8 +117,9 @@ def clean(docs: DataFrame, lost_percent: int = LOST_PERCENT) -> DataFrame:
     missing doc_id changes nothing. Whole texts are read, however long: the work grows as n log n with the words of a
     text where windows repeat, else with n."""
     passing = [F.col(f"`{c}`") for c in docs.columns if c not in _ADDED]
-    # The row travels as one struct, so that no name of its columns can meet one used here.
-    rows = docs.select(F.struct(*passing, F.lit(0).alias("_end")).alias("doc"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    # The row travels as one struct, so that no name of its columns can meet one used here. It is never without a field.
+    [end] = unused(docs, "end")
+    rows = docs.select(F.struct(*passing, F.lit(0).alias(end)).alias("doc"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("text"), line_reason(x).alias("reason")))
     split = rows.select("doc", "text", _words(F.col("text")).alias("words"), lines.alias("lines"))
     with_words = F.filter(F.transform("lines", lambda x: x["text"]), lambda x: x.rlike(WORD))
