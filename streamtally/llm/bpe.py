@@ -253,7 +253,7 @@ def build_lexicon(docs: DataFrame, definition: bytes, words: int = LEXICON_WORDS
     )
     merger = Merger(definition)
     # A stretch that itself holds other white space is not one word.
-    chosen = [r.word for r in counted.select("word").collect() if split_words(r.word) == [r.word]]
+    chosen = [w for w in counted.select("word").toArrow().column("word").to_pylist() if split_words(w) == [w]]
     ids, counts = merger.words(chosen)
     parts = np.split(ids, np.cumsum(counts)[:-1]) if chosen else []
     return compile_words({w.encode(): i.tolist() for w, i in zip(chosen, parts, strict=True)})

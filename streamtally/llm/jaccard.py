@@ -94,7 +94,7 @@ def frequent_shingles(texts: DataFrame, most: int = FREQUENT, sample: int = SAMP
     seen = texts.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(slots)) == 0)
     rows = _sets_of(seen, lambda part, sets: pd.DataFrame({"s": np.concatenate([*sets, np.zeros(0, np.int64)])}), "s long")
     found = rows.groupBy("s").count().filter("count > 2").orderBy(F.desc("count"), "s").limit(most)
-    return np.sort(found.select("s").toPandas()["s"].to_numpy(np.int64))
+    return np.sort(found.select("s").toArrow().column("s").to_numpy())
 
 
 def sketches(texts: DataFrame, most: int = FREQUENT, sample: int = SAMPLE_DOCS) -> DataFrame:
