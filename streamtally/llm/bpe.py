@@ -22,9 +22,8 @@ from tokenizers import Tokenizer
 from .common import chunks, expand, register, table, texts_of
 from .lexicon import Lexicon, compile_words
 
-# Most frequent words of a bounded sample of documents that the automaton holds.
+# Most frequent words of all documents that the automaton holds.
 LEXICON_WORDS = 100_000
-SAMPLE_DOCS = 10_000
 # Letters after the Latin blocks; below them nothing composes and every class is settled.
 LATER_FROM = "\u0250"
 # Stretches of more bytes are merged one by one.
@@ -235,15 +234,12 @@ def read_definition(path: str) -> bytes:
         return file.read()
 
 
-def build_lexicon(docs: DataFrame, definition: bytes, words: int = LEXICON_WORDS, sample: int = SAMPLE_DOCS) -> bytes:
-    """The automaton of the most frequent words of about ``sample`` documents, chosen by a hash of their texts.
-    Both numbers bound what reaches the driver; any choice of words gives the same ids."""
-    texts = texts_of(docs)
-    total = texts.count()
-    slots = max(1, -(-total // max(1, sample)))
-    seen = texts.filter(F.pmod(F.xxhash64("text", F.lit(8)), F.lit(slots)) == 0)
+def build_lexicon(docs: DataFrame, definition: bytes, words: int = LEXICON_WORDS) -> bytes:
+    """The automaton of the most frequent words of all documents. ``words`` bounds what reaches the driver; any
+    choice of words gives the same ids."""
     counted = (
-        seen.select(F.explode(F.split("text", r"[ \t\n\x0B\f\r]+")).alias("word"))
+        texts_of(docs)
+        .select(F.explode(F.split("text", r"[ \t\n\x0B\f\r]+")).alias("word"))
         .filter((F.col("word") != "") & (F.octet_length("word") <= 40))
         .groupBy("word")
         .count()
@@ -259,21 +255,21 @@ def build_lexicon(docs: DataFrame, definition: bytes, words: int = LEXICON_WORDS
     return compile_words({w.encode(): i.tolist() for w, i in zip(chosen, parts, strict=True)})
 
 
-def encode_documents(docs: DataFrame, path: str, words: int = LEXICON_WORDS, sample: int = SAMPLE_DOCS) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> DataFrame:
     """doc_id, ids array<int> and decoded string of every row of ``docs``. Null and empty texts have no ids and
     decode to an empty text; repeated rows stay repeated; other columns are ignored."""
-    return _run(docs, path, words, sample, _arrays, "doc_id long, ids array<int>, decoded string")
+    return _run(docs, path, words, _arrays, "doc_id long, ids array<int>, decoded string")
 
 
-def digest_documents(docs: DataFrame, path: str, words: int = LEXICON_WORDS, sample: int = SAMPLE_DOCS) -> DataFrame:
+def digest_documents(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> DataFrame:
     """As ``encode_documents``, with counts and digests in place of the ids and the decoded text."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _run(docs, path, words, sample, _digests, schema)
+    return _run(docs, path, words, _digests, schema)
 
 
-def _run(docs: DataFrame, path: str, words: int, sample: int, shape, schema: str) -> DataFrame:
+def _run(docs: DataFrame, path: str, words: int, shape, schema: str) -> DataFrame:
     definition = read_definition(path)
-    lexicon = build_lexicon(docs, definition, words, sample)
+    lexicon = build_lexicon(docs, definition, words)
     shared = docs.sparkSession.sparkContext.broadcast((definition, lexicon))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -57,3 +57,10 @@ def test_arrays_and_empty_table(spark):
     assert list(got[1].ids) == Tokenizer.from_file(PATH).encode("hello world", add_special_tokens=False).ids
     assert list(got[2].ids) == [] and got[2].decoded == ""
     assert bpe.digest_documents(empty(spark), PATH).count() == 0
+
+
+def test_lexicon_counts_words_of_all_documents(spark):
+    # Each word stands in two of 24,000 documents, which share one text.
+    docs = spark.range(24_000).selectExpr("id AS doc_id", "concat('word', id div 2) AS text")
+    block = bpe.build_lexicon(docs, bpe.read_definition(PATH))
+    assert (Lexicon(block).numbers(f"word{i}".encode() for i in range(12_000)) >= 0).all()
