@@ -92,8 +92,9 @@ def signed_amounts(envelopes: DataFrame, groups: Sequence[str], amount: str) ->
         return F.when(F.col(image).isNotNull(), row)
 
     kind = envelopes.select(f"after.{amount}").schema[0].dataType
-    sides = F.filter(F.array(side("before", -1), side("after", 1)), lambda x: x.isNotNull())
-    return envelopes.select(F.explode(sides).alias("_side")).select("_side.*")
+    # Sides that are not there are dropped after the explode: a lambda over the array would run interpreted.
+    sides = envelopes.select(F.explode(F.array(side("before", -1), side("after", 1))).alias("_side"))
+    return sides.where(F.col("_side").isNotNull()).select("_side.*")
 
 
 def running_totals(envelopes: DataFrame, groups: Sequence[str], amount: str) -> DataFrame:

@@ -6,6 +6,7 @@ the scan. Times are cut to milliseconds, as the streams carry them.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -276,17 +277,20 @@ def line_changes(spark: SparkSession, folder: str) -> DataFrame:
     returned, closed = F.col("l_returnflag") == "R", number >= 8
     none = F.lit(None).cast(LINE_IMAGE)
 
-    def change(step: int, op: str, before: Column, after: Column) -> Column:
-        return F.struct(F.lit(step).alias("step"), F.lit(op).alias("op"), before.alias("before"), after.alias("after"))
-
-    steps = F.array(
-        change(1, "c", none, first),
-        F.when(moves, change(2, "u", first, moved)),
-        F.when(returned, change(3, "d", last, none)),
-        F.when(closed & ~returned, change(4, "d", last, none)),
-    )
-    found = lines.select(F.explode(F.filter(steps, lambda x: x.isNotNull())).alias("_c"))
-    return found.select("_c.*")
+    # A scan for each step, whose condition and number are seen by the optimizer: who wants one step reads one.
+    steps = [
+        ("c", F.lit(True), none, first),
+        ("u", moves, first, moved),
+        ("d", returned, last, none),
+        ("d", closed & ~returned, last, none),
+    ]
+    found = [
+        lines.where(condition).select(
+            F.lit(i).alias("step"), F.lit(op).alias("op"), before.alias("before"), after.alias("after")
+        )
+        for i, (op, condition, before, after) in enumerate(steps, 1)
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 # Log messages -----------------------------------------------------------------------------------
