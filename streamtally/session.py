@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def local_session(name: str = "streamtally", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -53,6 +54,19 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session with the caller's settings for streams with state, but with no more shuffle partitions
+    than ``partitions`` (default: the cores there are). Each of them opens and commits every state store
+    in every batch, whatever it holds, and the number stays fixed for the life of a checkpoint."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    most = spark.sparkContext.defaultParallelism if partitions is None else partitions
+    own.conf.set(_PARTITIONS, min(int(spark.conf.get(_PARTITIONS)), max(1, most)))
+    return own
+
+
 def stored(rows: DataFrame, label: str = "stored") -> DataFrame:
     """The same rows as a written table: computed once, its lineage cut, and of known size, so that
     the optimizer itself decides whether a join may broadcast it."""

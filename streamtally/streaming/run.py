@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql import types as T
 
-from ..session import fresh_folder
+from ..session import fresh_folder, state_session
 from ..sources.files import stream_parquet
 
 def drain(writer: DataStreamWriter) -> StreamingQuery:
@@ -115,14 +115,17 @@ def replay(
     schema: T.StructType,
     run: Callable[[DataFrame], DataStreamWriter],
     landing: str,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Let each phase's rows arrive, then drain; every drain resumes from the checkpoint.
 
     ``run`` builds the same query each time (with the same checkpoint folder) over the landing
-    folder's stream. Returns the finished query of each phase.
+    folder's stream. Returns the finished query of each phase. The stream has a session of its own
+    with at most ``state_partitions`` shuffle partitions (:func:`~streamtally.session.state_session`).
     """
     finished = []
+    own = state_session(spark, state_partitions)
     for rows in phases:
         rows.write.mode("append").parquet(landing)
-        finished.append(drain(run(stream_parquet(spark, landing, schema))))
+        finished.append(drain(run(stream_parquet(own, landing, schema))))
     return finished
