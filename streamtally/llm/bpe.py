@@ -235,8 +235,8 @@ def read_definition(path: str) -> bytes:
 
 
 def build_lexicon(docs: DataFrame, definition: bytes, words: int = LEXICON_WORDS) -> bytes:
-    """The automaton of the most frequent words of all documents. ``words`` bounds what reaches the driver; any
-    choice of words gives the same ids."""
+    """The automaton of the most frequent words of all documents. ``words`` bounds what one task compiles; the driver
+    holds the finished block only. Any choice of words gives the same ids."""
     counted = (
         texts_of(docs)
         .select(F.explode(F.split("text", r"[ \t\n\x0B\f\r]+")).alias("word"))
@@ -247,12 +247,16 @@ def build_lexicon(docs: DataFrame, definition: bytes, words: int = LEXICON_WORDS
         .orderBy(F.desc("count"), "word")
         .limit(words)
     )
-    merger = Merger(definition)
-    # A stretch that itself holds other white space is not one word.
-    chosen = [w for w in counted.select("word").toArrow().column("word").to_pylist() if split_words(w) == [w]]
-    ids, counts = merger.words(chosen)
-    parts = np.split(ids, np.cumsum(counts)[:-1]) if chosen else []
-    return compile_words({w.encode(): i.tolist() for w, i in zip(chosen, parts, strict=True)})
+
+    def compiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # A stretch that itself holds other white space is not one word.
+        chosen = [w for batch in batches for w in batch["word"] if split_words(w) == [w]]
+        ids, counts = Merger(definition).words(chosen)
+        parts = np.split(ids, np.cumsum(counts)[:-1]) if chosen else []
+        yield pd.DataFrame({"block": [compile_words({w.encode(): i.tolist() for w, i in zip(chosen, parts, strict=True)})]})
+
+    found = counted.select("word").coalesce(1).mapInPandas(compiled, "block binary").toArrow().column("block").to_pylist()
+    return found[0] if found else compile_words({})
 
 
 def encode_documents(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> DataFrame:
