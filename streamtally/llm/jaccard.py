@@ -16,6 +16,7 @@ many documents meet there, has to fit into one task.
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,8 +124,8 @@ def sketches(texts: DataFrame, most: int = FREQUENT, sample: int = SAMPLE_DOCS)
                 "n": sizes,
                 "k1": [d[0] for d in digests],
                 "k2": [d[1] for d in digests],
-                # One byte a count as long as all fit.
-                "point": [p.astype("u1" if p.max() < 256 else "<i4").tobytes() for p in points],
+                # One byte a count as long as all fit, compressed: points travel more than anything else.
+                "point": [zlib.compress(p.astype("u1" if p.max() < 256 else "<i4").tobytes(), 1) for p in points],
                 "firsts": firsts,
             }
         )
@@ -193,7 +194,8 @@ def _grouped(rows: DataFrame, keys: list[str], columns: list[str], search, schem
 
 
 def _points(rows: pd.DataFrame) -> np.ndarray:
-    wide = [p if len(p) > GROUPS else np.frombuffer(p, "u1").astype("<i4").tobytes() for p in rows["point"]]
+    plain = map(zlib.decompress, rows["point"])
+    wide = [p if len(p) > GROUPS else np.frombuffer(p, "u1").astype("<i4").tobytes() for p in plain]
     return np.frombuffer(b"".join(wide), "<i4").reshape(-1, GROUPS)
 
 
@@ -247,6 +249,16 @@ def _once(texts: DataFrame, rows: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose sets really reach the similarity. ``nodes``: k1 and one doc_id each.
 
+    Whole sets travel only for pairs that their shortened items leave possible: most pairs that points let through are
+    of long sets far apart, and a short item is a quarter of a whole one."""
+    possible = stored(_compared(pairs, nodes, texts, short=True), "possible")
+    return _compared(possible, nodes, texts, short=False)
+
+
+def _compared(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, short: bool) -> DataFrame:
+    """The pairs whose sets reach the similarity; with ``short``, those that may, by the first 16 bits of the items
+    (points hold the last ones).
+
     The sets of b travel to their a, once each: a's partners are cut into blocks of bounded size, and a's own set goes
     to the head of each block."""
     blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("blocks"))
@@ -264,15 +276,17 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     def keyed(part: pd.DataFrame, sets: list[np.ndarray]) -> pd.DataFrame:
         # A doc_id may stand on several rows of different texts: the row whose set has the node's hash counts.
         right = np.array([_digest(s)[0] for s in sets], np.int64) == part["k1"].to_numpy()
-        out = [(k1, s, to) for k1, s, to, ok in zip(part["k1"], sets, part["sent"], right, strict=True) if ok]
-        return pd.DataFrame(out, columns=["k1", "items", "sent"])
+        out = [(k1, len(s), np.unique((s >> 48).astype(np.int16)) if short else s, to) for k1, s, to, ok in zip(part["k1"], sets, part["sent"], right, strict=True) if ok]
+        return pd.DataFrame(out, columns=["k1", "n", "items", "sent"])
 
     place = "array<struct<target:long,block:int,head:boolean>>"
-    sets = _sets_of(texts.join(F.broadcast(wanted) if small else wanted, "doc_id"), keyed, f"k1 long, items array<long>, sent {place}")
-    rows = sets.select("k1", "items", F.explode("sent").alias("to")).select("k1", "items", "to.*")
+    sets = _sets_of(texts.join(F.broadcast(wanted) if small else wanted, "doc_id"), keyed, f"k1 long, n long, items array<{'smallint' if short else 'long'}>, sent {place}")
+    rows = sets.select("k1", "n", "items", F.explode("sent").alias("to")).select("k1", "n", "items", "to.*")
     block = Window.partitionBy("target", "block").orderBy(F.desc("head"))
-    met = rows.withColumn("own", F.first("items").over(block)).filter(~F.col("head"))
-    linked = 9 * F.size(F.array_intersect("own", "items")) >= 4 * (F.size("own") + F.size("items"))
+    met = rows.withColumn("own", F.first(F.struct("n", "items")).over(block)).filter(~F.col("head"))
+    # Items that are equal when shortened count once in a set; at most so many more can be shared.
+    hidden = F.least(F.col("own.n") - F.size("own.items"), F.col("n") - F.size("items"))
+    linked = 9 * (F.size(F.array_intersect("own.items", "items")) + hidden) >= 4 * (F.col("own.n") + F.col("n"))
     return met.filter(linked).select(F.col("target").alias("a"), F.col("k1").alias("b")).distinct()
 
 

@@ -100,6 +100,19 @@ def test_partners_in_blocks_and_lists_of_bounded_length(spark, monkeypatch):
     assert got(jaccard.near_duplicates(documents(spark, rows), block=4)) == brute(rows)
 
 
+def test_short_items_rule_out_far_pairs_of_long_sets(spark):
+    long = text(5, 9000)
+    near = long + " and some more words"
+    far = long[: len(long) // 2] + text(6, 4500)
+    texts = jaccard.texts_of(documents(spark, {1: long, 2: near, 3: far, 4: text(8, 30), 5: text(8, 30) + " end"}))
+    nodes = jaccard.sketches(texts).select("k1", F.col("doc_id").alias("rep")).cache()
+    key = {r.rep: r.k1 for r in nodes.collect()}
+    pairs = spark.createDataFrame([(key[a], key[b]) for a, b in [(1, 2), (1, 3), (2, 3), (4, 5), (4, 1)]], "a long, b long")
+    for short in (True, False):
+        found = {(r.a, r.b) for r in jaccard._compared(pairs, nodes, texts, short).collect()}
+        assert found == {(key[1], key[2]), (key[4], key[5])}
+
+
 @pytest.mark.parametrize("names", [("_gone", "_did", "_twins"), ("did", "Gone", "seen", "twins")])
 def test_survivors_are_defined_and_columns_of_any_name_pass(spark, names):
     a, b = text(1, 50), text(2, 50)
