@@ -70,20 +70,22 @@ def split_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return codes, np.cumsum([len(s) for s in split]), list(distinct)
 
 
-def _gram_table(flat: np.ndarray, sizes: np.ndarray) -> pd.DataFrame:
-    """The grams of every letter but the start marks."""
-    ends = np.cumsum(sizes)
-    start = np.zeros(len(flat), bool)
-    start[ends - sizes] = True
-    keys = {"gram": _gram_keys(flat, sizes, ORDER), "low": _gram_keys(flat, sizes, BACKOFF), "letter": flat.astype(np.int64)}
+def _gram_table(grams: list[str]) -> pd.DataFrame:
+    """The keys of each gram, of its ending and of the contexts of both."""
+    sizes = np.fromiter(map(len, grams), np.int64, len(grams))
+    flat = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32)
+    last = np.cumsum(sizes) - 1
     # The context of a letter is the gram that ends before it.
-    long_context, short_context = _gram_keys(flat, sizes, ORDER - 1), _gram_keys(flat, sizes, BACKOFF - 1)
-    at = np.flatnonzero(~start)
-    return pd.DataFrame({k: v[at] for k, v in keys.items()} | {"context": long_context[at - 1], "low_context": short_context[at - 1]})
+    return pd.DataFrame({
+        "gram": _gram_keys(flat, sizes, ORDER)[last], "context": _gram_keys(flat, sizes, ORDER - 1)[last - 1],
+        "low": _gram_keys(flat, sizes, BACKOFF)[last], "low_context": _gram_keys(flat, sizes, BACKOFF - 1)[last - 1],
+        "letter": flat[last].astype(np.int64),
+    })
 
 
-def gram_counts(labelled: DataFrame) -> DataFrame:
-    """Counts of every gram in toxic and in ordinary documents, from (text, toxic)."""
+def _spelled(labelled: DataFrame) -> DataFrame:
+    """Of (text, toxic), the spelling of every gram and its counts in toxic and in ordinary documents. Spellings
+    travel, not keys: a few letters instead of five numbers."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -93,24 +95,41 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                     continue
                 toxic = np.repeat(part["toxic"].to_numpy(), np.diff(ends, prepend=0))
                 flat, sizes = _letters(words)
-                grams = _gram_table(flat, sizes)
+                starts = np.cumsum(sizes) - sizes
+                letter = np.ones(len(flat), bool)
+                letter[starts] = False
+                grams = pd.DataFrame({"gram": _gram_keys(flat, sizes, ORDER), "end": np.arange(len(flat)) + 1, "start": np.repeat(starts, sizes)})[letter]
                 for name, rows in (("n_toxic", toxic == 1), ("n_ordinary", toxic == 0)):
                     grams[name] = np.repeat(np.bincount(codes[rows], minlength=len(words)), sizes - 1)
                 grams = grams[(grams["n_toxic"] > 0) | (grams["n_ordinary"] > 0)]
-                keys = ["gram", "context", "low", "low_context", "letter"]
-                counts = grams.groupby("gram")[["n_toxic", "n_ordinary"]].sum()
-                first = grams.drop_duplicates("gram")[keys].set_index("gram")
-                yield first.join(counts).reset_index()
+                found = grams.groupby("gram").agg({"end": "first", "start": "first", "n_toxic": "sum", "n_ordinary": "sum"})
+                line = "".join(f"\x02{w}\x03" for w in words)
+                lo = np.maximum(found["start"], found["end"] - ORDER)
+                spelling = [line[i:j] for i, j in zip(lo, found["end"], strict=True)]
+                yield found[["n_toxic", "n_ordinary"]].assign(spelling=spelling)
 
-    schema = "gram long, context long, low long, low_context long, letter long, n_toxic long, n_ordinary long"
-    return _summed(labelled.select("text", "toxic").mapInPandas(work, schema))
+    return _summed(labelled.select("text", "toxic").mapInPandas(work, "spelling string, n_toxic long, n_ordinary long"))
 
 
 def _summed(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("gram").agg(
-        *[F.min(c).alias(c) for c in ("context", "low", "low_context", "letter")],
-        *[F.sum(c).alias(c) for c in ("n_toxic", "n_ordinary")],
-    )
+    return parts.groupBy("spelling").agg(*[F.sum(c).alias(c) for c in ("n_toxic", "n_ordinary")])
+
+
+def _keyed_grams(spelled: DataFrame) -> DataFrame:
+    """The rows of ``spelled`` with the keys of their grams."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield pd.concat([_gram_table(batch["spelling"].tolist()), batch.reset_index(drop=True)], axis=1)
+
+    keys = "gram long, context long, low long, low_context long, letter long"
+    return spelled.mapInPandas(work, f"{keys}, spelling string, n_toxic long, n_ordinary long")
+
+
+def gram_counts(labelled: DataFrame) -> DataFrame:
+    """Counts of every gram in toxic and in ordinary documents, from (text, toxic)."""
+    return _keyed_grams(_spelled(labelled))
 
 
 def gram_weights(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -331,7 +350,8 @@ def fit(docs: DataFrame, labels: DataFrame, curve_docs: int = CURVE_DOCS, broadc
     # One plan at every size: the labels grow with the documents, so they are never broadcast.
     train = texts.filter("fold != 2").join(known.hint("merge"), "doc_id")
     first = stored(gram_counts(train.filter("fold != 3")), "grams")
-    counts = stored(_summed(first.unionByName(gram_counts(train.filter("fold = 3")))), "all-grams")
+    rest = _spelled(train.filter("fold = 3"))
+    counts = stored(_keyed_grams(_summed(first.select(rest.columns).unionByName(rest))), "all-grams")
 
     def model(of: DataFrame) -> Toxicity:
         weights, backing = gram_weights(of)

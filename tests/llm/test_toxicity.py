@@ -1,4 +1,5 @@
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -114,6 +115,19 @@ def test_every_probability_against_a_plain_model_and_sums_of_one(spark):
         assert backing[key(context, toxicity.ORDER - 1)] == pytest.approx(want), context
 
 
+def test_grams_travel_by_their_spelling(spark, capsys):
+    """Only a spelling and two counts of a gram are shuffled; its five keys come after the sum."""
+    rows = [(f"{t} naïve 漢字 \U00010428\U00010429x", c) for t, c in CORPUS]
+    counts = toxicity.gram_counts(spark.createDataFrame(rows, "text string, toxic int"))
+    plain = PlainModel(rows)
+    got = {r.spelling: (r.n_toxic, r.n_ordinary) for r in counts.collect()}
+    assert got == {g: (plain.n[1][g], plain.n[0][g]) for g in plain.grams}
+    capsys.readouterr()
+    counts.explain("formatted")
+    sent = re.findall(r"Exchange *\nInput \[(\d+)\]: \[(\w+)", capsys.readouterr().out)
+    assert set(sent) == {("3", "spelling")}
+
+
 def test_joined_tables_give_the_same_scores(spark):
     texts, toxic = labelled(160)
     labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
