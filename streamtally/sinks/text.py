@@ -40,6 +40,13 @@ def write_lines(lines: DataFrame, path: str, mode: str = "append") -> None:
     lines.select(F.col("line").alias("value")).write.mode(mode).text(path)
 
 
+# The local file system without its checksum files: options of one write, which other file systems ignore.
+PLAIN_LOCAL_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+
+
 def write_json_files(
     rows: DataFrame,
     path: str,
@@ -49,10 +56,14 @@ def write_json_files(
 ) -> None:
     """JSON-lines files of bounded length, one folder per value of ``by``.
 
-    Opening files is most of the work; ``writers`` deals the rows evenly to that many tasks.
+    Opening files is most of the work; ``writers`` deals the rows evenly to that many tasks. On a local
+    file system no checksum files are written beside them: without Hadoop's native library each file
+    would start processes that set modes, more of them for a checksum file. A session that names a
+    local file system of its own keeps it.
     """
     if writers is not None:
         rows = rows.repartition(writers)
-    rows.write.mode("append").option("maxRecordsPerFile", records_per_file).partitionBy(*by).json(
-        path
-    )
+    files = rows.write.mode("append").option("maxRecordsPerFile", records_per_file)
+    if rows.sparkSession.conf.get("spark.hadoop.fs.file.impl", None) is None:
+        files = files.options(**PLAIN_LOCAL_FILES)
+    files.partitionBy(*by).json(path)

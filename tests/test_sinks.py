@@ -1,6 +1,7 @@
 """Table sinks: write modes, derived days, keyed upserts, databases, file limits."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -230,3 +231,17 @@ def test_a_table_declared_by_days(spark):
         assert [r.id for r in lake.between(table, "at", "2024-01-02", "2024-01-03").collect()] == [2]
     finally:
         lake.drop_table(spark, "by_days")
+
+
+def test_small_json_files_come_alone(spark):
+    """No checksum file, each of which would start more processes on a local file system."""
+    path = fresh_folder(spark, "alone")
+    frame = spark.range(950).selectExpr("IF(id % 3 = 0, 'a', 'b') AS topic", "id", "IF(id = 7, NULL, 'é\n' || id) AS v")
+    text.write_json_files(frame, path, ["topic"], writers=2)
+    names = [f for _, _, files in os.walk(path) for f in files]
+    assert not [n for n in names if n.endswith(".crc")]
+    found = spark.read.schema(frame.schema).json(path)
+    assert sorted(found.select("topic", "id", "v").collect(), key=lambda r: r.id) == frame.collect()
+    # The options hold for that write alone.
+    text.write_lines(frame.select(F.col("topic").alias("line")), f"{path}-lines")
+    assert [f for _, _, files in os.walk(f"{path}-lines") for f in files if f.endswith(".crc")]
