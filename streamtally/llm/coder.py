@@ -40,35 +40,37 @@ class _Range:
                 self.code = self.code << _S16 | self.words[np.arange(lanes), self.at].astype(np.uint64)
                 self.at += 1
 
-    def code_symbols(self, lanes: np.ndarray, cdf: np.ndarray, symbols: np.ndarray | None) -> np.ndarray:
-        """Codes one symbol per lane under cumulative counts of shape (lanes, symbols - 1); gives the symbols."""
+    def code_symbols(self, lanes: np.ndarray | slice, cdf: np.ndarray, symbols: np.ndarray | None) -> np.ndarray:
+        """Codes one symbol per lane under cumulative counts from 0 to ``ONE``; gives the symbols."""
         low, width = self.low[lanes], self.range[lanes] >> np.uint64(PROB_BITS)
+        n, edges = cdf.shape
         if self.decoding:
-            value = ((self.code[lanes] - low) & _WINDOW) // width
-            symbols = np.count_nonzero(cdf <= np.minimum(value, np.uint64(ONE - 1)).astype(cdf.dtype)[:, None], axis=1)
-        last = cdf.shape[1]
-        flat, base = cdf.reshape(-1), np.arange(len(lanes)) * last + symbols
-        start = np.where(symbols > 0, flat.take(base - 1, mode="wrap").astype(np.int64), 0).astype(np.uint64)
-        end = np.where(symbols < last, flat.take(base, mode="clip").astype(np.int64), ONE).astype(np.uint64)
+            value = np.minimum(((self.code[lanes] - low) & _WINDOW) // width, np.uint64(ONE - 1)).astype(cdf.dtype)
+            symbols = np.add.reduce(cdf[:, 1:-1] <= value[:, None], axis=1, dtype=np.int8).astype(np.int64)
+        flat, base = cdf.reshape(-1), np.arange(0, n * edges, edges) + symbols
+        start, end = flat.take(base).astype(np.uint64), flat.take(base + 1).astype(np.uint64)
         low = (low + start * width) & _WINDOW
         width = (end - start) * width
-        while True:
-            small = width < _BOTTOM
-            settled = (low ^ (low + width)) < _TOP
-            moving = np.flatnonzero(settled | small)
-            if not len(moving):
-                break
-            tight = small & ~settled
+        moving = np.flatnonzero(((low ^ (low + width)) < _TOP) | (width < _BOTTOM))
+        at, rest_low, rest_width = moving, low[moving], width[moving]
+        first = lanes.start if isinstance(lanes, slice) else None
+        while len(at):
+            # Carry-less: a narrow range that straddles a border is cut at it.
+            tight = (rest_low ^ (rest_low + rest_width)) >= _TOP
             if tight.any():
-                width = np.where(tight, (~low + np.uint64(1)) & (_BOTTOM - np.uint64(1)), width)
-            row = lanes[moving]
+                rest_width = np.where(tight, (~rest_low + np.uint64(1)) & (_BOTTOM - np.uint64(1)), rest_width)
+            row = at + first if first is not None else lanes[at]
+            place = self.at[row]
             if self.decoding:
-                self.code[row] = (self.code[row] << _S16 | self.words[row, self.at[row]].astype(np.uint64)) & _WINDOW
+                self.code[row] = (self.code[row] << _S16 | self.words[row, place].astype(np.uint64)) & _WINDOW
             else:
-                self.words[row, self.at[row]] = (low[moving] >> np.uint64(32)).astype(np.uint16)
-            self.at[row] += 1
-            low[moving] = (low[moving] << _S16) & _WINDOW
-            width[moving] <<= _S16
+                self.words[row, place] = (rest_low >> np.uint64(32)).astype(np.uint16)
+            self.at[row] = place + 1
+            rest_low = (rest_low << _S16) & _WINDOW
+            rest_width = rest_width << _S16
+            low[at], width[at] = rest_low, rest_width
+            more = np.flatnonzero(((rest_low ^ (rest_low + rest_width)) < _TOP) | (rest_width < _BOTTOM))
+            at, rest_low, rest_width = at[more], rest_low[more], rest_width[more]
         self.low[lanes], self.range[lanes] = low, width
         return symbols
 
@@ -79,68 +81,79 @@ class _Range:
             self.at += 1
 
 
-def _even(rows: int, contexts: int, symbols: int) -> np.ndarray:
-    steps = (np.arange(1, symbols) * ONE // symbols).astype(np.int32)
-    return np.broadcast_to(steps, (rows, contexts, symbols - 1)).copy()
+def _even(rows: int, symbols: int, dtype: type) -> np.ndarray:
+    """Cumulative counts of equally likely symbols, from 0 to ``ONE``."""
+    steps = (np.arange(symbols + 1) * ONE // symbols).astype(dtype)
+    return np.broadcast_to(steps, (rows, symbols + 1)).copy()
 
 
 class _Models:
+    """The tables of all lanes, one after the other."""
+
     def __init__(self, lanes: int) -> None:
-        self.digits = _even(lanes, DIGIT_CONTEXTS, 16).astype(np.int16).reshape(-1, 15)
-        self.which = [_even(lanes, 32, 4), _even(lanes, 16, 4)]
-        self.weight = np.full(lanes, 1 << 15, np.int64)
-        self.next1, self.next2 = np.zeros((lanes, ORDER1), np.int32), np.zeros((lanes, ORDER2), np.int32)
-        self.sure1, self.sure2 = np.zeros((lanes, ORDER1), np.int8), np.zeros((lanes, ORDER2), np.int8)
+        self.digits = _even(lanes * DIGIT_CONTEXTS, 16, np.uint16)
+        self.which = [_even(lanes * 32, 4, np.int32), _even(lanes * 16, 4, np.int32)]
+        self.weight = np.full(lanes, 1 << 15, np.int32)
+        # Predicted id and, in the two low bits, how sure it is.
+        self.next1, self.next2 = np.zeros(lanes * ORDER1, np.int32), np.zeros(lanes * ORDER2, np.int32)
         self.favourite, self.votes = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
         self.one, self.two = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
         self.history = np.zeros(lanes, np.int32)
-        self.digit_target = (np.where(np.arange(1, 16)[None, :] > np.arange(16)[:, None], ONE - 16, 0) + np.arange(1, 16)).astype(np.int16)
-        self.which_target = np.where(np.arange(1, 4)[None, :] > np.arange(4)[:, None], ONE - 64, 0) + 16 * np.arange(1, 4)
-
-
-def _step(m: _Models, r: _Range, lanes: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    one, two = m.one[lanes], m.two[lanes]
-    slot1 = (one * 40503 >> 4) & (ORDER1 - 1)
-    slot2 = ((one * 40503 + two * 30011) >> 5) & (ORDER2 - 1)
-    guess = (m.next2[lanes, slot2], m.next1[lanes, slot1], m.favourite[lanes])
-    sure2, sure1 = m.sure2[lanes, slot2], m.sure1[lanes, slot1]
+        self.rows = np.arange(lanes)
+        self.digit_target = np.pad((np.where(np.arange(1, 16)[None, :] > np.arange(16)[:, None], ONE - 16, 0) + np.arange(1, 16)).astype(np.int16), ((0, 0), (1, 0)))
+        self.which_target = (np.where(np.arange(1, 4)[None, :] > np.arange(4)[:, None], ONE - 64, 0) + 16 * np.arange(1, 4)).astype(np.int32)
+
+
+def _step(m: _Models, r: _Range, n: int, ids: np.ndarray | None) -> np.ndarray:
+    """Codes the next id of the first ``n`` lanes."""
+    lanes, line = slice(0, n), m.rows[:n]
+    one, two = m.one[lanes].copy(), m.two[lanes]
+    slot1 = line * ORDER1 + ((one * 40503 >> 4) & (ORDER1 - 1))
+    slot2 = line * ORDER2 + (((one * 40503 + two * 30011) >> 5) & (ORDER2 - 1))
+    held2, held1 = m.next2.take(slot2), m.next1.take(slot1)
+    guess = (held2 >> 2, held1 >> 2, m.favourite[lanes])
+    sure2, sure1 = held2 & 3, held1 & 3
     # Which prediction is right: one symbol, mixed from two contexts.
-    contexts = ((sure2.astype(np.int64) * 4 + sure1) * 2 + (guess[0] == guess[1]), m.history[lanes])
-    cdfs = [t[lanes, c] for t, c in zip(m.which, contexts, strict=True)]
-    weight = m.weight[lanes][:, None]
-    mixed = ((cdfs[0] * weight + cdfs[1] * ((1 << 16) - weight)) >> 16).astype(np.int64)
+    contexts = (line * 32 + ((sure2 * 4 + sure1) * 2 + (guess[0] == guess[1])), line * 16 + m.history[lanes])
+    cdfs = [t.take(c, axis=0) for t, c in zip(m.which, contexts, strict=True)]
+    weight = m.weight[lanes]
+    # At most 2^15 times 2^16: unsigned.
+    heavy = weight.astype(np.uint32)[:, None]
+    mixed = ((cdfs[0].view(np.uint32) * heavy + cdfs[1].view(np.uint32) * (np.uint32(1 << 16) - heavy)) >> np.uint32(16)).view(np.int32)
     which = None
     if ids is not None:
         which = np.where(ids == guess[0], 0, np.where(ids == guess[1], 1, np.where(ids == guess[2], 2, 3)))
     which = r.code_symbols(lanes, mixed, which)
-    line = np.arange(len(lanes))
-    given = []
+    target, place, given = m.which_target.take(which, axis=0), line * 5 + which, []
     for table, cdf, context in zip(m.which, cdfs, contexts, strict=True):
-        full = np.hstack([np.zeros((len(lanes), 1), cdf.dtype), cdf, np.full((len(lanes), 1), ONE, cdf.dtype)])
-        given.append(full[line, which + 1] - full[line, which])
-        table[lanes, context] = cdf + ((m.which_target[which] - cdf) >> 5)
-    better = np.sign(given[0] - given[1]).astype(np.int64)
-    m.weight[lanes] = np.clip(m.weight[lanes] + better * 512, 2048, (1 << 16) - 2048)
+        given.append(cdf.reshape(-1).take(place + 1) - cdf.reshape(-1).take(place))
+        cdf[:, 1:4] += (target - cdf[:, 1:4]) >> 5
+        table[context] = cdf
+    better = np.sign(given[0] - given[1])
+    m.weight[lanes] = np.clip(weight + better * 512, 2048, (1 << 16) - 2048)
     m.history[lanes] = (m.history[lanes] * 4 + which) & 15
     found = np.where(which == 0, guess[0], np.where(which == 1, guess[1], guess[2]))
     missed = np.flatnonzero(which == 3)
     if len(missed):
-        rows = lanes[missed]
-        value = np.zeros(len(rows), np.int64)
+        value = np.zeros(len(missed), np.int64)
+        wanted = None if ids is None else ids[missed].astype(np.int64)
+        first = missed * DIGIT_CONTEXTS
         for digit in range(DIGITS):
             context = _BASE[digit] + value if digit < 3 else 273 + ((value * 40503 >> 4) & (_FOLDED - 1))
-            slot = rows * DIGIT_CONTEXTS + context
+            slot = first + context
             cdf = m.digits.take(slot, axis=0)
-            symbol = None if ids is None else ids[missed].astype(np.int64) >> (4 * (DIGITS - 1 - digit)) & 15
-            symbol = r.code_symbols(rows, cdf, symbol)
-            m.digits[slot] = cdf + ((m.digit_target.take(symbol, axis=0) - cdf) >> 5)
+            symbol = None if wanted is None else wanted >> (4 * (DIGITS - 1 - digit)) & 15
+            symbol = r.code_symbols(missed, cdf, symbol)
+            inner = cdf[:, :16].view(np.int16)
+            inner += (m.digit_target.take(symbol, axis=0) - inner) >> 5
+            m.digits[slot] = cdf
             value = value * 16 + symbol
         found[missed] = value
     # What came becomes the prediction, unless a surer one stands.
-    for table, sure, slot, was, wrong in ((m.next2, m.sure2, slot2, sure2, guess[0] != found), (m.next1, m.sure1, slot1, sure1, guess[1] != found)):
-        sure[lanes, slot] = np.where(wrong, np.maximum(was - 1, 0), np.minimum(was + 1, 3))
-        replaced = np.flatnonzero(wrong & (was == 0))
-        table[lanes[replaced], slot[replaced]] = found[replaced]
+    for table, slot, held, was, said in ((m.next2, slot2, held2, sure2, guess[0]), (m.next1, slot1, held1, sure1, guess[1])):
+        wrong = said != found
+        kept = np.where(wrong, held - (was > 0), held + (was < 3))
+        table[slot] = np.where(wrong & (was == 0), found << 2, kept)
     hit = guess[2] == found
     votes = m.votes[lanes] + np.where(hit, 1, -1)
     m.favourite[lanes] = np.where(votes < 0, found, guess[2])
@@ -155,14 +168,13 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     if not len(blocks):
         return []
     order = np.argsort(-sizes, kind="stable")
-    table = np.zeros((len(blocks), int(sizes.max(initial=0))), np.int32)
+    table = np.zeros((int(sizes.max(initial=0)), len(blocks)), np.int32)
     for row, block in enumerate(order):
-        table[row, : sizes[block]] = blocks[block]
-    alive = np.searchsorted(-sizes[order], -np.arange(table.shape[1]), side="left")
-    models, coder = _Models(len(blocks)), _Range(len(blocks), WORDS_PER_ID * table.shape[1] + 8)
-    for at in range(table.shape[1]):
-        lanes = np.arange(alive[at])
-        _step(models, coder, lanes, table[lanes, at])
+        table[: sizes[block], row] = blocks[block]
+    alive = np.searchsorted(-sizes[order], -np.arange(len(table)), side="left")
+    models, coder = _Models(len(blocks)), _Range(len(blocks), WORDS_PER_ID * len(table) + 8)
+    for at in range(len(table)):
+        _step(models, coder, int(alive[at]), table[at, : alive[at]])
     coder.finish()
     out: list[bytes] = [b""] * len(blocks)
     for row, block in enumerate(order):
@@ -179,13 +191,12 @@ def decode_blocks(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     words = np.zeros((len(coded), max(map(len, coded)) // 2 + 4), np.uint16)
     for row, block in enumerate(order):
         words[row, : len(coded[block]) // 2] = np.frombuffer(coded[block], "<u2")
-    table = np.zeros((len(coded), int(counts.max(initial=0))), np.int32)
-    alive = np.searchsorted(-counts[order], -np.arange(table.shape[1]), side="left")
+    table = np.zeros((int(counts.max(initial=0)), len(coded)), np.int32)
+    alive = np.searchsorted(-counts[order], -np.arange(len(table)), side="left")
     models, coder = _Models(len(coded)), _Range(len(coded), 0, words)
-    for at in range(table.shape[1]):
-        lanes = np.arange(alive[at])
-        table[lanes, at] = _step(models, coder, lanes, None)
+    for at in range(len(table)):
+        table[at, : alive[at]] = _step(models, coder, int(alive[at]), None)
     out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(coded)
     for row, block in enumerate(order):
-        out[block] = table[row, : counts[block]]
+        out[block] = table[: counts[block], row].copy()
     return out

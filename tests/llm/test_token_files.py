@@ -24,6 +24,16 @@ def test_coder_round_trips():
     assert encode_blocks([]) == [] and decode_blocks([], []) == []
 
 
+def test_coded_bytes_stay_the_format():
+    """Files of earlier versions are read: the coded bytes of some blocks, from mixed to constant."""
+    rng = np.random.default_rng(5)
+    blocks = [(rng.zipf(1.3, n) % 49_000).astype(np.int32) for n in (700, 1, 0, 350, 699)]
+    blocks += [np.tile(rng.integers(0, 1 << 16, 40), 9).astype(np.int32), np.full(300, 65_535, np.int32)]
+    coded = encode_blocks(blocks)
+    assert zlib.crc32(b"".join(coded)) == 104_862_694
+    assert all((a == b).all() for a, b in zip(decode_blocks(coded, [len(b) for b in blocks]), blocks, strict=True))
+
+
 def test_digests_from_the_files(spark):
     library = Tokenizer.from_file(bpe.tokenizer_path())
     rows = awkward()
