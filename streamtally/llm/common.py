@@ -41,6 +41,13 @@ def row_key(docs: DataFrame) -> tuple[Column, Column]:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def merged(left: DataFrame, right: DataFrame, on: list[str] | str, how: str = "inner") -> DataFrame:
+    """A join by sorting both sides, at every size. For tables that grow with the documents, and for small ones beside
+    each other: none of them is gathered in the driver, where every broadcast join makes a table of some megabytes,
+    however few its rows, which stays until the driver collects its garbage."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def unused(docs: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores before it as it takes to be no column of ``docs`` (in any case)."""
     taken, found = {c.lower() for c in docs.columns}, []

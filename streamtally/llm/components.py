@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from streamtally.session import stored
 
+from .common import merged
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the long columns a and b. Each round is written to the shared folder;
@@ -16,12 +18,12 @@ def components(edges: DataFrame) -> DataFrame:
     label = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"), "labels")
     while True:
         # The smallest root among the neighbours, then the root of that root.
-        seen = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        nearer = label.join(seen.withColumnRenamed("a", "node"), "node").select(
+        seen = merged(both, label.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
+        nearer = merged(label, seen.withColumnRenamed("a", "node"), "node").select(
             "node", F.col("root").alias("was"), F.least("root", "near").alias("root")
         )
         jump = label.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        moved = nearer.join(jump, "root", "left").select("node", "was", F.coalesce(F.least("root", "above"), "root").alias("root"))
+        moved = merged(nearer, jump, "root", "left").select("node", "was", F.coalesce(F.least("root", "above"), "root").alias("root"))
         moved = stored(moved, "labels")
         if moved.filter("root <> was").isEmpty():
             return moved.select("node", F.col("root").alias("component"))

@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from streamtally.session import stored
 
-from .common import chunks, expand, mix64, register, row_key, table, texts_of, unused
+from .common import chunks, expand, merged, mix64, register, row_key, table, texts_of, unused
 from .components import components
 
 SHINGLE_WORDS = 5
@@ -242,6 +242,8 @@ def _block_search(rows: pd.DataFrame, most: int | None) -> pd.DataFrame:
 def _once(texts: DataFrame, rows: DataFrame) -> DataFrame:
     """``texts`` with one row for each doc_id and text: only ids that stand on several rows are compared."""
     several = stored(rows.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "several")
+    if several.isEmpty():
+        return texts
     again = texts.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return texts.join(several, "doc_id", "left_anti").unionByName(again)
 
@@ -263,13 +265,13 @@ def _compared(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, short: bool)
     to the head of each block."""
     blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("blocks"))
     heads = blocks.select(F.col("a").alias("k1"), F.col("a").alias("target"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    others = pairs.join(blocks, "a").select(F.col("b").alias("k1"), F.col("a").alias("target"), F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"))
+    others = merged(pairs, blocks, "a").select(F.col("b").alias("k1"), F.col("a").alias("target"), F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"))
     sent = heads.withColumn("head", F.lit(True)).unionByName(others.withColumn("head", F.lit(False)))
     # A node's destinations in lists of bounded length, so that its text is read and cut once for each list.
     lists = sent.groupBy("k1").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("lists"))
     part = F.pmod(F.xxhash64("target", "block"), F.col("lists"))
-    listed = sent.join(lists, "k1").groupBy("k1", part.alias("part")).agg(F.collect_list(F.struct("target", "block", "head")).alias("sent"))
-    wanted = stored(nodes.join(listed, "k1").select("k1", F.col("rep").alias("doc_id"), "sent"), "wanted")
+    listed = merged(sent, lists, "k1").groupBy("k1", part.alias("part")).agg(F.collect_list(F.struct("target", "block", "head")).alias("sent"))
+    wanted = stored(merged(nodes, listed, "k1").select("k1", F.col("rep").alias("doc_id"), "sent"), "wanted")
     # Up to a bound the texts stay where they are; beyond it they are shuffled to their destinations.
     small = (wanted.agg(F.sum(F.size("sent"))).first()[0] or 0) <= BROADCAST_SENT
 
@@ -293,7 +295,7 @@ def _compared(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, short: bool)
 def _unjoined(members: DataFrame, nodes: DataFrame, links: DataFrame, block: int, most: int | None) -> DataFrame:
     """Pairs (a, b, more) that may be links, of members of one cell that ``links`` do not join yet."""
     label = components(links).withColumnRenamed("node", "k1").withColumnRenamed("component", "label")
-    labelled = stored(members.join(label, "k1", "left").select("hub", "k1", F.coalesce("label", "k1").alias("label")), "labelled")
+    labelled = stored(merged(members, label, "k1", "left").select("hub", "k1", F.coalesce("label", "k1").alias("label")), "labelled")
     per_label = labelled.groupBy("hub", "label").agg(F.count("*").alias("c"))
     several = (
         per_label.groupBy("hub")
@@ -306,8 +308,7 @@ def _unjoined(members: DataFrame, nodes: DataFrame, links: DataFrame, block: int
             F.ceil((F.col("cell") - F.col("main.c")) / block).cast("int").alias("other_blocks"),
         )
     )
-    # Written, so that the optimizer knows how few cells these are; a large cell's members need not meet in one task.
-    again = labelled.join(stored(several, "several"), "hub").join(nodes.select("k1", "n", "point"), "k1")
+    again = merged(merged(labelled, stored(several, "several"), "hub"), nodes.select("k1", "n", "point"), "k1")
     # The cell's largest component has blocks of its own after the others'; two of those need not meet.
     at, is_main = F.xxhash64("k1"), F.col("label") == F.col("main")
     numbered = again.withColumn(
@@ -341,10 +342,9 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, s
     # Cells: (hub, member) for every named shingle that different sets share.
     named = rows.select("k1", F.explode("firsts").alias("s"))
     shared = stored(named.groupBy("s").agg(F.min("k1").alias("hub"), F.max("k1").alias("top")).filter("hub < top").select("s", "hub"), "shared")
-    # One plan at every size: the shared shingles grow with the documents, so they are never broadcast.
-    members = stored(named.join(shared.hint("merge"), "s").select("hub", "k1").distinct(), "members")
+    members = stored(merged(named, shared, "s").select("hub", "k1").distinct(), "members")
     sizes = members.groupBy("hub").agg(F.count("*").alias("cell"))
-    described = members.join(sizes, "hub").join(nodes.select("k1", "n", "point"), "k1")
+    described = merged(merged(members, sizes, "hub"), nodes.select("k1", "n", "point"), "k1")
     blocks = F.ceil(F.col("cell") / block).cast("int")
     dealt = described.withColumn(
         "block",
@@ -364,7 +364,7 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, s
     tested = stars
     for most in (LIKELIEST, None):
         rest = stored(_unjoined(members, nodes, links, block, most), "rest")
-        pairs = stored(rest.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "untested")
+        pairs = stored(merged(rest.select("a", "b").distinct(), tested, ["a", "b"], "left_anti"), "untested")
         links = stored(links.union(_verified(pairs, nodes, once)), "links")
         tested = tested.union(pairs)
         if rest.filter("more").isEmpty():
@@ -372,17 +372,16 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, most: int = FREQUENT, s
 
     # Components of doc ids: links between sets, and rows that share a doc_id.
     rep = nodes.select("k1", "rep")
-    linked = links.join(rep.select(F.col("k1").alias("a"), F.col("rep").alias("x")), "a").join(
-        rep.select(F.col("k1").alias("b"), F.col("rep").alias("y")), "b"
-    ).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    owned = stored(rows.select("doc_id", "k1", "k2").distinct().join(nodes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep"), "owned")
+    from_a = merged(links, rep.select(F.col("k1").alias("a"), F.col("rep").alias("x")), "a")
+    linked = merged(from_a, rep.select(F.col("k1").alias("b"), F.col("rep").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    owned = stored(merged(rows.select("doc_id", "k1", "k2").distinct(), nodes.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep"), "owned")
     several_sets = owned.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x < y")
-    joined = owned.join(several_sets.select("doc_id", "x"), "doc_id").select(F.col("x").alias("a"), F.col("rep").alias("b"))
+    joined = merged(owned, several_sets.select("doc_id", "x"), "doc_id").select(F.col("x").alias("a"), F.col("rep").alias("b"))
     found = components(linked.union(joined)).withColumnRenamed("node", "rep")
-    per_doc = owned.groupBy("doc_id").agg(F.min("rep").alias("rep")).join(found, "rep", "left").select(
+    per_doc = merged(owned.groupBy("doc_id").agg(F.min("rep").alias("rep")), found, "rep", "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component")
     )
-    return all_rows.select("doc_id", F.col("n").alias("n_shingles")).join(per_doc, "doc_id", "left").select(
+    return merged(all_rows.select("doc_id", F.col("n").alias("n_shingles")), per_doc, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
 
@@ -400,9 +399,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     keys = docs.filter(F.col("doc_id").isNotNull()).select(did.alias(id_), seen.alias(hash_))
     twins = keys.groupBy(id_, hash_).count().filter("count > 1").select(id_, F.lit(False).alias(gone_), F.lit(True).alias(twins_))
     marks = stored(gone.unionByName(twins).groupBy(id_).agg(F.max(gone_).alias(gone_), F.max(twins_).alias(twins_)), "marks")
-    # One plan at every size: the marks grow with the documents, so they are never broadcast.
     keyed = docs.withColumn(id_, F.col("doc_id").cast("long"))
-    kept = keyed.join(marks.hint("merge"), id_, "left").filter(~F.coalesce(F.col(gone_), F.lit(False)))
+    kept = merged(keyed, marks, id_, "left").filter(~F.coalesce(F.col(gone_), F.lit(False)))
     single, several = kept.filter(F.col(twins_).isNull()), kept.filter(F.col(twins_))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     one = several.groupBy(id_, F.xxhash64(F.coalesce("text", F.lit(""))).alias(hash_)).agg(

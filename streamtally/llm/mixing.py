@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import NO_ID, register, row_key, table, unused
+from .common import NO_ID, merged, register, row_key, table, unused
 
 LEVELS = ("domain", "lang", "source")
 # Target weights; names that are not listed weigh DEFAULT_WEIGHT.
@@ -67,7 +67,7 @@ def budgets(available: DataFrame, total: int, weights: dict[str, dict[str, float
         if shares is None:
             children = children.withColumn("share", F.lit(int(total)).cast("double"))
         else:
-            children = children.join(shares.withColumnRenamed("budget", "share"), parents)
+            children = merged(children, shares.withColumnRenamed("budget", "share"), parents)
         siblings = Window.partitionBy(*parents) if parents else Window.partitionBy(F.lit(0))
         ordered = siblings.orderBy(F.col("can_give") / F.col("weight"), level)
         before = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -86,7 +86,7 @@ def budgets(available: DataFrame, total: int, weights: dict[str, dict[str, float
                   < F.struct(F.col("open.r").alias("r"), F.col("open.name").alias("name")), F.col("can_give").cast("double"))
             .otherwise(F.col("open.rate") * F.col("weight")).alias("budget"),
         )
-    return available.join(shares, list(LEVELS)).withColumn("budget", F.floor("budget").cast("long"))
+    return merged(available, shares, list(LEVELS)).withColumn("budget", F.floor("budget").cast("long"))
 
 
 def _order(seed: str, epoch: Column) -> Column:
@@ -109,7 +109,7 @@ def mix(docs: DataFrame, share: float = BUDGET_SHARE, weights: dict[str, dict[st
     available = stored(rows.groupBy(*path).agg(F.sum("n_tokens").alias("n_tokens")), "available")
     total = available.agg(F.sum("n_tokens")).first()[0] or 0
     plan = stored(budgets(available.filter("n_tokens > 0"), int(total * share), weights, max_epochs), "budgets")
-    plan = available.select(*path).join(plan, path, "left").select(
+    plan = merged(available.select(*path), plan, path, "left").select(
         *path,
         F.coalesce("budget", F.lit(0)).alias("budget"),
         F.coalesce(F.floor(F.col("budget") / F.col("n_tokens")).cast("long"), F.lit(0)).alias("epochs"),
@@ -129,11 +129,11 @@ def mix(docs: DataFrame, share: float = BUDGET_SHARE, weights: dict[str, dict[st
     coarse = cut(keyed, first, "earlier")
     # Only in the one bin that the budget ends in does the exact order matter: cut it finer, then row by row.
     edge = stored(
-        coarse.join(plan.select(*path, "left_over"), path)
+        merged(coarse, plan.select(*path, "left_over"), path)
         .filter("earlier <= left_over and earlier + tokens > left_over")
         .groupBy(*path).agg(F.min("bin").alias("edge"), F.min("earlier").alias("earlier")), "edges")
     near = keyed.join(edge, path).filter(first == F.col("edge"))
-    fine = cut(near, second, "within").join(edge, path).join(plan.select(*path, "left_over"), path)
+    fine = merged(merged(cut(near, second, "within"), edge, path), plan.select(*path, "left_over"), path)
     fine_edge = stored(
         fine.filter("earlier + within <= left_over and earlier + within + tokens > left_over")
         .groupBy(*path).agg(F.min("bin").alias("fine_edge"), F.min(F.col("earlier") + F.col("within")).alias("fine_earlier")), "fine-edges")
@@ -143,7 +143,7 @@ def mix(docs: DataFrame, share: float = BUDGET_SHARE, weights: dict[str, dict[st
         .withColumn("through", F.col("fine_earlier") + F.sum("group_tokens").over(running))
         .filter("through <= left_over").select("did", "seen", *path, F.lit(1).alias("in_last"))
     )
-    placed = keyed.join(fine_edge.select(*path, "fine_edge"), path, "left").join(last, ["did", "seen", *path], "left")
+    placed = keyed.join(fine_edge.select(*path, "fine_edge"), path, "left").join(last.hint("merge"), ["did", "seen", *path], "left")
     extra = F.when(F.col("left_over") == 0, 0).when(F.col("fine_edge").isNull(), F.lit(1)).when(second < F.col("fine_edge"), 1).otherwise(F.coalesce("in_last", F.lit(0)))
     return placed.select("did", "seen", *path, "n_tokens", "budget", (F.col("epochs") + extra).cast("long").alias("n_copies"))
 
@@ -158,7 +158,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     did, seen = row_key(docs)
     id_, hash_, copies, copy = unused(docs, "did", "seen", "copies", "copy")
     keyed = docs.withColumns({id_: did, hash_: seen})
-    rows = keyed.join(taken.select(F.col("did").alias(id_), F.col("seen").alias(hash_), F.col("n_copies").alias(copies)), [id_, hash_])
+    rows = merged(keyed, taken.select(F.col("did").alias(id_), F.col("seen").alias(hash_), F.col("n_copies").alias(copies)), [id_, hash_])
     return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

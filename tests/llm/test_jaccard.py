@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from streamtally.llm import jaccard
+from streamtally.llm import components, jaccard, mixing
+from streamtally.session import stored
 
 from .frames import awkward, documents, empty, text
 
@@ -129,3 +130,24 @@ def test_survivors_are_defined_and_columns_of_any_name_pass(spark, names):
         [(5, a), (5, b), (None, a), (None, a), (6, None), (8, rows[-1][1])], key=repr
     )
     assert all(r[n] == f"{n}:{'none' if r.doc_id is None else r.doc_id}" for r in out[0].collect() for n in names)
+
+
+def test_no_join_gathers_a_table_in_the_driver(spark, monkeypatch):
+    """Broadcast joins make tables of some megabytes in the driver however few their rows; hundreds of them in a run
+    took the pipeline's driver over its memory. Only the bounded destinations of sets are broadcast."""
+    plans = []
+
+    def seen(rows, label="stored"):
+        plans.append((label, rows._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")))
+        return stored(rows, label)
+
+    for module in (components, jaccard):
+        monkeypatch.setattr(module, "stored", seen)
+    rows = [(10 * g + i, t) for g in range(3) for i, t in enumerate(variants(g, 60, 4))]
+    found = jaccard.near_duplicates(documents(spark, rows))
+    assert got(found) == brute(rows)
+    plans.append(("result", found._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")))
+    assert {"members", "stars", "wanted", "edges", "labels", "rest", "owned", "result"} <= {label for label, _ in plans}
+    assert [p for p in plans if p[1] > (p[0] in ("possible", "links"))] == []
+    leaves = spark.createDataFrame([("even", "en", "src0", 100), ("odd", "fr", "src3", 1)], "domain string, lang string, source string, n_tokens long")
+    assert "BroadcastExchange" not in mixing.budgets(leaves, 80)._jdf.queryExecution().executedPlan().toString()
