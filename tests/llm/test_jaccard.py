@@ -133,8 +133,8 @@ def test_survivors_are_defined_and_columns_of_any_name_pass(spark, names):
 
 
 def test_no_join_gathers_a_table_in_the_driver(spark, monkeypatch):
-    """Broadcast joins make tables of some megabytes in the driver however few their rows; hundreds of them in a run
-    took the pipeline's driver over its memory. Only the bounded destinations of sets are broadcast."""
+    """Broadcast joins make tables of some megabytes in the driver however few their rows; 65 of them in this stage
+    brought the pipeline's driver near its limit. Only the bounded destinations of sets are broadcast."""
     plans = []
 
     def seen(rows, label="stored"):
