@@ -5,6 +5,9 @@ lanes take the same step at once. Predictions of the next id come from its order
 order-1 context (one id before) and order 0 (the lane's favourite). Which of them is right, if any, is one symbol of
 four, whose probabilities are mixed from two contexts; a missed id follows as four hexadecimal digits under adaptive
 order-0 digit models.
+
+A model's row holds the lower edges of its symbols, of which the first is 0, in 2 bytes each: rows travel between the
+tables and a step as 8-byte words, and the edge after a row's last one, ``ONE``, is the next row's 0.
 """
 
 from __future__ import annotations
@@ -14,154 +17,256 @@ import numpy as np
 PROB_BITS = 15
 ONE = 1 << PROB_BITS
 DIGITS = 4
-_WINDOW = np.uint64((1 << 48) - 1)
-_TOP, _BOTTOM = np.uint64(1 << 32), np.uint64(1 << 16)
-_S16 = np.uint64(16)
+_WINDOW = (1 << 48) - 1
+_TOP, _BOTTOM = 1 << 32, 1 << 16
 ORDER1, ORDER2 = 1 << 10, 1 << 11
 # Contexts of a digit: the digits before it, of which the third is folded.
 _BASE = (0, 1, 17)
 _FOLDED = 512
 DIGIT_CONTEXTS = 17 + 256 + _FOLDED
+WHICH_CONTEXTS = 32 + 16
 WORDS_PER_ID = 5
+# How a prediction's sureness changes: by how sure it was where it was right, and 4 later where it was wrong.
+_SURER = np.array([1, 1, 1, 0, 0, -1, -1, -1], np.int32)
+_REPLACED = 4
 
 
 class _Range:
-    """A carry-less range coder with 48 bits of state per lane, moving 16 bits at a time."""
+    """A carry-less range coder with 48 bits of state per lane, moving 16 bits at a time. A decoder holds how far the
+    code lies above the low end."""
 
     def __init__(self, lanes: int, size: int, words: np.ndarray | None = None) -> None:
-        self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, _WINDOW, np.uint64)
-        self.at = np.zeros(lanes, np.int64)
-        self.words = np.zeros((lanes, size), np.uint16) if words is None else words
+        self.low, self.over = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.range = np.full(lanes, _WINDOW, np.int64)
         self.decoding = words is not None
+        # The nth words of all lanes stand side by side: lanes advance about alike, and what none reaches is never touched.
+        self.words, self.lanes = np.zeros(size * lanes, np.uint16) if words is None else words, lanes
+        self.at = np.arange(lanes)
+        self.whole = self.low, self.at
         if self.decoding:
-            self.code = np.zeros(lanes, np.uint64)
             for _ in range(3):
-                self.code = self.code << _S16 | self.words[np.arange(lanes), self.at].astype(np.uint64)
-                self.at += 1
+                self.over = self.over << 16 | self.words.take(self.at)
+                self.at += lanes
+
+    def narrow(self, n: int) -> None:
+        """The first ``n`` lanes go on."""
+        if n < len(self.low):
+            self.low, self.range, self.at, self.over = self.low[:n], self.range[:n], self.at[:n], self.over[:n]
+
+    def part(self, lanes: np.ndarray) -> _Range:
+        """A coder of some lanes, over the same words."""
+        some = object.__new__(_Range)
+        some.decoding, some.words, some.lanes, some.over = self.decoding, self.words, self.lanes, self.over
+        some.low, some.range, some.at = (a.take(lanes, mode="clip") for a in (self.low, self.range, self.at))
+        if self.decoding:
+            some.over = self.over.take(lanes, mode="clip")
+        return some
 
-    def code_symbols(self, lanes: np.ndarray | slice, cdf: np.ndarray, symbols: np.ndarray | None) -> np.ndarray:
-        """Codes one symbol per lane under cumulative counts from 0 to ``ONE``; gives the symbols."""
-        low, width = self.low[lanes], self.range[lanes] >> np.uint64(PROB_BITS)
-        n, edges = cdf.shape
+    def put(self, lanes: np.ndarray, some: _Range) -> None:
+        self.low[lanes], self.range[lanes], self.at[lanes] = some.low, some.range, some.at
         if self.decoding:
-            value = np.minimum(((self.code[lanes] - low) & _WINDOW) // width, np.uint64(ONE - 1)).astype(cdf.dtype)
-            symbols = np.add.reduce(cdf[:, 1:-1] <= value[:, None], axis=1, dtype=np.int8).astype(np.int64)
-        flat, base = cdf.reshape(-1), np.arange(0, n * edges, edges) + symbols
-        start, end = flat.take(base).astype(np.uint64), flat.take(base + 1).astype(np.uint64)
-        low = (low + start * width) & _WINDOW
-        width = (end - start) * width
-        moving = np.flatnonzero(((low ^ (low + width)) < _TOP) | (width < _BOTTOM))
-        at, rest_low, rest_width = moving, low[moving], width[moving]
-        first = lanes.start if isinstance(lanes, slice) else None
-        while len(at):
+            self.over[lanes] = some.over
+
+    def values(self, dtype: type) -> np.ndarray:
+        """Where the code of each lane lies in its range, from 0 to ``ONE`` - 1."""
+        # Both are whole and below 2^48, and the quotient, if below 2^15, is no nearer to the next whole number than 2^-33:
+        # as doubles they round to none above.
+        found = self.over / (self.range >> PROB_BITS)
+        return np.minimum(found, ONE - 1.0, out=found).astype(dtype)
+
+    def code(self, edges: np.ndarray, base: np.ndarray) -> None:
+        """Codes one symbol per lane, that with its lower edge at ``base`` of the flat ``edges``."""
+        edge, size = edges.take(base, mode="clip"), _sizes(edges, base)
+        start = edge.astype(np.int64)
+        size = size.astype(np.int64)
+        low, width = self.low, self.range
+        width >>= PROB_BITS
+        start *= width
+        width *= size
+        low += start
+        low &= _WINDOW
+        if self.decoding:
+            self.over -= start
+        moving = (((low ^ (low + width)) < _TOP) | (width < _BOTTOM)).nonzero()[0]
+        while len(moving):
+            rest_low, rest_width, place = (a.take(moving, mode="clip") for a in (low, width, self.at))
             # Carry-less: a narrow range that straddles a border is cut at it.
             tight = (rest_low ^ (rest_low + rest_width)) >= _TOP
             if tight.any():
-                rest_width = np.where(tight, (~rest_low + np.uint64(1)) & (_BOTTOM - np.uint64(1)), rest_width)
-            row = at + first if first is not None else lanes[at]
-            place = self.at[row]
+                rest_width = np.where(tight, -rest_low & (_BOTTOM - 1), rest_width)
             if self.decoding:
-                self.code[row] = (self.code[row] << _S16 | self.words[row, place].astype(np.uint64)) & _WINDOW
+                over = self.over.take(moving, mode="clip")
+                over &= _TOP - 1
+                over <<= 16
+                over |= self.words.take(place, mode="clip")
+                self.over[moving] = over
             else:
-                self.words[row, place] = (rest_low >> np.uint64(32)).astype(np.uint16)
-            self.at[row] = place + 1
-            rest_low = (rest_low << _S16) & _WINDOW
-            rest_width = rest_width << _S16
-            low[at], width[at] = rest_low, rest_width
-            more = np.flatnonzero(((rest_low ^ (rest_low + rest_width)) < _TOP) | (rest_width < _BOTTOM))
-            at, rest_low, rest_width = at[more], rest_low[more], rest_width[more]
-        self.low[lanes], self.range[lanes] = low, width
-        return symbols
-
-    def finish(self) -> None:
-        rows = np.arange(len(self.low))
+                self.words[place] = rest_low >> 32
+            place += self.lanes
+            rest_low &= _TOP - 1
+            rest_low <<= 16
+            rest_width <<= 16
+            low[moving], width[moving], self.at[moving] = rest_low, rest_width, place
+            more = ((rest_low ^ (rest_low + rest_width)) < _TOP) | (rest_width < _BOTTOM)
+            moving = moving[more] if more.any() else ()
+
+    def finish(self) -> list[bytes]:
+        """The words of each lane."""
+        low, at = self.whole
         for shift in (32, 16, 0):
-            self.words[rows, self.at] = (self.low >> np.uint64(shift) & np.uint64(0xFFFF)).astype(np.uint16)
-            self.at += 1
+            self.words[at] = low >> shift & 0xFFFF
+            at += self.lanes
+        sizes = at // self.lanes
+        rows = self.words.reshape(-1, self.lanes)[: sizes.max()].T.astype("<u2", order="C")
+        return [row[:n].tobytes() for row, n in zip(rows, sizes, strict=True)]
+
+
+def _sizes(edges: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """How wide the symbols are whose lower edges stand at ``base``."""
+    ends = edges.take(base + 1, mode="clip")
+    # The end of a row's last symbol, 0 here, is ``ONE``.
+    ends -= 1
+    ends &= ONE - 1
+    ends -= edges.take(base, mode="clip")
+    return np.add(ends, 1, dtype=np.int32)
+
 
+def _even(rows: int, symbols: int) -> np.ndarray:
+    """Rows of equally likely symbols."""
+    return np.tile((np.arange(symbols) * ONE // symbols).astype(np.int16), (rows, 1))
 
-def _even(rows: int, symbols: int, dtype: type) -> np.ndarray:
-    """Cumulative counts of equally likely symbols, from 0 to ``ONE``."""
-    steps = (np.arange(symbols + 1) * ONE // symbols).astype(dtype)
-    return np.broadcast_to(steps, (rows, symbols + 1)).copy()
+
+def _targets(symbols: int, least: int) -> np.ndarray:
+    """What the edges move to when a symbol came: all but ``least`` for each other one."""
+    line = np.arange(symbols)
+    return (np.where(line[None, :] > line[:, None], ONE - symbols * least, 0) + least * line).astype(np.int16)
 
 
 class _Models:
     """The tables of all lanes, one after the other."""
 
     def __init__(self, lanes: int) -> None:
-        self.digits = _even(lanes * DIGIT_CONTEXTS, 16, np.uint16)
-        self.which = [_even(lanes * 32, 4, np.int32), _even(lanes * 16, 4, np.int32)]
+        # Rows as single items: of 32 bytes and of 8.
+        self.digits = _even(lanes * DIGIT_CONTEXTS, 16).view("V32")[:, 0]
+        self.which = _even(lanes * WHICH_CONTEXTS, 4).view(np.int64)[:, 0]
+        self.digit_target = _targets(16, 1).view("V32")[:, 0]
+        self.which_target = _targets(4, 16).view(np.int64)[:, 0]
         self.weight = np.full(lanes, 1 << 15, np.int32)
-        # Predicted id and, in the two low bits, how sure it is.
-        self.next1, self.next2 = np.zeros(lanes * ORDER1, np.int32), np.zeros(lanes * ORDER2, np.int32)
+        # Predicted id and, in the two low bits, how sure it is: order 2, then order 1.
+        self.next = np.zeros(lanes * (ORDER2 + ORDER1), np.int32)
         self.favourite, self.votes = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
         self.one, self.two = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
-        self.history = np.zeros(lanes, np.int32)
+        self.history = np.zeros(lanes, np.int64)
         self.rows = np.arange(lanes)
-        self.digit_target = np.pad((np.where(np.arange(1, 16)[None, :] > np.arange(16)[:, None], ONE - 16, 0) + np.arange(1, 16)).astype(np.int16), ((0, 0), (1, 0)))
-        self.which_target = (np.where(np.arange(1, 4)[None, :] > np.arange(4)[:, None], ONE - 64, 0) + 16 * np.arange(1, 4)).astype(np.int32)
-
-
-def _step(m: _Models, r: _Range, n: int, ids: np.ndarray | None) -> np.ndarray:
-    """Codes the next id of the first ``n`` lanes."""
-    lanes, line = slice(0, n), m.rows[:n]
-    one, two = m.one[lanes].copy(), m.two[lanes]
-    slot1 = line * ORDER1 + ((one * 40503 >> 4) & (ORDER1 - 1))
-    slot2 = line * ORDER2 + (((one * 40503 + two * 30011) >> 5) & (ORDER2 - 1))
-    held2, held1 = m.next2.take(slot2), m.next1.take(slot1)
-    guess = (held2 >> 2, held1 >> 2, m.favourite[lanes])
-    sure2, sure1 = held2 & 3, held1 & 3
+        self.start()
+
+    def start(self) -> None:
+        """Places and room for the lanes that go on."""
+        n, self.places = len(self.rows), np.arange(2 * len(self.rows))
+        self.next_at = np.stack([self.rows * (ORDER2 + ORDER1), self.rows * (ORDER2 + ORDER1) + ORDER2])
+        self.which_at = np.stack([self.rows * WHICH_CONTEXTS, self.rows * WHICH_CONTEXTS + 32])
+        self.guess = np.zeros((4, n), np.int32)
+        # Rows that a step works on. The row after them gives the last one's upper edge.
+        self.held, self.mixed = np.zeros(2 * n + 1, np.int64), np.zeros((n + 1, 4), np.int32)
+        self.digit_held = np.zeros((n + 1, 16), np.int16)
+
+    def narrow(self, n: int) -> None:
+        """The first ``n`` lanes go on."""
+        if n < len(self.rows):
+            for name in ("weight", "favourite", "votes", "one", "two", "history", "rows"):
+                setattr(self, name, getattr(self, name)[:n])
+            self.start()
+
+
+def _digits(m: _Models, r: _Range, missed: np.ndarray, wanted: np.ndarray | None) -> np.ndarray:
+    """Codes whole ids of some lanes, digit by digit."""
+    n = len(missed)
+    some, first, line = r.part(missed), missed * DIGIT_CONTEXTS, m.places[:n] * 16
+    edges = m.digit_held[: n + 1]
+    edges[n] = 0
+    inner, flat, rows = edges[:n], edges.reshape(-1), edges.view("V32")[:n, 0]
+    value = np.zeros(n, np.int64)
+    for digit in range(DIGITS):
+        slot = first + (_BASE[digit] + value if digit < 3 else 273 + ((value * 40503 >> 4) & (_FOLDED - 1)))
+        m.digits.take(slot, out=rows, mode="clip")
+        if wanted is None:
+            below = (inner <= some.values(np.int16)[:, None]).view(np.int64)
+            symbol = ((below[:, 0] + below[:, 1]) * 0x0101010101010101 >> 56) - 1
+        else:
+            symbol = wanted >> (4 * (DIGITS - 1 - digit)) & 15
+        some.code(flat, line + symbol)
+        target = m.digit_target.take(symbol, mode="clip").view(np.int16).reshape(n, 16)
+        target -= inner
+        target >>= 5
+        inner += target
+        m.digits[slot] = rows
+        value <<= 4
+        value |= symbol
+    r.put(missed, some)
+    return value
+
+
+def _step(m: _Models, r: _Range, ids: np.ndarray | None) -> np.ndarray:
+    """Codes the next id of the lanes that go on."""
+    n, one = len(m.rows), m.one * 40503
+    slots = m.next_at.copy()
+    slots[0] += (one + m.two * 30011 >> 5) & (ORDER2 - 1)
+    slots[1] += (one >> 4) & (ORDER1 - 1)
+    held, guess = m.next.take(slots, mode="clip"), m.guess
+    np.right_shift(held, 2, out=guess[:2])
+    guess[2] = m.favourite
+    sure = held & 3
     # Which prediction is right: one symbol, mixed from two contexts.
-    contexts = (line * 32 + ((sure2 * 4 + sure1) * 2 + (guess[0] == guess[1])), line * 16 + m.history[lanes])
-    cdfs = [t.take(c, axis=0) for t, c in zip(m.which, contexts, strict=True)]
-    weight = m.weight[lanes]
-    # At most 2^15 times 2^16: unsigned.
-    heavy = weight.astype(np.uint32)[:, None]
-    mixed = ((cdfs[0].view(np.uint32) * heavy + cdfs[1].view(np.uint32) * (np.uint32(1 << 16) - heavy)) >> np.uint32(16)).view(np.int32)
-    which = None
-    if ids is not None:
-        which = np.where(ids == guess[0], 0, np.where(ids == guess[1], 1, np.where(ids == guess[2], 2, 3)))
-    which = r.code_symbols(lanes, mixed, which)
-    target, place, given = m.which_target.take(which, axis=0), line * 5 + which, []
-    for table, cdf, context in zip(m.which, cdfs, contexts, strict=True):
-        given.append(cdf.reshape(-1).take(place + 1) - cdf.reshape(-1).take(place))
-        cdf[:, 1:4] += (target - cdf[:, 1:4]) >> 5
-        table[context] = cdf
-    better = np.sign(given[0] - given[1])
-    m.weight[lanes] = np.clip(weight + better * 512, 2048, (1 << 16) - 2048)
-    m.history[lanes] = (m.history[lanes] * 4 + which) & 15
-    found = np.where(which == 0, guess[0], np.where(which == 1, guess[1], guess[2]))
-    missed = np.flatnonzero(which == 3)
+    contexts = m.which_at.copy()
+    contexts[0] += (sure[0] * 4 + sure[1]) * 2 + (guess[0] == guess[1])
+    contexts[1] += m.history
+    m.which.take(contexts.reshape(-1), out=m.held[:-1], mode="clip")
+    cdfs = m.held.view(np.int16)
+    both = cdfs[:-4].reshape(2, n, 4)
+    mixed = m.mixed[:n]
+    np.subtract(both[0], both[1], out=mixed)
+    mixed *= m.weight[:, None]
+    mixed >>= 16
+    mixed += both[1]
+    if ids is None:
+        below = (mixed <= r.values(np.int32)[:, None]).view(np.int32).reshape(-1)
+        which = (below * 0x01010101 >> 24) - 1
+    else:
+        wrong = (guess[:3] != ids).view(np.int8)
+        which = wrong[0] * (wrong[1] * (wrong[2] + np.int8(1)) + np.int8(1))
+    which = which.astype(np.int64)
+    r.code(m.mixed.reshape(-1), m.places[:n] * 4 + which)
+    given = _sizes(cdfs, (m.places.reshape(2, n) * 4 + which).reshape(-1))
+    both += (m.which_target.take(which, mode="clip").view(np.int16).reshape(n, 4) - both) >> 5
+    m.which[contexts.reshape(-1)] = m.held[:-1]
+    m.weight += np.sign(given[:n] - given[n:]) * 512
+    np.minimum(m.weight, (1 << 16) - 2048, out=m.weight)
+    np.maximum(m.weight, 2048, out=m.weight)
+    m.history <<= 2
+    m.history |= which
+    m.history &= 15
+    missed = (which == 3).nonzero()[0]
+    found = guess.reshape(-1).take(which * n + m.rows, mode="clip") if ids is None else ids
     if len(missed):
-        value = np.zeros(len(missed), np.int64)
-        wanted = None if ids is None else ids[missed].astype(np.int64)
-        first = missed * DIGIT_CONTEXTS
-        for digit in range(DIGITS):
-            context = _BASE[digit] + value if digit < 3 else 273 + ((value * 40503 >> 4) & (_FOLDED - 1))
-            slot = first + context
-            cdf = m.digits.take(slot, axis=0)
-            symbol = None if wanted is None else wanted >> (4 * (DIGITS - 1 - digit)) & 15
-            symbol = r.code_symbols(missed, cdf, symbol)
-            inner = cdf[:, :16].view(np.int16)
-            inner += (m.digit_target.take(symbol, axis=0) - inner) >> 5
-            m.digits[slot] = cdf
-            value = value * 16 + symbol
-        found[missed] = value
+        value = _digits(m, r, missed, None if ids is None else ids.take(missed, mode="clip").astype(np.int64))
+        if ids is None:
+            found[missed] = value
     # What came becomes the prediction, unless a surer one stands.
-    for table, slot, held, was, said in ((m.next2, slot2, held2, sure2, guess[0]), (m.next1, slot1, held1, sure1, guess[1])):
-        wrong = said != found
-        kept = np.where(wrong, held - (was > 0), held + (was < 3))
-        table[slot] = np.where(wrong & (was == 0), found << 2, kept)
-    hit = guess[2] == found
-    votes = m.votes[lanes] + np.where(hit, 1, -1)
-    m.favourite[lanes] = np.where(votes < 0, found, guess[2])
-    m.votes[lanes] = np.abs(votes)
-    m.two[lanes], m.one[lanes] = one, found
+    missing = guess[:3] != found
+    change = sure + missing[:2] * np.int32(4)
+    m.next[slots] = np.where(change == _REPLACED, found << 2, held + _SURER.take(change, mode="clip"))
+    m.votes += np.int32(1) - missing[2] * np.int32(2)
+    np.copyto(m.favourite, found, where=m.votes < 0)
+    np.abs(m.votes, out=m.votes)
+    m.two[:], m.one[:] = m.one, found
     return found
 
 
+def _alive(sizes: np.ndarray) -> np.ndarray:
+    """How many blocks, longest first, hold an id at each place."""
+    return np.searchsorted(-sizes, -np.arange(int(sizes.max(initial=0))), side="left")
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """The coded bytes of each block of ids below 65,536."""
     sizes = np.fromiter(map(len, blocks), np.int64, len(blocks))
@@ -171,14 +276,14 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     table = np.zeros((int(sizes.max(initial=0)), len(blocks)), np.int32)
     for row, block in enumerate(order):
         table[: sizes[block], row] = blocks[block]
-    alive = np.searchsorted(-sizes[order], -np.arange(len(table)), side="left")
     models, coder = _Models(len(blocks)), _Range(len(blocks), WORDS_PER_ID * len(table) + 8)
-    for at in range(len(table)):
-        _step(models, coder, int(alive[at]), table[at, : alive[at]])
-    coder.finish()
+    for row, n in zip(table, _alive(sizes[order]), strict=True):
+        models.narrow(n)
+        coder.narrow(n)
+        _step(models, coder, row[:n])
     out: list[bytes] = [b""] * len(blocks)
-    for row, block in enumerate(order):
-        out[block] = coder.words[row, : coder.at[row]].astype("<u2").tobytes()
+    for block, found in zip(order, coder.finish(), strict=True):
+        out[block] = found
     return out
 
 
@@ -191,11 +296,13 @@ def decode_blocks(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     words = np.zeros((len(coded), max(map(len, coded)) // 2 + 4), np.uint16)
     for row, block in enumerate(order):
         words[row, : len(coded[block]) // 2] = np.frombuffer(coded[block], "<u2")
+    words = words.T.reshape(-1)
     table = np.zeros((int(counts.max(initial=0)), len(coded)), np.int32)
-    alive = np.searchsorted(-counts[order], -np.arange(len(table)), side="left")
     models, coder = _Models(len(coded)), _Range(len(coded), 0, words)
-    for at in range(len(table)):
-        table[at, : alive[at]] = _step(models, coder, int(alive[at]), None)
+    for row, n in zip(table, _alive(counts[order]), strict=True):
+        models.narrow(n)
+        coder.narrow(n)
+        row[:n] = _step(models, coder, None)
     out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(coded)
     for row, block in enumerate(order):
         out[block] = table[: counts[block], row].copy()

@@ -8,6 +8,7 @@ empty models (``coder.py``), so each can be read alone and a lost one harms no o
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,30 +36,70 @@ TEXT_CHARS = 1 << 20
 BLOCKS = "file int, block int, n_ids int, crc32 long, payload binary, docs array<struct<doc:long,doc_id:long,start:long,n:int,last:boolean>>"
 
 
+# Words that start with letters which nothing composes with and hold no others; how many the library gets as one text.
+PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u024f]+[!-@\[-`{-~]*")
+TOGETHER = 128
+
+
 class _Memo:
     """The ids of words that a task has met, in one pool; beyond ``MEMO_WORDS`` words are encoded again."""
 
     def __init__(self, tokenizer: Tokenizer) -> None:
         self.tokenizer = tokenizer
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        # Ids that end a piece of a word, if the file marks them, and ids that start with a letter.
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False) if suffix else {}
+        self.ending, self.letter = np.zeros(1 << 16, np.bool_), np.zeros(1 << 16, np.bool_)
+        self.ending[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.letter[[i for token, i in vocabulary.items() if token[:1].isalpha()]] = True
         self.at: dict[str, int] = {}
         self.pool, self.starts, self.counts = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint16) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, and of each word where its ids start there and how many they are. Plain words go to the library
+        many at a time, in one text. Each of them has a piece that starts with a letter, its first: a text with as many
+        such pieces as words is cut before them; the words of any other go one by one."""
+        plain = np.fromiter((PLAIN.fullmatch(w) is not None for w in words), np.bool_, len(words))
+        starts, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        found: list[np.ndarray] = []
+        size, alone = 0, [np.flatnonzero(~plain)]
+        rows = np.flatnonzero(plain)
+        groups = [rows[i : i + TOGETHER] for i in range(0, len(rows), TOGETHER)]
+        for group, ids in zip(groups, self._library([" ".join([words[i] for i in g]) for g in groups]), strict=True):
+            first = self.letter[ids]
+            first[1:] &= self.ending[ids[:-1]]
+            cuts = np.flatnonzero(first)
+            if len(cuts) != len(group) or cuts[0] > 0:
+                alone.append(group)
+                continue
+            starts[group], counts[group] = size + cuts, np.diff(cuts, append=len(ids))
+            found.append(ids)
+            size += len(ids)
+        rows = np.concatenate(alone)
+        single = self._library([words[i] for i in rows])
+        counts[rows] = [len(ids) for ids in single]
+        starts[rows] = size + np.cumsum(counts[rows]) - counts[rows]
+        return np.concatenate([*found, *single, np.zeros(0, np.uint16)]), starts, counts
+
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A pool of ids, and of each word where its ids start there and how many they are."""
-        new = [w for w in words if w not in self.at]
-        found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        starts = len(self.pool) + np.cumsum(counts) - counts
-        fresh = np.fromiter((i for ids in found for i in ids), np.uint16, int(counts.sum()))
-        pool, all_starts, all_counts = np.concatenate([self.pool, fresh]), np.r_[self.starts, starts], np.r_[self.counts, counts]
-        number = dict(zip(new, range(len(self.starts), len(all_starts)), strict=True))
-        index = np.fromiter((self.at[w] if w in self.at else number[w] for w in words), np.int64, len(words))
-        room = max(0, MEMO_WORDS - len(self.at))
-        if room and new:
-            self.at |= dict(list(number.items())[:room])
-            kept = min(room, len(new))
-            self.starts, self.counts = all_starts[: len(self.starts) + kept], all_counts[: len(self.counts) + kept]
-            self.pool = pool[: int(self.starts[-1] + self.counts[-1])]
+        known = self.at
+        index = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(index < 0)
+        new = [words[i] for i in missing]
+        fresh, starts, counts = self._encoded(new)
+        index[missing] = np.arange(len(self.starts), len(self.starts) + len(new))
+        pool = np.concatenate([self.pool, fresh])
+        all_starts, all_counts = np.concatenate([self.starts, len(self.pool) + starts]), np.concatenate([self.counts, counts])
+        kept = min(MEMO_WORDS - len(known), len(new))
+        if kept > 0:
+            known.update(zip(new[:kept], range(len(self.starts), len(self.starts) + kept), strict=True))
+            held = expand(starts[:kept], counts[:kept])
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(counts[:kept]) - counts[:kept]])
+            self.counts, self.pool = all_counts[: len(self.starts)], np.concatenate([self.pool, fresh[held]])
         return pool, all_starts[index], all_counts[index]
 
 

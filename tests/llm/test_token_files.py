@@ -60,3 +60,37 @@ def test_empty_table(spark):
     folder = fresh_folder(spark, "files")
     token_files.write_files(empty(spark), bpe.read_definition(bpe.tokenizer_path()), folder)
     assert token_files.file_digests(spark, folder).count() == 0
+
+
+class Counted:
+    """The library, with the number of texts that it was given."""
+
+    def __init__(self, library: Tokenizer) -> None:
+        self.library, self.texts = library, 0
+
+    def __getattr__(self, name):
+        return getattr(self.library, name)
+
+    def encode_batch(self, texts, **options):
+        self.texts += len(texts)
+        return self.library.encode_batch(texts, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.library.encode_batch_fast(texts, **options)
+
+
+def test_plain_words_share_texts():
+    """New words with one stretch of letters at their start go to the library together, and keep the ids they have alone."""
+    library = Tokenizer.from_file(bpe.tokenizer_path())
+    letters = [chr(c) for c in range(0x21, 0x250) if chr(c).isprintable()]
+    plain = [a + b + c for a in "aBz" for b in "eXoq" for c in ["", "rd", "st,", "ing...", "s'", "no7!"]]
+    odd = ["it's", "don't,", "a1b2", "İstanbul", "<|endoftext|>", "ab<|endoftext|>cd", "'ssh", "x.y", "日本語", "éa", "ñandú", "7", "--"]
+    words = list(dict.fromkeys([*odd, *plain, *letters, *(f"a{c}" for c in letters), *(f"a{c}b" for c in letters)]))
+    memo = token_files._Memo(Counted(library))
+    for _ in range(2):
+        pool, starts, counts = memo.ids(words)
+        assert [pool[s : s + n].tolist() for s, n in zip(starts, counts, strict=True)] == [library.encode(w, add_special_tokens=False).ids for w in words]
+    memo = token_files._Memo(Counted(library))
+    memo.ids(plain)
+    assert memo.tokenizer.texts < len(plain) / 20
